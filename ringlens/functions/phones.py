@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ringlens.constants import COUNTRY_CODES, LANDLINE_AREAS, MOBILE_CODES
 
-DIALABLE = r"^[0-9]{4,18}\z"
+# A raw number of which 4 to 18 digits are left once + and 84 are stripped.
+DIALABLE = r"^\+?(?:84[0-9]{4,18}|(?!84)[0-9]{4,18})\z"
 BLANKS = " \t\n\r\x0b\x0c"
 
 
@@ -18,7 +19,7 @@ def stripped(col: Column) -> Column:
 
 def strip_country(col: Column) -> Column:
     """Without a leading ``+`` and then without one leading ``84``."""
-    return F.regexp_replace(F.regexp_replace(col.cast("string"), r"^\+", ""), "^84", "")
+    return F.regexp_replace(col.cast("string"), r"^\+?(?:84)?", "")
 
 
 def join_key(col: Column) -> Column:

@@ -10,6 +10,7 @@ from ringlens.functions.conversions import ratio, round_half_even
 from ringlens.operators.calls import clean_calls, enrich_calls, with_direction
 from ringlens.operators.sequences import layered_metrics, ordered_metrics
 from ringlens.operators.skew import heavy_keys, split_heavy
+from ringlens.session import stored
 
 ZERO_WHEN_MISSING = [
     "frequency", "total_frequency_to", "total_frequency_in", "total_frequency_to_by_phonemember",
@@ -45,10 +46,19 @@ def report_aggregates(
     config: FeatureConfig = FeatureConfig(),
     heavy: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per report with every aggregate; selecting some of them prunes the rest from the plan."""
+    """One row per report with every aggregate; selecting some of them prunes the rest from the plan.
+
+    Whether there are heavy reports is asked up front (one pre-aggregated count
+    over one column), so that the usual plan stays a single pass. Their calls,
+    if any, are stored once because the layered plan reads them several times.
+    """
     marks = heavy_reports(calls, config) if heavy is None else heavy
-    usual, hot = split_heavy(directed_calls(calls, providers, config), "report", marks)
-    merged = ordered_metrics(usual).unionByName(layered_metrics(hot))
+    directed = directed_calls(calls, providers, config)
+    if marks.isEmpty():
+        merged = ordered_metrics(directed)
+    else:
+        usual, hot = split_heavy(directed, "report", marks)
+        merged = ordered_metrics(usual).unionByName(layered_metrics(stored(hot, "heavy-calls")))
     return merged.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in ZERO_WHEN_MISSING})
 
 

@@ -55,6 +55,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` once to the shared folder and reads it back.
+
+    Cuts the lineage in a way that survives the loss of executors, and keeps
+    columns separate so that later readers fetch only those they need.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def literal_table(spark: SparkSession, schema: list[tuple[str, str]], rows: list[tuple]) -> DataFrame:
     """A small constant table built from literals, planned without Python rows.
 
