@@ -329,14 +329,11 @@ def scalar_conversions(spark, sf):
 
 @query("call_gaps", f"""SELECT report, phone_member, type, time, duration, gap,
     CASE WHEN outgoing THEN way_gap END AS gap_to, CASE WHEN NOT outgoing THEN way_gap END AS gap_in,
-    CASE WHEN outgoing THEN member_gap END AS member_gap_to,
-    CASE WHEN NOT outgoing THEN member_gap END AS member_gap_in
-    FROM ({O.gaps(A.CALL_HISTORY)}) g""")
+    member_gap FROM ({O.gaps(A.CALL_HISTORY)}) g""")
 def gaps(spark, sf):
     directed = FT.directed_calls(call_history(spark, sf), providers(spark))
     return call_gaps(directed).select(
-        "report", "phone_member", "type", "time", "duration", "gap", "gap_to", "gap_in", "member_gap_to",
-        "member_gap_in",
+        "report", "phone_member", "type", "time", "duration", "gap", "gap_to", "gap_in", "member_gap"
     )
 
 

@@ -18,8 +18,12 @@ def stripped(col: Column) -> Column:
 
 
 def strip_country(col: Column) -> Column:
-    """Without a leading ``+`` and then without one leading ``84``."""
-    return F.regexp_replace(col.cast("string"), r"^\+?(?:84)?", "")
+    """Without a leading ``+`` and then without one leading ``84``; substrings, as regexes cost more per row."""
+
+    def without(text: Column, head: str) -> Column:
+        return F.when(text.startswith(head), F.substring(text, len(head) + 1, 2**31 - 1)).otherwise(text)
+
+    return without(without(col.cast("string"), "+"), "84")
 
 
 def join_key(col: Column) -> Column:

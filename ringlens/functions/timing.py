@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+DAY = 86_400
+
 DATED_TEXT = r"^\s*\d{4,}-\d{1,2}-\d{1,2}"
 
 
@@ -27,10 +29,27 @@ def naive_time(col: Column, dtype: T.DataType) -> Column:
 def epoch_second(col: Column) -> Column:
     """Whole seconds since 1970 of a naive time, independent of the session zone.
 
-    The difference of two such values counts second boundaries.
+    The difference of two such values counts second boundaries. The fast
+    function rounds towards zero, so times before 1970 are assembled by hand.
     """
+    epoch = F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz")
     clock = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
-    return F.unix_date(col.cast("date")).cast("bigint") * F.lit(86400) + clock.cast("bigint")
+    early = F.unix_date(col.cast("date")).cast("bigint") * DAY + clock
+    return F.when(col < epoch, early).otherwise(F.unix_timestamp(col))
+
+
+def second_of_day(second: Column) -> Column:
+    return F.pmod(second, F.lit(DAY))
+
+
+def day_number(second: Column) -> Column:
+    """Days since 1970 of an epoch second."""
+    return ((second - second_of_day(second)) / DAY).cast("int")
+
+
+def weekday(second: Column) -> Column:
+    """0 for Monday to 6 for Sunday; 1970 began on a Thursday."""
+    return F.pmod(day_number(second) + 3, F.lit(7))
 
 
 @dataclass(frozen=True)

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ringlens.config import FeatureConfig
 from ringlens.functions.conversions import strict_int
 from ringlens.functions.phones import DIALABLE, strip_country
-from ringlens.functions.timing import epoch_second, naive_time
+from ringlens.functions.timing import epoch_second, naive_time, second_of_day, weekday
 
+HOUR = 3600
 FLAGS = ["call_to", "call_in", "call_to_miss", "call_in_miss"]
 
 
@@ -61,10 +62,13 @@ def with_providers(calls: DataFrame, providers: DataFrame, config: FeatureConfig
     return out
 
 
-def business_hour(time: Column, config: FeatureConfig) -> Column:
+def business_hour(second: Column, config: FeatureConfig) -> Column:
+    """Whether an epoch second lies in the office hours of a working day."""
     if not config.work_days:
         return F.lit(False)
-    return F.hour(time).between(config.first_hour, config.last_hour) & F.weekday(time).isin(*config.work_days)
+    clock = second_of_day(second)
+    office = (clock >= config.first_hour * HOUR) & (clock < (config.last_hour + 1) * HOUR)
+    return office & weekday(second).isin(*config.work_days)
 
 
 def enrich_calls(
@@ -77,7 +81,7 @@ def enrich_calls(
     flagged = with_providers(cleaned, providers, config).select(
         "report", "phone", "phone_member", "type", "time", "in_contact", "duration", "Spam",
         (F.col("caller_provider") == F.col("receiver_provider")).alias("same_network"),
-        business_hour(F.col("time"), config).alias("in_hour"),
+        business_hour(epoch_second(F.col("time")), config).alias("in_hour"),
         (F.col("duration") > config.success_seconds).alias("success"),
         *[(F.col("type") == code).cast("int").alias(name) for name, code in kinds.items()],
     )

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ringlens.functions.timing import day_number
+
 HOUR = 3600.0
 
 ADDITIVE = {
@@ -50,64 +52,75 @@ def call_gaps(directed: DataFrame) -> DataFrame:
     """Adds seconds since the previous call, overall, in the same direction and with the same member.
 
     All windows need the same hash partitioning by report, so they share one
-    shuffle and differ only in the sort within a partition.
+    shuffle and differ only in the sort within a partition; the last two also
+    share the sort.
     """
     calls = W.partitionBy("report").orderBy("time", "phone_member", "type", "duration")
-    members = W.partitionBy("report", "phone_member").orderBy("time", "type", "duration")
+    members = W.partitionBy("report", "phone_member").orderBy("outgoing", "time", "type", "duration")
+    ways = W.partitionBy("report", "phone_member", "outgoing").orderBy("time", "type", "duration")
     second, outgoing = F.col("second"), F.col("outgoing")
 
-    def since(order: W, mine: Column) -> Column:
+    def since(mine: Column) -> Column:
         """Gap to the closest earlier call for which ``mine`` holds."""
-        earlier = order.rowsBetween(W.unboundedPreceding, -1)
+        earlier = calls.rowsBetween(W.unboundedPreceding, -1)
         return F.when(mine, second - F.last(F.when(mine, second), ignorenulls=True).over(earlier))
 
     return directed.withColumns(
         {
             "gap": second - F.lag("second").over(calls),
-            "gap_to": since(calls, outgoing),
-            "gap_in": since(calls, ~outgoing),
+            "gap_to": since(outgoing),
+            "gap_in": since(~outgoing),
             "previous_member": F.lag("phone_member").over(calls),
-            "previous_day": F.lag(F.col("time").cast("date")).over(calls),
+            "previous_second": F.lag("second").over(calls),
         }
     ).withColumns(
         {
-            "member_gap_to": since(members, outgoing),
-            "member_gap_in": since(members, ~outgoing),
             "member_call": F.row_number().over(members),
+            "member_gap": second - F.lag("second").over(ways),
         }
     )
 
 
 def ordered_metrics(directed: DataFrame) -> DataFrame:
-    """All aggregates by report in a single pass over its ordered calls."""
-    member = W.partitionBy("report", "phone_member")
-    outgoing, first = F.col("outgoing"), F.col("member_call") == 1
-    rows = call_gaps(directed).withColumns(
-        {
-            "member_median_to": F.median("member_gap_to").over(member),
-            "member_median_in": F.median("member_gap_in").over(member),
-        }
+    """All aggregates by report in a single pass over its ordered calls.
+
+    The median gap of every member and direction is read off the rank of the
+    gaps: the middle one counts fully, or two middle ones count half each, so
+    the sum over members needs no grouping by member.
+    """
+    outgoing = F.col("outgoing")
+    ranked = W.partitionBy("report", "phone_member", "outgoing").orderBy(F.asc_nulls_last("member_gap"))
+    whole = ranked.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    twice, gaps = 2 * F.col("_rank"), F.col("_gaps")
+    rows = (
+        call_gaps(directed)
+        .withColumns({"_rank": F.row_number().over(ranked), "_gaps": F.count("member_gap").over(whole)})
+        .withColumn(
+            "member_median",
+            F.when(twice == gaps + 1, F.col("member_gap").cast("double")).when(
+                (twice == gaps) | (twice == gaps + 2), F.col("member_gap") / 2
+            ),
+        )
     )
 
     def count_if(condition: Column) -> Column:
         return F.sum(F.coalesce(condition, F.lit(False)).cast("int"))
 
+    first_contact = F.col("member_gap").isNull()
+    new_day = ~day_number(F.col("second")).eqNullSafe(day_number(F.col("previous_second")))
     return rows.groupBy("report").agg(
         *additive_metrics(),
         (F.median("gap") / HOUR).alias("frequency"),
         (F.median("gap_to") / HOUR).alias("total_frequency_to"),
         (F.median("gap_in") / HOUR).alias("total_frequency_in"),
-        (F.sum(F.when(first, F.col("member_median_to"))) / HOUR).alias("total_frequency_to_by_phonemember"),
-        (F.sum(F.when(first, F.col("member_median_in"))) / HOUR).alias("total_frequency_in_by_phonemember"),
+        (F.sum(F.when(outgoing, F.col("member_median"))) / HOUR).alias("total_frequency_to_by_phonemember"),
+        (F.sum(F.when(~outgoing, F.col("member_median"))) / HOUR).alias("total_frequency_in_by_phonemember"),
         count_if(F.col("phone_member") == F.col("previous_member")).alias("total_redial"),
-        count_if(first).alias("total_contacted"),
-        count_if(outgoing & F.col("member_gap_to").isNull()).alias("total_contacted_to"),
-        count_if(~outgoing & F.col("member_gap_in").isNull()).alias("total_contacted_in"),
+        count_if(F.col("member_call") == 1).alias("total_contacted"),
+        count_if(outgoing & first_contact).alias("total_contacted_to"),
+        count_if(~outgoing & first_contact).alias("total_contacted_in"),
         # Answered calls per active day: the mean over days of a sum is the sum over the number of days.
-        (
-            F.sum(F.col("call_to") + F.col("call_in"))
-            / count_if(~F.col("time").cast("date").eqNullSafe(F.col("previous_day")))
-        ).alias("mean_call_by_day"),
+        (F.sum(F.col("call_to") + F.col("call_in")) / count_if(new_day)).alias("mean_call_by_day"),
     )
 
 
@@ -226,7 +239,7 @@ def layered_metrics(directed: DataFrame) -> DataFrame:
         )
     )
     daily = (
-        directed.groupBy("report", F.col("time").cast("date").alias("day"))
+        directed.groupBy("report", day_number(F.col("second")).alias("day"))
         .agg(F.sum(F.col("call_to") + F.col("call_in")).alias("answered"))
         .groupBy("report")
         .agg(F.avg("answered").alias("mean_call_by_day"))
