@@ -28,6 +28,7 @@ from ringlens.operators import quality as Q
 from ringlens.operators import risk as R
 from ringlens.operators import rollup as RU
 from ringlens.operators.sequences import call_gaps
+from ringlens.operators.skew import find_heavy
 from ringlens.operators.split import stratified_split
 from ringlens.plans import jobs
 from ringlens.session import fresh_path, stored
@@ -86,7 +87,7 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pool(spark: SparkSession, sf: str) -> DataFrame:
-    return RU.phone_features(features(spark, sf), call_history(spark, sf))
+    return RU.phone_pool(call_history(spark, sf), providers(spark))
 
 
 def reports(spark: SparkSession, sf: str) -> DataFrame:
@@ -391,7 +392,8 @@ def features_phone(spark, sf):
 def features_phone_shared(spark, sf):
     """One report for many phones, with a limit low enough to split the join by heavy reports."""
     calls = shared_reports(spark, sf)
-    return RU.phone_features(FT.report_features(calls, providers(spark)), calls, heavy_rows=3)
+    heavy = find_heavy(RU.report_phone_map(calls), "report", 3)
+    return RU.phone_features(FT.report_features(calls, providers(spark)), calls, heavy)
 
 
 # --- predictions ---

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ringlens.functions.conversions import numeric_or_null
 from ringlens.functions.phones import join_key
-from ringlens.operators.skew import HEAVY_ROWS, join_unique
+from ringlens.operators.skew import HEAVY_ROWS, find_heavy, join_unique
 
 
 def first_per_key(df: DataFrame, key: str, *order) -> DataFrame:
@@ -49,7 +49,8 @@ def changed_labels(
     """Rows of the pool whose label is missing or contradicted, with the new label in second place."""
     old = numeric_or_null(F.col(label), pool.schema[label].dataType) if label in pool.columns else F.lit(None)
     keyed = pool.withColumns({"_phone_key": join_key(F.col(phone)), "_old": old.cast("double")})
-    matched = join_unique(keyed, new_labels(labels, phone, label), "_phone_key", heavy_rows)
+    heavy = find_heavy(keyed, "_phone_key", heavy_rows)
+    matched = join_unique(keyed, new_labels(labels, phone, label), "_phone_key", heavy)
     rest = [name for name in pool.columns if name != label]
     return matched.where(~F.col("_old").eqNullSafe(F.col("new_label").cast("double"))).select(
         rest[0], F.col("new_label").alias(label), *rest[1:]

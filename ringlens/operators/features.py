@@ -9,7 +9,7 @@ from ringlens.config import FeatureConfig
 from ringlens.functions.conversions import ratio, round_half_even
 from ringlens.operators.calls import clean_calls, enrich_calls, with_direction
 from ringlens.operators.sequences import layered_metrics, ordered_metrics
-from ringlens.operators.skew import heavy_keys, split_heavy
+from ringlens.operators.skew import HeavyKeys, find_heavy, split_heavy
 from ringlens.session import stored
 
 ZERO_WHEN_MISSING = [
@@ -29,9 +29,9 @@ PASSED = [
 DURATIONS = ["duration", "duration_call_to", "duration_call_in"]
 
 
-def heavy_reports(calls: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
+def heavy_reports(calls: DataFrame, config: FeatureConfig = FeatureConfig()) -> HeavyKeys:
     """Reporters with too many calls for one window; counted on raw rows, which reads one column."""
-    return heavy_keys(calls.select(F.col("report").cast("string").alias("report")), "report", config.heavy_rows)
+    return find_heavy(calls.select(F.col("report").cast("string").alias("report")), "report", config.heavy_rows)
 
 
 def directed_calls(
@@ -44,20 +44,19 @@ def report_aggregates(
     calls: DataFrame,
     providers: DataFrame,
     config: FeatureConfig = FeatureConfig(),
-    heavy: DataFrame | None = None,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """One row per report with every aggregate; selecting some of them prunes the rest from the plan.
 
-    Whether there are heavy reports is asked up front (one pre-aggregated count
-    over one column), so that the usual plan stays a single pass. Their calls,
-    if any, are stored once because the layered plan reads them several times.
+    Without heavy reports this is a single pass over the calls. The calls of
+    heavy reports, if any, are stored because their plan reads them several times.
     """
     marks = heavy_reports(calls, config) if heavy is None else heavy
     directed = directed_calls(calls, providers, config)
-    if marks.isEmpty():
+    if marks.keys is None:
         merged = ordered_metrics(directed)
     else:
-        usual, hot = split_heavy(directed, "report", marks)
+        usual, hot = split_heavy(directed, "report", marks.keys)
         merged = ordered_metrics(usual).unionByName(layered_metrics(stored(hot, "heavy-calls")))
     return merged.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in ZERO_WHEN_MISSING})
 
@@ -106,7 +105,7 @@ def report_features(
     calls: DataFrame,
     providers: DataFrame,
     config: FeatureConfig = FeatureConfig(),
-    heavy: DataFrame | None = None,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Call history to one row of features per report."""
     return derive_features(report_aggregates(calls, providers, config, heavy))

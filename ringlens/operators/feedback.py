@@ -27,7 +27,7 @@ def clean_reports(reports: DataFrame) -> DataFrame:
     return distinct.withColumns(columns)
 
 
-def report_summary(cleaned: DataFrame) -> DataFrame:
+def report_summary(cleaned: DataFrame, ordered: bool = True) -> DataFrame:
     """Reports and distinct reporting members per phone and verdict, most reported first.
 
     Grouping by phone and member first spreads a phone with very many reports
@@ -40,14 +40,11 @@ def report_summary(cleaned: DataFrame) -> DataFrame:
         .agg(F.sum(spam.cast("bigint")).alias("spam"), F.sum(ham.cast("bigint")).alias("ham"))
     )
     known = F.col("member_id").isNotNull()
-    return (
-        per_member.groupBy("phone")
-        .agg(
-            F.sum(F.col("spam") + F.col("ham")).alias("total_reports"),
-            F.sum("spam").alias("spam_reports"),
-            F.sum("ham").alias("not_spam_reports"),
-            F.sum((known & (F.col("spam") > 0)).cast("bigint")).alias("unique_spam_members"),
-            F.sum((known & (F.col("ham") > 0)).cast("bigint")).alias("unique_ham_members"),
-        )
-        .orderBy(F.desc("total_reports"), "phone")
+    summary = per_member.groupBy("phone").agg(
+        F.sum(F.col("spam") + F.col("ham")).alias("total_reports"),
+        F.sum("spam").alias("spam_reports"),
+        F.sum("ham").alias("not_spam_reports"),
+        F.sum((known & (F.col("spam") > 0)).cast("bigint")).alias("unique_spam_members"),
+        F.sum((known & (F.col("ham") > 0)).cast("bigint")).alias("unique_ham_members"),
     )
+    return summary.orderBy(F.desc("total_reports"), "phone") if ordered else summary

@@ -63,7 +63,11 @@ def _number(value: float) -> str:
 
 
 def label_feedback(summary: DataFrame, rules: LabelRules = LabelRules()) -> DataFrame:
-    """Adds rates, label (1 spam, 0 ham, -1 unknown), rule, confidence and note; the first rule that fits wins."""
+    """Adds rates, label (1 spam, 0 ham, -1 unknown), rule, confidence and note; the first rule that fits wins.
+
+    The volume limits come from all phones, so the summary is read twice:
+    pass a written table rather than a long lineage when it is large.
+    """
     counted = filled_counts(summary)
     total, spam, ham = F.col("total_reports"), F.col("spam_reports"), F.col("ham_reports")
     spam_members, ham_members = F.col("unique_spam_members"), F.col("unique_ham_members")
@@ -119,10 +123,10 @@ def label_feedback(summary: DataFrame, rules: LabelRules = LabelRules()) -> Data
         )
         .otherwise(outcome(-1, "unknown", "", F.lit("")))
     )
-    one_row = F.broadcast(label_thresholds(counted, rules))
+    limits = label_thresholds(counted, rules).select(F.struct("spam_high", "ham_high")).scalar()
     return (
-        counted.withColumns({"spam_rate": rate(spam), "ham_rate": rate(ham)})
-        .join(one_row, how="cross")
+        counted.withColumns({"spam_rate": rate(spam), "ham_rate": rate(ham), "_limits": limits})
+        .withColumns({name: F.col("_limits")[name] for name in ("spam_high", "ham_high")})
         .withColumn("_verdict", verdict)
         .select(*counted.columns, "spam_rate", "ham_rate", "_verdict.*")
     )

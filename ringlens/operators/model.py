@@ -113,18 +113,22 @@ def model_report(trained: TrainedModel, rows: DataFrame) -> DataFrame:
     kept = ["tn", "fp", "fn", "tp", "accuracy", "precision", "recall", "f1"]
 
     def at(value: float, suffix: str) -> DataFrame:
-        return metrics_at(test, [value]).select(*[F.col(name).alias(f"{name}@{suffix}") for name in kept])
-
-    size = rows.agg(F.count(F.lit(1)).alias("n_rows_used"))
-    facts = size.select(
+        return metrics_at(test, [value]).select(F.struct(*[F.col(name).alias(f"{name}@{suffix}") for name in kept]))
+
+    one_row = {
+        "auc_val": roc_auc(test).select("auc"),
+        "_half": at(0.5, "0.5"),
+        "_best": at(threshold, "best"),
+    }
+    facts = rows.agg(F.count(F.lit(1)).alias("n_rows_used")).select(
         "n_rows_used",
         F.lit(len(trained.columns)).alias("n_features"),
         F.lit(trained.weight).alias("scale_pos_weight"),
         F.lit(int(trained.trees)).alias("best_iteration"),
         F.lit(float(threshold)).alias("threshold_best"),
     )
-    auc = roc_auc(test).withColumnRenamed("auc", "auc_val")
-    return facts.join(auc, how="cross").join(at(0.5, "0.5"), how="cross").join(at(threshold, "best"), how="cross")
+    joined = facts.withColumns({name: row.scalar() for name, row in one_row.items()})
+    return joined.select(*facts.columns, "auc_val", "_half.*", "_best.*")
 
 
 def sample_params(rng: random.Random, seed: int, max_rounds: int | None = None) -> TreeParams:

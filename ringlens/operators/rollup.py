@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringlens.config import FeatureConfig
 from ringlens.functions.conversions import numeric_or_null
-from ringlens.operators.skew import HEAVY_ROWS, join_unique
+from ringlens.operators.features import heavy_reports, report_features
+from ringlens.operators.skew import HeavyKeys, join_unique
 
 IDENTITY_COLUMNS = ("report", "phone", "Spam", "label", "Score")
 
@@ -27,17 +29,26 @@ def report_phone_map(calls: DataFrame) -> DataFrame:
     )
 
 
-def phone_features(features: DataFrame, calls: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Every numeric feature summed over the reports of a phone (rates included, by definition)."""
+def phone_features(features: DataFrame, calls: DataFrame, heavy: HeavyKeys, ordered: bool = True) -> DataFrame:
+    """Every numeric feature summed over the reports of a phone (rates included, by definition).
+
+    ``heavy`` lists the reports with very many calls, which bounds the phones
+    a single report can have in the join.
+    """
     columns = numeric_columns(features)
     if not columns:
         raise ValueError("no numeric feature columns to sum")
-    pairs = join_unique(report_phone_map(calls), features.select("report", *columns), "report", heavy_rows)
-    return (
-        pairs.groupBy("phone")
-        .agg(*[F.sum(F.coalesce(F.col(name), F.lit(0))).alias(name) for name in columns])
-        .orderBy("phone")
-    )
+    pairs = join_unique(report_phone_map(calls), features.select("report", *columns), "report", heavy)
+    summed = pairs.groupBy("phone").agg(*[F.sum(F.coalesce(F.col(name), F.lit(0))).alias(name) for name in columns])
+    return summed.orderBy("phone") if ordered else summed
+
+
+def phone_pool(
+    calls: DataFrame, providers: DataFrame, config: FeatureConfig = FeatureConfig(), ordered: bool = True
+) -> DataFrame:
+    """Call history to one row of summed features per phone."""
+    heavy = heavy_reports(calls, config)
+    return phone_features(report_features(calls, providers, config, heavy), calls, heavy, ordered)
 
 
 def align_features(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

@@ -130,30 +130,34 @@ def _weighted_gaps(seconds: DataFrame, keys: list[str]) -> DataFrame:
     A second with n calls stands for n - 1 gaps of zero and one gap back to the
     previous second in which the sequence has a call.
     """
-    earlier = W.partitionBy(*keys).orderBy("second").rowsBetween(W.unboundedPreceding, -1)
+    order = W.partitionBy(*keys).orderBy("second")
+    earlier = order.rowsBetween(W.unboundedPreceding, -1)
     kinds = {"gap": "calls", "gap_to": "calls_to", "gap_in": "calls_in"}
+    kept = {name: count for name, count in kinds.items() if count in seconds.columns}
+
+    def previous(count: str) -> Column:
+        if count == "calls":
+            return F.lag("second").over(order)
+        return F.last(F.when(F.col(count) > 0, F.col("second")), ignorenulls=True).over(earlier)
 
-    def entries(count: str) -> Column:
-        back = F.col("second") - F.last(F.when(F.col(count) > 0, F.col("second")), ignorenulls=True).over(earlier)
+    def entry(name: str, value: Column, times: Column, condition: Column) -> Column:
         return F.when(
-            F.col(count) > 0,
-            F.array(
-                F.struct(F.lit(0).cast("bigint").alias("value"), (F.col(count) - 1).alias("times")),
-                F.struct(back.alias("value"), F.lit(1).cast("bigint").alias("times")),
-            ),
+            condition,
+            F.struct(F.lit(name).alias("kind"), value.cast("bigint").alias("value"), times.alias("times")),
         )
 
-    kept = {name: count for name, count in kinds.items() if count in seconds.columns}
-    gaps = seconds.select(*keys, *[entries(count).alias(name) for name, count in kept.items()])
-    long = reduce(
-        DataFrame.unionByName,
-        [gaps.select(*keys, F.lit(name).alias("kind"), F.inline(name)) for name in kept],
-    )
-    counted = (
-        long.where(F.col("value").isNotNull() & (F.col("times") > 0))
-        .groupBy(*keys, "kind", "value")
-        .agg(F.sum("times").alias("times"))
-    )
+    one = F.lit(1).cast("bigint")
+    linked = seconds.select("*", *[previous(count).alias(f"_{name}") for name, count in kept.items()])
+    entries = [
+        item
+        for name, count in kept.items()
+        for item in (
+            entry(name, F.lit(0), F.col(count) - 1, F.col(count) > 1),
+            entry(name, F.col("second") - F.col(f"_{name}"), one, (F.col(count) > 0) & F.col(f"_{name}").isNotNull()),
+        )
+    ]
+    long = linked.select(*keys, F.inline(F.array_compact(F.array(*entries))))
+    counted = long.groupBy(*keys, "kind", "value").agg(F.sum("times").alias("times"))
     return counted.groupBy(*keys).agg(
         *[
             F.expr(f"percentile(if(kind = '{name}', value, null), 0.5, times)").alias(name)

@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringlens.session import stored
+
 HEAVY_ROWS = 4_000_000
 
 
-def heavy_keys(df: DataFrame, key: str, rows: int = HEAVY_ROWS) -> DataFrame:
-    """Keys with more than ``rows`` rows.
+@dataclass(frozen=True)
+class HeavyKeys:
+    """The keys that own too many rows for one task; ``keys`` is None when there are none."""
+
+    keys: DataFrame | None
+
+
+def find_heavy(df: DataFrame, key: str, rows: int = HEAVY_ROWS) -> HeavyKeys:
+    """Keys with more than ``rows`` rows, looked up now so that plans without any stay simple.
 
     A table of N rows has at most N / ``rows`` of them, 250,000 at 10**12 rows
     with the default: small enough to broadcast whatever the data look like.
     The count is pre-aggregated before its shuffle and reads one column.
     """
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select(key)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = stored(counts.where(F.col("_rows") > rows).select(key), "heavy-keys")
+    return HeavyKeys(None if heavy.isEmpty() else heavy)
 
 
 def split_heavy(df: DataFrame, key: str, heavy: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -24,14 +37,16 @@ def split_heavy(df: DataFrame, key: str, heavy: DataFrame) -> tuple[DataFrame, D
     return df.join(marks, key, "left_anti"), df.join(marks, key, "left_semi")
 
 
-def join_unique(many: DataFrame, one: DataFrame, key: str, rows: int = HEAVY_ROWS) -> DataFrame:
+def join_unique(many: DataFrame, one: DataFrame, key: str, heavy: HeavyKeys) -> DataFrame:
     """Inner join of ``many`` with ``one``, whose ``key`` is unique.
 
     Rows of heavy keys never meet in one task: since ``one`` has a single row
     per key, its heavy part is as small as the list of heavy keys and is
     broadcast. All other rows take the ordinary shuffled join.
     """
-    heavy = heavy_keys(many, key, rows)
-    usual, hot = split_heavy(many, key, heavy)
-    hot_side = F.broadcast(one.join(F.broadcast(heavy), key, "left_semi"))
-    return usual.join(one, key).unionByName(hot.join(hot_side, key))
+    if heavy.keys is None:
+        return many.join(one, key)
+    usual, hot = split_heavy(many, key, heavy.keys)
+    settled = stored(one, "unique-side")
+    hot_side = settled.join(F.broadcast(heavy.keys), key, "left_semi")
+    return usual.join(settled, key).unionByName(hot.join(F.broadcast(hot_side), key))

@@ -24,7 +24,8 @@ from ringlens.operators.feedback import clean_reports, report_summary
 from ringlens.operators.labels import label_feedback
 from ringlens.operators.model import fit, model_report, score, split_rows, tune
 from ringlens.operators.quality import validate_training
-from ringlens.operators.rollup import phone_features, predictions
+from ringlens.operators.rollup import phone_pool, predictions
+from ringlens.session import stored
 from ringlens.sources import artifacts
 from ringlens.sources.history import export_calls, export_reports
 from ringlens.sources.providers import provider_dimension
@@ -79,10 +80,12 @@ def score_history(
         limit = float(artifacts.threshold_row(metrics).first()["threshold"])
     if not 0.0 <= limit <= 1.0:
         raise ValueError(f"threshold {limit} is outside [0, 1]")
-    pool = report_features(calls, provider_dimension(spark, config.providers), config.features)
-    key = "report"
+    key = "phone" if per_phone else "report"
+    dimension = provider_dimension(spark, config.providers)
     if per_phone:
-        pool, key = phone_features(pool, calls, config.features.heavy_rows), "phone"
+        pool = phone_pool(calls, dimension, config.features, ordered=False)
+    else:
+        pool = report_features(calls, dimension, config.features)
     scored = score(model, columns, pool, [key])
     return scored.withColumn("label", (F.col("Score") >= F.lit(limit)).cast("int")), limit
 
@@ -108,7 +111,7 @@ def infer(spark: SparkSession, history: str, config: JobConfig) -> dict[str, Any
 def label(spark: SparkSession, reports: str, config: JobConfig) -> dict[str, Any]:
     """Recent reports to labels per phone."""
     exported = export_reports(spark, reports, config.path("exports"), config.window(config.report_days))
-    summary = report_summary(clean_reports(load_table(spark, exported, "parquet")))
+    summary = stored(report_summary(clean_reports(load_table(spark, exported, "parquet")), ordered=False), "summary")
     target = save_table(
         label_feedback(summary, config.labels), config.path("feedback_labels.parquet"), mode="overwrite"
     )

@@ -119,13 +119,15 @@ def promote(
 ) -> DataFrame:
     """Compares a candidate bundle with the production one and appends the outcome to the registry."""
     current = production_model(spark, registry)
-    new = metrics.select(F.col("auc_val").alias("new_auc"), F.col("`f1@best`").alias("new_f1"))
-    old = literal_table(
-        spark,
-        [("has_old", "boolean"), ("old_auc", "double"), ("old_f1", "double")],
-        [(current is not None, current and current["auc_val"], current and current["f1_best"])],
+    known = current or {}
+    pair = metrics.select(
+        F.col("auc_val").alias("new_auc"),
+        F.col("`f1@best`").alias("new_f1"),
+        F.lit(current is not None).alias("has_old"),
+        F.lit(known.get("auc_val")).cast("double").alias("old_auc"),
+        F.lit(known.get("f1_best")).cast("double").alias("old_f1"),
     )
-    gate = promotion_gate(new.join(old, how="cross"), min_delta)
+    gate = promotion_gate(pair, min_delta)
     row = gate.select(
         F.lit(version).alias("version"),
         F.lit(bundle_path).alias("path"),
