@@ -94,8 +94,8 @@ def reports(spark: SparkSession, sf: str) -> DataFrame:
     return A.read(spark, sf, A.REPORTS)
 
 
-def summary(spark: SparkSession, sf: str) -> DataFrame:
-    return FB.report_summary(FB.clean_reports(reports(spark, sf)))
+def summary(spark: SparkSession, sf: str, ordered: bool = False) -> DataFrame:
+    return FB.report_summary(FB.clean_reports(reports(spark, sf)), ordered)
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -425,7 +425,7 @@ def prediction_sample(spark, sf):
 
 @query("report_summary", O.report_summary())
 def report_summary(spark, sf):
-    return summary(spark, sf)
+    return summary(spark, sf, ordered=True)
 
 
 @query("label_thresholds", O.label_thresholds(O.report_summary()))
