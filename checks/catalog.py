@@ -27,7 +27,7 @@ from ringlens.operators import promotion as PR
 from ringlens.operators import quality as Q
 from ringlens.operators import risk as R
 from ringlens.operators import rollup as RU
-from ringlens.operators.sequences import call_gaps
+from ringlens.operators.sequences import base_metrics, call_gaps, contacts, daily_mean
 from ringlens.operators.skew import find_heavy
 from ringlens.operators.split import stratified_split
 from ringlens.plans import jobs
@@ -332,8 +332,8 @@ def scalar_conversions(spark, sf):
     CASE WHEN outgoing THEN way_gap END AS gap_to, CASE WHEN NOT outgoing THEN way_gap END AS gap_in,
     member_gap FROM ({O.gaps(A.CALL_HISTORY)}) g""")
 def gaps(spark, sf):
-    directed = FT.directed_calls(call_history(spark, sf), providers(spark))
-    return call_gaps(directed).select(
+    marked = FT.marked_calls(call_history(spark, sf), providers(spark))
+    return call_gaps(marked).select(
         "report", "phone_member", "type", "time", "duration", "gap", "gap_to", "gap_in", "member_gap"
     )
 
@@ -343,13 +343,15 @@ BASE = [
     "not_in_hour", "avg_success", "call_to", "call_in", "call_to_miss", "call_in_miss", "Spam",
 ]
 BLOCKS = {
-    "agg_base": BASE,
     "agg_frequency": ["frequency", "total_frequency_to", "total_frequency_in"],
     "agg_frequency_member": ["total_frequency_to_by_phonemember", "total_frequency_in_by_phonemember"],
-    "agg_time_join": ["time_join"],
     "agg_redial": ["total_redial"],
-    "agg_contacted": ["total_contacted", "total_contacted_to", "total_contacted_in"],
-    "agg_daily": ["mean_call_by_day"],
+}
+UNORDERED_BLOCKS = {
+    "agg_base": (base_metrics, BASE),
+    "agg_time_join": (base_metrics, ["time_join"]),
+    "agg_contacted": (contacts, ["total_contacted", "total_contacted_to", "total_contacted_in"]),
+    "agg_daily": (daily_mean, ["mean_call_by_day"]),
 }
 
 
@@ -357,8 +359,20 @@ def _block(columns: list[str]) -> Run:
     return lambda spark, sf: aggregates(spark, sf).select("report", *columns)
 
 
+def _unordered(block: Callable[[DataFrame], DataFrame], columns: list[str]) -> Run:
+    return lambda spark, sf: block(FT.directed_calls(call_history(spark, sf), providers(spark))).select(
+        "report", *columns
+    )
+
+
+def _block_sql(columns: list[str]) -> str:
+    return f"SELECT report, {', '.join(columns)} FROM ({O.with_days(A.CALL_HISTORY)}) b"
+
+
 for _name, _columns in BLOCKS.items():
-    query(_name, f"SELECT report, {', '.join(_columns)} FROM ({O.with_days(A.CALL_HISTORY)}) b")(_block(_columns))
+    query(_name, _block_sql(_columns))(_block(_columns))
+for _name, (_metrics, _columns) in UNORDERED_BLOCKS.items():
+    query(_name, _block_sql(_columns))(_unordered(_metrics, _columns))
 
 
 @query("features_report", O.features(A.CALL_HISTORY))
@@ -373,6 +387,19 @@ def features_report_heavy(spark, sf):
     return FT.report_features(call_history(spark, sf), providers(spark), config)
 
 
+@query("features_csv_history", O.features(A.CALL_HISTORY))
+def features_csv_history(spark, sf):
+    """The feature builder on a CSV history, where every column arrives as text."""
+    path = tables.save_table(call_history(spark, sf), fresh_path(spark, "history") + ".csv")
+    return FT.report_features(tables.load_table(spark, path), providers(spark))
+
+
+@query("features_json_history", O.features(A.CALL_HISTORY))
+def features_json_history(spark, sf):
+    path = tables.save_table(call_history(spark, sf), fresh_path(spark, "history") + ".jsonl")
+    return FT.report_features(tables.load_table(spark, path), providers(spark))
+
+
 @query("features_report_shared", O.features(A.SHARED_REPORTS))
 def features_report_shared(spark, sf):
     return FT.report_features(shared_reports(spark, sf), providers(spark))
@@ -791,7 +818,7 @@ def job_train(spark, sf):
 def job_full(spark, sf):
     config = with_production(spark, sf)
     job = lambda: jobs.full(spark, upstream_file(spark, sf), reports_file(spark, sf), config)
-    result = jobs.recorded(spark, "pipeline", config, job)
+    result = jobs.recorded(spark, "full", config, job)
     return tables.load_table(spark, result["dataset"]["training"]).select("phone", "label", *FEATURE_COLUMNS)
 
 

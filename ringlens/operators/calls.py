@@ -71,33 +71,46 @@ def business_hour(second: Column, config: FeatureConfig) -> Column:
     return office & weekday(second).isin(*config.work_days)
 
 
-def enrich_calls(
+def mark_calls(
     cleaned: DataFrame, providers: DataFrame, config: FeatureConfig = FeatureConfig()
 ) -> DataFrame:
-    """Same-network, business-hour and success flags, one flag per call type, directional durations."""
-    kinds = dict(
-        zip(FLAGS, (config.out_type, config.in_type, config.out_missed_type, config.in_missed_type), strict=True)
-    )
-    flagged = with_providers(cleaned, providers, config).select(
+    """Adds what needs more than the call itself: same network (lookups) and business hour (settings)."""
+    return with_providers(cleaned, providers, config).select(
         "report", "phone", "phone_member", "type", "time", "in_contact", "duration", "Spam",
         (F.col("caller_provider") == F.col("receiver_provider")).alias("same_network"),
         business_hour(epoch_second(F.col("time")), config).alias("in_hour"),
-        (F.col("duration") > config.success_seconds).alias("success"),
-        *[(F.col("type") == code).cast("int").alias(name) for name, code in kinds.items()],
     )
-    return flagged.select(
-        "*",
-        (~F.col("in_hour")).alias("not_in_hour"),
-        (F.col("duration") * F.col("call_in")).alias("duration_call_in"),
-        (F.col("duration") * F.col("call_to")).alias("duration_call_to"),
+
+
+def expand_calls(marked: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
+    """Adds the columns that follow from a marked row: cheaper to compute late than to shuffle and sort."""
+    kinds = dict(
+        zip(FLAGS, (config.out_type, config.in_type, config.out_missed_type, config.in_missed_type), strict=True)
+    )
+    flags = {name: (F.col("type") == code).cast("int") for name, code in kinds.items()}
+    return marked.withColumns(
+        {
+            **flags,
+            "not_in_hour": ~F.col("in_hour"),
+            "success": F.col("duration") > config.success_seconds,
+            "duration_call_in": F.col("duration") * flags["call_in"],
+            "duration_call_to": F.col("duration") * flags["call_to"],
+        }
     )
 
 
-def with_direction(enriched: DataFrame) -> DataFrame:
+def enrich_calls(
+    cleaned: DataFrame, providers: DataFrame, config: FeatureConfig = FeatureConfig()
+) -> DataFrame:
+    """Same-network, business-hour and success flags, one flag per call type, directional durations."""
+    return expand_calls(mark_calls(cleaned, providers, config), config)
+
+
+def with_direction(marked: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
     """Adds the epoch second and whether the reporter placed the call (answered or not)."""
-    return enriched.withColumns(
+    return marked.withColumns(
         {
             "second": epoch_second(F.col("time")),
-            "outgoing": (F.col("call_to") + F.col("call_to_miss")) == 1,
+            "outgoing": F.col("type").isin(config.out_type, config.out_missed_type),
         }
     )

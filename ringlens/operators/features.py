@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ringlens.config import FeatureConfig
 from ringlens.functions.conversions import ratio, round_half_even
-from ringlens.operators.calls import clean_calls, enrich_calls, with_direction
+from ringlens.operators.calls import clean_calls, expand_calls, mark_calls, with_direction
 from ringlens.operators.sequences import layered_metrics, ordered_metrics
 from ringlens.operators.skew import HeavyKeys, find_heavy, split_heavy
 from ringlens.session import stored
@@ -34,10 +34,17 @@ def heavy_reports(calls: DataFrame, config: FeatureConfig = FeatureConfig()) ->
     return find_heavy(calls.select(F.col("report").cast("string").alias("report")), "report", config.heavy_rows)
 
 
+def marked_calls(
+    calls: DataFrame, providers: DataFrame, config: FeatureConfig = FeatureConfig()
+) -> DataFrame:
+    return mark_calls(clean_calls(calls, config), providers, config).drop("phone")
+
+
 def directed_calls(
     calls: DataFrame, providers: DataFrame, config: FeatureConfig = FeatureConfig()
 ) -> DataFrame:
-    return with_direction(enrich_calls(clean_calls(calls, config), providers, config))
+    """Calls with every derived column, for blocks that need no order."""
+    return expand_calls(with_direction(marked_calls(calls, providers, config), config), config)
 
 
 def report_aggregates(
@@ -52,12 +59,13 @@ def report_aggregates(
     heavy reports, if any, are stored because their plan reads them several times.
     """
     marks = heavy_reports(calls, config) if heavy is None else heavy
-    directed = directed_calls(calls, providers, config)
+    marked = marked_calls(calls, providers, config)
     if marks.keys is None:
-        merged = ordered_metrics(directed)
+        merged = ordered_metrics(marked, config)
     else:
-        usual, hot = split_heavy(directed, "report", marks.keys)
-        merged = ordered_metrics(usual).unionByName(layered_metrics(stored(hot, "heavy-calls")))
+        usual, hot = split_heavy(marked, "report", marks.keys)
+        layered = layered_metrics(stored(hot, "heavy-calls"), config)
+        merged = ordered_metrics(usual, config).unionByName(layered)
     return merged.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in ZERO_WHEN_MISSING})
 
 

@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ringlens.config import FeatureConfig
 from ringlens.functions.timing import day_number
+from ringlens.operators.calls import expand_calls, with_direction
 
 HOUR = 3600.0
 
@@ -48,13 +50,15 @@ def additive_metrics() -> list[Column]:
     return [build().alias(name) for name, build in ADDITIVE.items()]
 
 
-def call_gaps(directed: DataFrame) -> DataFrame:
+def call_gaps(marked: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
     """Adds seconds since the previous call, overall, in the same direction and with the same member.
 
     All windows need the same hash partitioning by report, so they share one
     shuffle and differ only in the sort within a partition; the last two also
-    share the sort.
+    share the sort. The shuffle is stated here so that derived columns are
+    computed after it.
     """
+    directed = with_direction(marked.repartition("report"), config)
     calls = W.partitionBy("report").orderBy("time", "phone_member", "type", "duration")
     members = W.partitionBy("report", "phone_member").orderBy("outgoing", "time", "type", "duration")
     ways = W.partitionBy("report", "phone_member", "outgoing").orderBy("time", "type", "duration")
@@ -81,7 +85,7 @@ def call_gaps(directed: DataFrame) -> DataFrame:
     )
 
 
-def ordered_metrics(directed: DataFrame) -> DataFrame:
+def ordered_metrics(marked: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
     """All aggregates by report in a single pass over its ordered calls.
 
     The median gap of every member and direction is read off the rank of the
@@ -93,7 +97,7 @@ def ordered_metrics(directed: DataFrame) -> DataFrame:
     whole = ranked.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     twice, gaps = 2 * F.col("_rank"), F.col("_gaps")
     rows = (
-        call_gaps(directed)
+        call_gaps(marked, config)
         .withColumns({"_rank": F.row_number().over(ranked), "_gaps": F.count("member_gap").over(whole)})
         .withColumn(
             "member_median",
@@ -108,7 +112,7 @@ def ordered_metrics(directed: DataFrame) -> DataFrame:
 
     first_contact = F.col("member_gap").isNull()
     new_day = ~day_number(F.col("second")).eqNullSafe(day_number(F.col("previous_second")))
-    return rows.groupBy("report").agg(
+    return expand_calls(rows, config).groupBy("report").agg(
         *additive_metrics(),
         (F.median("gap") / HOUR).alias("frequency"),
         (F.median("gap_to") / HOUR).alias("total_frequency_to"),
@@ -204,11 +208,41 @@ def _layered_redials(directed: DataFrame) -> DataFrame:
     )
 
 
-def layered_metrics(directed: DataFrame) -> DataFrame:
-    """The aggregates of ``ordered_metrics`` with every group bounded; meant for few, very large reports."""
+def base_metrics(directed: DataFrame) -> DataFrame:
+    """Sums, means and the time span by report; aggregated before the shuffle, so skew does not matter."""
+    return directed.groupBy("report").agg(*additive_metrics())
+
+
+def contacts(directed: DataFrame) -> DataFrame:
+    """Distinct members by report, overall and per direction, through one row per report and member."""
     outgoing = F.col("outgoing")
-    sums = directed.groupBy("report").agg(*additive_metrics())
+    return (
+        directed.groupBy("report", "phone_member")
+        .agg(F.max(outgoing.cast("int")).alias("to"), F.max((~outgoing).cast("int")).alias("in"))
+        .groupBy("report")
+        .agg(
+            F.count(F.lit(1)).alias("total_contacted"),
+            F.sum("to").alias("total_contacted_to"),
+            F.sum("in").alias("total_contacted_in"),
+        )
+    )
+
+
+def daily_mean(directed: DataFrame) -> DataFrame:
+    """Mean number of answered calls over the days on which a report has calls."""
+    return (
+        directed.groupBy("report", day_number(F.col("second")).alias("day"))
+        .agg(F.sum(F.col("call_to") + F.col("call_in")).alias("answered"))
+        .groupBy("report")
+        .agg(F.avg("answered").alias("mean_call_by_day"))
+    )
+
 
+def layered_metrics(marked: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
+    """The aggregates of ``ordered_metrics`` with every group bounded; meant for few, very large reports."""
+    directed = expand_calls(with_direction(marked, config), config)
+    outgoing = F.col("outgoing")
+    sums = base_metrics(directed)
     per_member = directed.groupBy("report", "phone_member", "second").agg(
         F.sum(outgoing.cast("bigint")).alias("calls_to"),
         F.sum((~outgoing).cast("bigint")).alias("calls_in"),
@@ -232,21 +266,5 @@ def layered_metrics(directed: DataFrame) -> DataFrame:
             (F.sum("gap_in") / HOUR).alias("total_frequency_in_by_phonemember"),
         )
     )
-    contacted = (
-        directed.groupBy("report", "phone_member")
-        .agg(F.max(outgoing.cast("int")).alias("to"), F.max((~outgoing).cast("int")).alias("in"))
-        .groupBy("report")
-        .agg(
-            F.count(F.lit(1)).alias("total_contacted"),
-            F.sum("to").alias("total_contacted_to"),
-            F.sum("in").alias("total_contacted_in"),
-        )
-    )
-    daily = (
-        directed.groupBy("report", day_number(F.col("second")).alias("day"))
-        .agg(F.sum(F.col("call_to") + F.col("call_in")).alias("answered"))
-        .groupBy("report")
-        .agg(F.avg("answered").alias("mean_call_by_day"))
-    )
-    blocks = [gaps, member_gaps, _layered_redials(directed), contacted, daily]
+    blocks = [gaps, member_gaps, _layered_redials(directed), contacts(directed), daily_mean(directed)]
     return reduce(lambda left, right: left.join(right, "report", "left"), blocks, sums)

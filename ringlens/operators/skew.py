@@ -27,8 +27,8 @@ def find_heavy(df: DataFrame, key: str, rows: int = HEAVY_ROWS) -> HeavyKeys:
     The count is pre-aggregated before its shuffle and reads one column.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = stored(counts.where(F.col("_rows") > rows).select(key), "heavy-keys")
-    return HeavyKeys(None if heavy.isEmpty() else heavy)
+    heavy = counts.where(F.col("_rows") > rows).select(key)
+    return HeavyKeys(None if heavy.isEmpty() else stored(heavy, "heavy-keys"))
 
 
 def split_heavy(df: DataFrame, key: str, heavy: DataFrame) -> tuple[DataFrame, DataFrame]:

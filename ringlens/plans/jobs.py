@@ -49,6 +49,7 @@ class JobConfig:
     trial_seconds: float | None = 1800.0
     max_rounds: int | None = None
     min_delta: float = 1e-6
+    shuffle_partitions: int | None = None  # None keeps the session's setting
 
     def path(self, name: str) -> str:
         return f"{self.workspace.rstrip('/')}/{name}"
@@ -206,6 +207,8 @@ def recorded(
     """Runs a job and leaves one manifest record of how it went."""
     run_id = uuid.uuid4().hex
     manifest = config.path("runs")
+    if config.shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(config.shuffle_partitions))
     try:
         result = job()
     except Exception as error:

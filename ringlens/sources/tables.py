@@ -24,8 +24,10 @@ def load_table(
 ) -> DataFrame:
     """A table in any supported format.
 
-    Text formats should be given a schema: inference reads the data twice and
-    turns phone numbers into integers, which drops their leading zeros.
+    CSV columns are text unless a schema says otherwise: inference would read
+    the data twice and turn phone numbers into integers without their leading
+    zeros, and every operator converts text itself. JSON carries its own types;
+    a schema saves the pass that discovers them.
     """
     kind = FORMATS.get((fmt or infer_format(path)).lower().strip())
     if kind is None:
@@ -34,8 +36,7 @@ def load_table(
     if kind == "parquet":
         return reader.parquet(path)
     if kind == "csv":
-        reader = reader.option("header", True).option("escape", '"')
-        return (reader if schema is not None else reader.option("inferSchema", True)).csv(path)
+        return reader.option("header", True).option("escape", '"').csv(path)
     # A .json file may hold one array over many lines, which cannot be split between tasks;
     # line-delimited files can.
     return reader.option("multiLine", kind == "json").json(path)

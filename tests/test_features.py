@@ -10,7 +10,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from ringlens.config import FeatureConfig
-from ringlens.operators.features import derive_features, directed_calls, report_features
+from ringlens.operators.features import derive_features, marked_calls, report_features
 from ringlens.operators.rollup import align_features, phone_features, report_phone_map
 from ringlens.operators.sequences import layered_metrics, ordered_metrics
 from ringlens.operators.skew import HeavyKeys, find_heavy
@@ -102,9 +102,9 @@ def test_features_match_brute_force(spark, seed, heavy_rows):
 
 def test_both_plans_give_equal_rows(spark):
     df = spark.createDataFrame(random_calls(3), SCHEMA)
-    directed = directed_calls(df, provider_dimension(spark, {"a": ["9700"], "b": ["0912"]}))
-    one = ordered_metrics(directed)
-    two = layered_metrics(directed).select(one.columns)
+    marked = marked_calls(df, provider_dimension(spark, {"a": ["9700"], "b": ["0912"]}))
+    one = ordered_metrics(marked)
+    two = layered_metrics(marked).select(one.columns)
     names = ["report", "frequency", "total_redial", "total_frequency_in_by_phonemember", "mean_call_by_day"]
     assert sorted(map(tuple, one.fillna(0).select(names).collect())) == sorted(
         map(tuple, two.fillna(0).select(names).collect())
@@ -127,7 +127,7 @@ def test_invalid_calls_are_dropped(spark):
     ]
     bad = [tuple(change.get(i, v) for i, v in enumerate(good)) for change in variants]
     df = spark.createDataFrame([good, *bad], SCHEMA)
-    assert directed_calls(df, provider_dimension(spark, {})).count() == 1
+    assert marked_calls(df, provider_dimension(spark, {})).count() == 1
 
 
 def test_provider_prefixes_must_be_unique(spark):
@@ -160,5 +160,5 @@ def test_alignment_fills_drops_and_orders(spark):
 
 def test_derived_features_do_not_need_python(spark):
     df = spark.createDataFrame(random_calls(5, 50), SCHEMA)
-    plan = derive_features(ordered_metrics(directed_calls(df, provider_dimension(spark, {}))))
+    plan = derive_features(ordered_metrics(marked_calls(df, provider_dimension(spark, {}))))
     assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()

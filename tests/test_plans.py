@@ -25,7 +25,14 @@ def test_features_take_one_shuffle(spark, sf):
 def test_one_block_prunes_the_others(spark, sf):
     text = plan(K.aggregates(spark, sf).select("report", "total_redial"))
     assert text.count("Window [") == 1 and "percentile" not in text
-    assert "Window [" not in plan(K.aggregates(spark, sf).select("report", "time_join"))
+
+
+@pytest.mark.parametrize("name", ["agg_base", "agg_contacted", "agg_daily"])
+def test_unordered_blocks_aggregate_before_every_shuffle(spark, sf, name):
+    lines = [line.strip(" :+-") for line in plan(K.CATALOG[name].run(spark, sf)).split("\n")]
+    shuffles = [i for i, line in enumerate(lines) if line.startswith("Exchange hashpartitioning")]
+    assert shuffles and all("partial_" in lines[i + 1] for i in shuffles)
+    assert not any(line.startswith("Window") for line in lines)
 
 
 def test_date_filter_reaches_the_scan(spark, sf):
