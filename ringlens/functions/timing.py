@@ -26,16 +26,20 @@ def naive_time(col: Column, dtype: T.DataType) -> Column:
     return F.lit(None).cast("timestamp_ntz")
 
 
+def naive_literal(moment: datetime) -> Column:
+    """A naive time as it is; a datetime literal would be shifted by the zones of Python and the session."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def epoch_second(col: Column) -> Column:
     """Whole seconds since 1970 of a naive time, independent of the session zone.
 
     The difference of two such values counts second boundaries. The fast
     function rounds towards zero, so times before 1970 are assembled by hand.
     """
-    epoch = F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz")
     clock = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
     early = F.unix_date(col.cast("date")).cast("bigint") * DAY + clock
-    return F.when(col < epoch, early).otherwise(F.unix_timestamp(col))
+    return F.when(col < naive_literal(datetime(1970, 1, 1)), early).otherwise(F.unix_timestamp(col))
 
 
 def second_of_day(second: Column) -> Column:
@@ -72,8 +76,7 @@ class DayWindow:
 
     def contains(self, col: Column, dtype: T.DataType) -> Column:
         """Predicate on the raw column; a half-open range so that Parquet can skip row groups."""
-        first = F.lit(datetime(self.start.year, self.start.month, self.start.day))
-        after = self.as_of + timedelta(days=1)
-        end = F.lit(datetime(after.year, after.month, after.day))
+        first = datetime.combine(self.start, datetime.min.time())
+        end = first + timedelta(days=self.days)
         time = naive_time(col, dtype)
-        return (time >= first.cast("timestamp_ntz")) & (time < end.cast("timestamp_ntz"))
+        return (time >= naive_literal(first)) & (time < naive_literal(end))

@@ -25,6 +25,8 @@ def build_session(app: str = "ringlens", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # Call sites of every Column cost a round trip to the JVM each.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

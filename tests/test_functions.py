@@ -103,6 +103,20 @@ def test_seconds_do_not_depend_on_the_session_zone(spark):
     assert got == [1710037800]
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Ho_Chi_Minh"])
+def test_day_window_does_not_depend_on_the_session_zone(spark, zone):
+    window = DayWindow(date(2024, 1, 30), 7)
+    raw = ["2024-01-23 23:59:59", "2024-01-24 00:00:00", "2024-01-30 23:59:59", "2024-01-31 00:00:00"]
+    kept = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert values(spark, raw, window.contains(F.col("v"), TEXT)) == [False, True, True, False]
+        naive = window.contains(F.col("v").cast("timestamp_ntz"), T.TimestampNTZType())
+        assert values(spark, raw, naive) == [False, True, True, False]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", kept)
+
+
 def test_weekday_and_day(spark):
     days = [date(1969, 12, 29), date(1970, 1, 1), date(2024, 1, 28), date(2024, 2, 29)]
     times = [datetime(d.year, d.month, d.day, 23, 59, 59) for d in days]
