@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -84,3 +85,12 @@ def literal_table(spark: SparkSession, schema: list[tuple[str, str]], rows: list
         )
 
     return spark.range(1).select(F.inline(F.array(*[record(row) for row in rows]))).select(*columns)
+
+
+def share_code(spark: SparkSession) -> None:
+    """Lets Python workers import this package where it is not installed and the session started elsewhere."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
