@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringlens.llm import packing, simhash
+from ringlens.llm import embeddings, exact_search, html_text, language, packing, pieces, pii, secret_scan, simhash, toxicity
 from ringlens.session import share_code
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,97 @@ def op1_simhash(spark, sf):
     return simhash.simhash_groups(table(spark, sf, "documents"))
 
 
+@query("op2_sentence_pieces")
+def op2_sentence_pieces(spark, sf):
+    """Ids of every document, their digest, and whether decoding gives the text back (with its space marks as spaces)."""
+    docs = table(spark, sf, "documents")
+    path = tokenizer("piece_bpe_32k.model")
+    keyed = docs.select(F.struct("doc_id", F.crc32(F.translate("text", pieces.SPACE, " ").cast("binary")).alias("crc")).alias("key"), "text")
+    back = pieces.decode_ids(pieces.encode_texts(keyed, path, "key"), path)
+    return back.select(
+        "key.doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        "ids",
+        "ids_crc32",
+        (F.crc32(F.col("decoded").cast("binary")) == F.coalesce("key.crc", F.crc32(F.lit("").cast("binary")))).alias("round_trip"),
+    )
+
+
+EXACT_TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) r WHERE rank <= 10
+"""
+
+
+@query("op3_exact_top_k", EXACT_TOP_K)
+def op3_exact_top_k(spark, sf):
+    return exact_search.top_k(table(spark, sf, "embeddings"))
+
+
+@query("op4_secret_scan")
+def op4_secret_scan(spark, sf):
+    return secret_scan.find_secrets(table(spark, sf, "documents"))
+
+
 @query("op5_best_fit_packing")
 def op5_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@query("op6_language_id")
+def op6_language_id(spark, sf):
+    return language.language_ids(table(spark, sf, "documents"))
+
+
+EMBEDDING_GROUPS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT e.vec_id, CAST((SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS BIGINT) AS n_links,
+  c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = e.vec_id
+"""
+
+
+@query("op7_embedding_dedup", EMBEDDING_GROUPS)
+def op7_embedding_dedup(spark, sf):
+    return embeddings.embedding_groups(table(spark, sf, "embeddings"))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.OrdinalModel:
+    grades = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), toxicity.severity_grade().alias("grade"))
+    return toxicity.train(docs, grades)
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    return toxicity.toxicity(docs, toxicity_model(spark, sf, docs))
+
+
+@query("op9_personal_data")
+def op9_personal_data(spark, sf):
+    docs = table(spark, sf, "documents")
+    return pii.find_personal_data(docs, pii.train(docs))
+
+
+@query("op10_html_text")
+def op10_html_text(spark, sf):
+    return html_text.extract_text(table(spark, sf, "pages"))
