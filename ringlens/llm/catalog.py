@@ -146,3 +146,10 @@ def op9_personal_data(spark, sf):
 @query("op10_html_text")
 def op10_html_text(spark, sf):
     return html_text.extract_text(table(spark, sf, "pages"))
+
+
+@query("pipeline")
+def pipeline(spark, sf):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
