@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from checks import adapters as A
 from checks import oracle as O
-from ringlens.config import FeatureConfig, RiskConfig, TreeParams
-from ringlens.constants import FEATURE_COLUMNS
+from ringlens.config import FeatureConfig, RiskConfig, SearchSpace, TreeParams
+from ringlens.constants import FEATURE_COLUMNS, SHIPPED_WORK_DAYS
 from ringlens.functions import conversions as conv
 from ringlens.functions.phones import join_key, phone_origin, strip_country
 from ringlens.functions.timing import DayWindow
@@ -50,7 +50,9 @@ CATALOG: dict[str, Query] = {}
 HISTORY_WINDOW = DayWindow(date(2024, 1, 30), 7)
 REPORT_WINDOW = DayWindow(date(2000, 6, 30), 100)
 CONFIG = FeatureConfig()
-SMALL_TREES = TreeParams(rounds=8, depth=4, learning_rate=0.2)
+# What the tuning queries search: few rounds of shallow trees, drawn as from any other space.
+QUICK_SPACE = SearchSpace(rounds=(10, 30), rounds_step=5, depth=(3, 5), bins=(32, 128), bins_step=32)
+FIRST_MODEL = TreeParams(rounds=40, depth=4, learning_rate=0.1)
 CANONICAL = "phone, phone_member, report, type, time, in_contact, duration, Spam"
 
 
@@ -108,18 +110,20 @@ def workspace(spark: SparkSession, sf: str, days: int = 30, **overrides) -> jobs
         as_of=date(2024, 1, 30),
         history_days=days,
         providers=O.TEST_PROVIDERS,
-        trials=1,
-        max_rounds=6,
+        trials=2,
+        space=QUICK_SPACE,
         **overrides,
     )
 
 
-def labelled_pool(spark: SparkSession, sf: str) -> DataFrame:
+def labelled(reported: DataFrame) -> DataFrame:
     """Features per phone with a label, as a base training set has them."""
     labels = F.when(F.col("Spam") == 1, F.lit(1)).otherwise(F.lit(0))
-    return features(spark, sf).select(
-        F.col("report").alias("phone"), labels.alias("label"), *FEATURE_COLUMNS
-    )
+    return reported.select(F.col("report").alias("phone"), labels.alias("label"), *FEATURE_COLUMNS)
+
+
+def labelled_pool(spark: SparkSession, sf: str) -> DataFrame:
+    return labelled(features(spark, sf))
 
 
 # --- sources and sinks ---
@@ -145,6 +149,27 @@ def json_roundtrip(spark, sf):
     return tables.load_table(spark, path, schema=df.schema)
 
 
+@query("json_lines_in_json", A.REPORTS)
+def json_lines_in_json(spark, sf):
+    """Lines under the suffix of an array, in several files."""
+    df = reports(spark, sf)
+    path = tables.save_table(df.repartition(3), fresh_path(spark, "reports") + ".json")
+    return tables.load_table(spark, path, schema=df.schema)
+
+
+@query("json_array", A.REPORTS)
+def json_array(spark, sf):
+    """A folder that holds an array over many lines beside line-delimited files."""
+    df = reports(spark, sf)
+    path = fresh_path(spark, "reports") + ".json"
+    even = F.pmod(F.hash("phone"), F.lit(2)) == 0
+    as_json = F.to_json(F.struct(*df.columns))
+    tables.save_table(df.where(~even), path)
+    array = F.concat(F.lit("[\n"), F.array_join(F.sort_array(F.collect_list(as_json)), ",\n"), F.lit("\n]"))
+    df.where(even).groupBy().agg(array.alias("value")).write.mode("append").option("fileExtension", "json").text(path)
+    return tables.load_table(spark, path, schema=df.schema)
+
+
 @query(
     "provider_dim",
     f"""SELECT d.prefix, d.provider, count(DISTINCT c.phone) AS phones, count(c.phone) AS calls
@@ -307,7 +332,7 @@ def coerce_numeric(spark, sf):
 
 @query(
     "scalar_conversions",
-    f"""SELECT event_id, coalesce({PARSED}, 0) AS as_double, coalesce(CAST(trunc({PARSED}) AS INTEGER), -1) AS as_int,
+    f"""SELECT event_id, coalesce({PARSED}, 0) AS as_double, coalesce(CAST(trunc({PARSED}) AS BIGINT), -1) AS as_int,
     coalesce(lower(raw) IN ('true', '1', 'yes'), false) AS as_bool,
     CASE WHEN isnan(amount) THEN NULL ELSE CAST(round_even(amount / 2, 0) AS BIGINT) END AS half
     FROM ({NUMBER_FORMS}) n""",
@@ -486,6 +511,21 @@ def merge_training(spark, sf):
     return D.merge_training(changed, A.read(spark, sf, A.BASE_TRAINING))
 
 
+def csv_base(spark: SparkSession, sf: str) -> str:
+    """The base training set as a CSV file, in which every column is text."""
+    return tables.save_table(A.read(spark, sf, A.BASE_TRAINING), fresh_path(spark, "base") + ".csv")
+
+
+# sum_call has a number on one side and text on the other; nation is on one side only.
+TEXT_MERGED = f"SELECT phone, label, CAST(sum_call AS DOUBLE) AS sum_call, duration, CAST(nation AS VARCHAR) AS nation FROM ({MERGED}) m"
+
+
+@query("merge_training_csv", TEXT_MERGED)
+def merge_training_csv(spark, sf):
+    changed = stored(changed_labels(spark, sf), "changed")
+    return D.merge_training(changed, tables.load_table(spark, csv_base(spark, sf)))
+
+
 @query(
     "merge_training_nokey",
     f"""SELECT label, sum_call, CAST(NULL AS DOUBLE) AS duration, nation FROM ({A.BASE_TRAINING}) b
@@ -562,6 +602,33 @@ def metrics_at_threshold(spark, sf):
     return M.metrics_at(scored(spark, sf), [0.5, 0.25, 0.999])
 
 
+DIRTY_SCORES = f"""
+SELECT CASE WHEN row_id % 13 = 0 THEN NULL WHEN row_id % 17 = 0 THEN 2 ELSE label END AS label,
+  CASE WHEN row_id % 7 = 0 THEN NULL WHEN row_id % 11 = 0 THEN CAST('NaN' AS DOUBLE) ELSE score END AS score
+FROM ({A.SCORED}) x
+"""
+CLEAN_SCORES = f"SELECT * FROM ({DIRTY_SCORES}) d WHERE label IN (0, 1) AND score IS NOT NULL AND NOT isnan(score)"
+
+
+@query(
+    "metrics_dirty_scores",
+    f"""SELECT s.*, a.auc, l.rows, l.left_out FROM ({O.sweep(CLEAN_SCORES)}) s, ({O.roc_auc(CLEAN_SCORES)}) a,
+    (SELECT count(*) AS rows, count(*) - (SELECT count(*) FROM ({CLEAN_SCORES}) c) AS left_out FROM ({DIRTY_SCORES}) d) l""",
+)
+def metrics_dirty_scores(spark, sf):
+    """NULL and NaN scores and labels that are none: every measure leaves out the same rows."""
+    text = A.spark_dialect(DIRTY_SCORES.replace(A.SCORED, "SELECT * FROM {scored}"))
+    rows = stored(spark.sql(text, scored=scored(spark, sf)), "dirty")
+    out = M.left_out(rows)
+    return M.threshold_sweep(rows).withColumns(
+        {
+            "auc": M.roc_auc(rows).scalar(),
+            "rows": out.select("rows").scalar(),
+            "left_out": out.select("left_out").scalar(),
+        }
+    )
+
+
 @query("threshold_sweep", O.sweep(SCORE_ROWS))
 def threshold_sweep(spark, sf):
     return M.threshold_sweep(scored(spark, sf))
@@ -582,6 +649,21 @@ def split(spark, sf):
     return stratified_split(scored(spark, sf), "row_id").select("row_id", "label", "role")
 
 
+KEYLESS = f"""
+SELECT row_id, label, CASE WHEN row_id % 5 < 2 THEN NULL ELSE CAST(row_id AS VARCHAR) END AS owner,
+  CASE WHEN row_id % 3 = 0 THEN NULL ELSE event_type END AS kind FROM ({A.SCORED}) x
+"""
+CONTENT = """'row:["' || row_id || '",' || coalesce('"' || kind || '"', 'null') || ']'"""
+
+
+@query("stratified_split_nulls", O.split(KEYLESS, f"coalesce(owner, {CONTENT})", "row_id, label"))
+def split_nulls(spark, sf):
+    """Two fifths of the rows have no key and are spread by their content."""
+    text = A.spark_dialect(KEYLESS.replace(A.SCORED, "SELECT * FROM {scored}"))
+    rows = spark.sql(text, scored=scored(spark, sf))
+    return stratified_split(rows, "owner").select("row_id", "label", "role")
+
+
 # Metric pairs of two pretend models per group of events, some without one measure or the other.
 METRIC_PAIRS = f"""
 SELECT event_type, bucket, bucket <> 0 AS has_old,
@@ -700,6 +782,28 @@ def risk_evaluate(spark, sf):
     return flat(R.evaluate_risk(risk_rows(spark, sf), config=RiskConfig()))
 
 
+LARGE_POOL = f"SELECT phone, score, sum_call * 50000000 AS sum_call, call_to_miss * 40000000 AS call_to_miss, call_in_miss, duration, mean_call_by_day, call_back_rate, in_hour, not_in_hour, avg_in_contact, total_contacted, avg_duration_call_in FROM ({O.risk_pool()}) l"
+
+
+@query("risk_features_large", O.risk_features(LARGE_POOL))
+def risk_features_large(spark, sf):
+    """Sums of calls beyond 32 bits."""
+    large = scored_pool(spark, sf).withColumns(
+        {"sum_call": F.col("sum_call") * 50_000_000, "call_to_miss": F.col("call_to_miss") * 40_000_000}
+    )
+    return R.risk_features(large, keep=("Score",)).withColumnRenamed("Score", "score")
+
+
+LISTED = f"SELECT phone FROM ({A.CALL_HISTORY}) h WHERE in_contact = 1 AND duration > 480"
+
+
+@query("risk_blacklist_table", O.risk_evaluate(LISTED))
+def risk_blacklist_table(spark, sf):
+    """The blacklist is a table: phones with a very long call to a contact."""
+    listed = call_history(spark, sf).where("in_contact = 1 and duration > 480").select("phone")
+    return flat(R.evaluate_risk(risk_rows(spark, sf), blacklist=listed))
+
+
 @query("stream_risk", O.risk_evaluate())
 def stream_risk(spark, sf):
     """The same rows through a stream that reads files as they are and stops when it has seen them all."""
@@ -716,47 +820,123 @@ def stream_risk(spark, sf):
 # --- models and jobs ---
 
 
-@query("train_score")
+def split_sizes(label_rows: str) -> str:
+    """Sizes of the roles of each class, from the shares alone."""
+    return f"""
+    SELECT label, n, tested, ceil((n - tested) * CAST(0.2 AS DOUBLE)) AS checked FROM (
+      SELECT label, count(*) AS n, ceil(count(*) * CAST(0.15 AS DOUBLE)) AS tested FROM ({label_rows}) r GROUP BY label
+    ) c"""
+
+
+LABELS = f"SELECT CASE WHEN Spam = 1 THEN 1 ELSE 0 END AS label FROM ({O.features(A.CALL_HISTORY)}) f"
+REPORTED = f"""
+SELECT CAST(sum(n) AS BIGINT) AS n_rows_used, CAST({len(FEATURE_COLUMNS)} AS INTEGER) AS n_features,
+  greatest(sum(CASE WHEN label = 0 THEN n - tested - checked ELSE 0 END)
+    / sum(CASE WHEN label = 1 THEN n - tested - checked ELSE 0 END), CAST(1 AS DOUBLE)) AS scale_pos_weight,
+  CAST(sum(CASE WHEN label = 0 THEN tested ELSE 0 END) AS BIGINT) AS negatives,
+  CAST(sum(CASE WHEN label = 1 THEN tested ELSE 0 END) AS BIGINT) AS positives, 'label' AS label_col,
+  CAST(0.01 AS DOUBLE) AS threshold_search_step, true AS bounded
+FROM ({split_sizes(LABELS)}) s
+"""
+
+
+def certain(report: DataFrame) -> DataFrame:
+    """What a report must say whatever the trees are, and that its measures are within their bounds."""
+    measures = ["auc_val", *[f"{m}@{at}" for m in ("accuracy", "precision", "recall", "f1") for at in ("0.5", "best")]]
+    bounded = [F.col(f"`{m}`").between(0.0, 1.0) for m in measures]
+    sums = [F.col(f"`{a}@0.5`") + F.col(f"`{b}@0.5`") == F.col(f"`{a}@best`") + F.col(f"`{b}@best`") for a, b in (("tn", "fp"), ("fn", "tp"))]
+    within = F.forall(F.array(*bounded, *sums, F.col("best_iteration") >= 1), lambda x: x)
+    return report.select(
+        "n_rows_used",
+        "n_features",
+        "scale_pos_weight",
+        (F.col("`tn@0.5`") + F.col("`fp@0.5`")).alias("negatives"),
+        (F.col("`fn@0.5`") + F.col("`tp@0.5`")).alias("positives"),
+        "label_col",
+        "threshold_search_step",
+        within.alias("bounded"),
+    )
+
+
+def agreed(predicted: DataFrame, key: str, threshold: float) -> DataFrame:
+    """Whom a prediction is about, whether the score is a probability and the class follows from it."""
+    score = F.col("Score")
+    return predicted.select(
+        key,
+        score.between(0.0, 1.0).alias("in_range"),
+        ((F.col("Spam") == 1) == (score >= threshold)).alias("consistent"),
+    )
+
+
+@query("train_score", f"SELECT phone, true AS in_range, true AS consistent FROM ({O.phone_pool(A.CALL_HISTORY)}) p")
 def train_score(spark, sf):
     rows, columns = ML.split_rows(labelled_pool(spark, sf))
-    trained = ML.fit(rows, columns, SMALL_TREES)
+    trained = ML.fit(rows, columns)
     path = fresh_path(spark, "bundle")
     artifacts.save_bundle(trained, rows.groupBy().count(), path)
     model, kept, _ = artifacts.load_bundle(spark, path)
-    return RU.predictions(ML.score(model, kept, pool(spark, sf), ["phone"]), "phone", 0.5)
+    return agreed(RU.predictions(ML.score(model, kept, pool(spark, sf), ["phone"]), "phone", 0.5), "phone", 0.5)
+
+
+@query("train_nokey", f"SELECT label, count(*) AS rows, true AS in_range FROM ({LABELS}) l GROUP BY label")
+def train_nokey(spark, sf):
+    """A training set without phones, as a merge without a key makes it."""
+    rows, columns = ML.split_rows(labelled_pool(spark, sf).drop("phone"))
+    trained = ML.fit(rows, columns)
+    scores = ML.score(trained.model, columns, rows, ["label"])
+    return scores.groupBy("label").agg(
+        F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("Score").between(0.0, 1.0)).alias("in_range")
+    )
 
 
-@query("tune")
+@query("tune", "SELECT CAST(i AS INTEGER) AS trial, true AS in_space, true AS one_best FROM range(3) r(i)")
 def tune(spark, sf):
+    """Three trials of a small space; every draw lies in it, and the one best trial has the highest AUC."""
     rows, columns = ML.split_rows(labelled_pool(spark, sf))
-    return ML.tune(rows, columns, trials=2, budget_seconds=120, max_rounds=5)[1]
+    trials = stored(ML.tune(rows, columns, trials=3, space=QUICK_SPACE).trials, "trials")
+    c, space = F.col, QUICK_SPACE
+    inside = (
+        c("rounds").between(*space.rounds) & (c("rounds") % space.rounds_step == 0)
+        & c("bins").between(*space.bins) & (c("bins") % space.bins_step == 0) & c("depth").between(*space.depth)
+    )
+    for name in ("min_child_rows", "learning_rate", "row_sample", "column_sample", "min_gain"):
+        inside = inside & c(name).between(*getattr(space, name))
+    best = trials.agg(
+        (F.count_if("is_best") == 1) & (F.max("auc") == F.max(F.when(c("is_best"), c("auc"))))
+    ).scalar()
+    return trials.select("trial", inside.alias("in_space"), best.alias("one_best"))
 
 
-@query("model_report")
+@query("model_report", REPORTED)
 def model_report(spark, sf):
-    rows, columns = ML.split_rows(labelled_pool(spark, sf))
-    return ML.model_report(ML.fit(rows, columns, SMALL_TREES), rows)
+    made = ML.training_set(labelled_pool(spark, sf))
+    return certain(ML.model_report(ML.fit(made.rows, made.columns), made.rows, None, "label", made.dropped))
 
 
-@query("model_registry")
+@query(
+    "model_registry",
+    """SELECT 'v1' AS version, 'production' AS status, 'no_old_metrics' AS reason
+    UNION ALL SELECT 'v2', 'rejected', 'not_better_auc_val'""",
+)
 def model_registry(spark, sf):
     """A first model is promoted; the same model again is not better."""
     rows, columns = ML.split_rows(labelled_pool(spark, sf))
-    trained = ML.fit(rows, columns, SMALL_TREES)
+    trained = ML.fit(rows, columns)
     registry = fresh_path(spark, "registry")
     metrics = stored(ML.model_report(trained, rows), "metrics")
     for version in ("v1", "v2"):
         path = fresh_path(spark, f"bundle-{version}")
         artifacts.save_bundle(trained, metrics, path)
         artifacts.promote(spark, registry, version, path, metrics)
-    return spark.read.parquet(registry).drop("path", "recorded_at")
+    return spark.read.parquet(registry).select("version", "status", "reason")
 
 
 def with_production(spark: SparkSession, sf: str) -> jobs.JobConfig:
     """A workspace whose base training set has produced a first model."""
     config = workspace(spark, sf)
-    tables.save_table(labelled_pool(spark, sf), config.base_training)
-    jobs.train(spark, config.base_training, config, SMALL_TREES)
+    shipped = FT.report_features(call_history(spark, sf), providers(spark), config.features)
+    tables.save_table(labelled(shipped), config.base_training)
+    jobs.train(spark, config.base_training, config, FIRST_MODEL)
     return config
 
 
@@ -777,10 +957,31 @@ def reports_file(spark: SparkSession, sf: str) -> str:
     return tables.save_table(both, fresh_path(spark, "reports") + ".parquet")
 
 
-@query("job_infer")
+def shipped_days(sql: str) -> str:
+    """The same SQL with the working days of the shipped jobs."""
+    plain, shipped = (f"IN ({O.office_days(days)})" for days in (FeatureConfig().work_days, SHIPPED_WORK_DAYS))
+    return sql.replace(f"isodow(time) {plain}", f"isodow(time) {shipped}")
+
+
+EXPORTED = f"""
+SELECT phone, member_id AS phone_member, phone AS report, type, time, in_contact, duration, CAST(0 AS INTEGER) AS Spam
+FROM ({A.UPSTREAM_CALLS}) u WHERE CAST(time AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
+"""
+
+
+@query(
+    "job_infer",
+    f"""SELECT phone, in_hour, not_in_hour, sum_call, true AS in_range, true AS consistent
+    FROM ({shipped_days(O.phone_pool(EXPORTED))}) p""",
+)
 def job_infer(spark, sf):
     config = with_production(spark, sf)
-    return tables.load_table(spark, jobs.infer(spark, upstream_file(spark, sf), config)["predictions"])
+    result = jobs.infer(spark, upstream_file(spark, sf), config)
+    about = agreed(tables.load_table(spark, result["predictions"]), "phone", result["threshold_used"])
+    kept = tables.load_table(spark, result["pool"]).select(
+        "phone", *[F.col(name).cast("bigint").alias(name) for name in ("in_hour", "not_in_hour", "sum_call")]
+    )
+    return kept.join(about, "phone")
 
 
 RECENT_REPORTS = f"""
@@ -806,25 +1007,45 @@ def job_dataset(spark, sf):
     return tables.load_table(spark, jobs.dataset(spark, labels, source, config)["training"])
 
 
-@query("job_train")
+@query("job_dataset_csv", TEXT_MERGED)
+def job_dataset_csv(spark, sf):
+    """The base training set is a CSV file."""
+    config = jobs.JobConfig(workspace=fresh_path(spark, "workspace"), base_path=csv_base(spark, sf))
+    labels = tables.save_table(L.label_feedback(summary(spark, sf)), config.path("labels.parquet"))
+    source = tables.save_table(A.read(spark, sf, A.POOL), config.path("pool.parquet"))
+    return tables.load_table(spark, jobs.dataset(spark, labels, source, config)["training"])
+
+
+@query("job_train", REPORTED)
 def job_train(spark, sf):
+    """Tunes over a small space; without a merged set, the base set is trained."""
     config = workspace(spark, sf)
-    training = tables.save_table(labelled_pool(spark, sf), config.base_training)
-    result = jobs.recorded(spark, "train", config, lambda: jobs.train(spark, training, config))
-    return spark.read.parquet(f"{result['bundle']}/metrics")
+    tables.save_table(labelled_pool(spark, sf), config.base_training)
+    result = jobs.recorded(spark, "train", config, lambda: jobs.train(spark, None, config))
+    return certain(spark.read.parquet(f"{result['bundle']}/metrics"))
 
 
-@query("job_full")
+@query(
+    "job_full",
+    f"""SELECT report AS phone, CASE WHEN Spam = 1 THEN 1 ELSE 0 END AS label,
+    {', '.join(f'CAST({name} AS DOUBLE) AS {name}' for name in FEATURE_COLUMNS)}
+    FROM ({shipped_days(O.features(A.CALL_HISTORY))}) f""",
+)
 def job_full(spark, sf):
+    """Reports agree with the base labels, so every phone ends with these, corrected or not."""
     config = with_production(spark, sf)
     job = lambda: jobs.full(spark, upstream_file(spark, sf), reports_file(spark, sf), config)
     result = jobs.recorded(spark, "full", config, job)
-    return tables.load_table(spark, result["dataset"]["training"]).select("phone", "label", *FEATURE_COLUMNS)
+    merged = tables.load_table(spark, result["dataset"]["training"])
+    return merged.select("phone", "label", *[F.col(name).cast("double").alias(name) for name in FEATURE_COLUMNS])
 
 
-@query("job_score_file")
+@query(
+    "job_score_file",
+    f"SELECT report, true AS in_range, true AS consistent FROM ({O.features(A.SHARED_REPORTS)}) f",
+)
 def job_score_file(spark, sf):
     config = with_production(spark, sf)
-    source = tables.save_table(shared_reports(spark, sf), fresh_path(spark, "history") + ".parquet")
-    result = jobs.score_file(spark, source, config, threshold=0.4, per_phone=False)
-    return tables.load_table(spark, result["output"])
+    source = tables.save_table(shared_reports(spark, sf), fresh_path(spark, "history"), "parquet")
+    result = jobs.score_file(spark, source, config, threshold=0.4, per_phone=False, fmt="parquet")
+    return agreed(tables.load_table(spark, result["output"]), "report", 0.4)

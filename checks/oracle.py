@@ -35,6 +35,10 @@ def bare(column: str) -> str:
     return f"CASE WHEN ({plus}) LIKE '84%' THEN substr({plus}, 3) ELSE {plus} END"
 
 
+def office_days(days: tuple[int, ...]) -> str:
+    return ", ".join(str(day + 1) for day in days)
+
+
 def clean(history: str) -> str:
     return f"""
     SELECT * FROM (
@@ -58,7 +62,7 @@ def providers_of(history: str) -> str:
     """
 
 
-def enrich(history: str) -> str:
+def enrich(history: str, days: tuple[int, ...] = (0, 1, 2, 3, 4)) -> str:
     return f"""
     SELECT report, phone, phone_member, type, time, in_contact, duration, Spam,
       caller_provider = receiver_provider AS same_network,
@@ -68,7 +72,7 @@ def enrich(history: str) -> str:
       CASE WHEN type = 2 THEN duration ELSE 0 END AS duration_call_in,
       CASE WHEN type = 1 THEN duration ELSE 0 END AS duration_call_to
     FROM (
-      SELECT *, isodow(time) <= 5 AND hour(time) >= 7 AND hour(time) < 20 AS office
+      SELECT *, isodow(time) IN ({office_days(days)}) AND hour(time) >= 7 AND hour(time) < 20 AS office
       FROM ({providers_of(history)}) p
     ) o
     """
@@ -339,12 +343,12 @@ def phone_origin(phone: str) -> tuple[str, str, str]:
 def risk_features(pool: str) -> str:
     inner, foreign, prefix = phone_origin("phone")
     return f"""
-    SELECT phone, score, {foreign} AS is_international, {prefix} AS prefix, CAST(sum_call AS INTEGER) AS total_call,
-      CAST(call_to_miss + call_in_miss AS INTEGER) AS miss_call,
+    SELECT phone, score, {foreign} AS is_international, {prefix} AS prefix, CAST(sum_call AS BIGINT) AS total_call,
+      CAST(call_to_miss + call_in_miss AS BIGINT) AS miss_call,
       CASE WHEN sum_call > 0 THEN duration / CAST(sum_call AS DOUBLE) ELSE 0 END AS avg_duration,
       mean_call_by_day AS frequency_per_day, call_back_rate AS callback_rate,
       not_in_hour > in_hour AS mostly_out_of_business_hour, avg_in_contact > 0 AS in_contact,
-      CAST(total_contacted AS INTEGER) AS successful_call_count, avg_duration_call_in AS avg_in_duration
+      CAST(total_contacted AS BIGINT) AS successful_call_count, avg_duration_call_in AS avg_in_duration
     FROM (SELECT *, {inner} FROM ({pool}) q) p
     """
 
@@ -356,7 +360,7 @@ def risk_pool() -> str:
     """
 
 
-def risk_levels() -> str:
+def risk_levels(listed: str | None = None, pool: str | None = None) -> str:
     config = RiskConfig()
     steps = " ".join(f"WHEN score < {limit} THEN {level}" for limit, level in config.score_levels)
     hits = " ".join(
@@ -386,18 +390,18 @@ def risk_levels() -> str:
         + (CASE WHEN successful_call_count >= 5 AND avg_in_duration >= 60 THEN -1 ELSE 0 END) AS credit
     FROM (
       SELECT *, CASE {steps} ELSE {config.score_levels[-1][1]} END AS model_level,
-        phone IN ({quoted(config.blacklist)}) AS listed,
+        phone IN ({listed or quoted(config.blacklist)}) AS listed,
         prefix IN ({quoted(config.foreign_prefixes)}) AS risky, CASE {hits} END AS hit,
         total_call >= 2 AND avg_duration < 5 AS brief,
         CASE WHEN total_call >= 5 THEN miss_call / CAST(total_call AS DOUBLE) > 0.6 ELSE false END AS missed,
         frequency_per_day >= 10 AND avg_duration < 10 AS busy,
         callback_rate < 0.1 AND total_call >= 5 AS lonely, mostly_out_of_business_hour AS late
-      FROM ({risk_features(risk_pool())}) f
+      FROM ({risk_features(pool or risk_pool())}) f
     ) s
     """
 
 
-def risk_evaluate() -> str:
+def risk_evaluate(listed: str | None = None) -> str:
     c = constants
     titles = quoted(t for t, _ in c.LEVEL_MESSAGES.values())
     subtitles = quoted(s for _, s in c.LEVEL_MESSAGES.values())
@@ -413,13 +417,13 @@ def risk_evaluate() -> str:
     FROM (
       SELECT *, greatest(CASE WHEN is_international THEN 1 ELSE 0 END,
         greatest(model_level, rule_level) + credit) AS final_level
-      FROM ({risk_levels()}) l
+      FROM ({risk_levels(listed)}) l
     ) e
     """
 
 
 def split(rows: str, key: str, keep: str) -> str:
-    """Role by rank of the key's hash within its class."""
+    """Role by rank of the key's hash within its class; ``key`` is the expression that is hashed."""
     return f"""
     SELECT {keep}, CASE WHEN place < tested THEN 'test'
       WHEN place < tested + ceil((n - tested) * CAST(0.2 AS DOUBLE)) THEN 'validation' ELSE 'train' END AS role

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from typing import Any
 
 from ringlens import constants
 
@@ -77,6 +79,52 @@ class RiskConfig:
     messages: dict[int, tuple[str, str]] = field(default_factory=lambda: dict(constants.LEVEL_MESSAGES))
 
 
+    @classmethod
+    def from_mapping(cls, settings: Mapping[str, Any]) -> RiskConfig:
+        """Settings as a configuration file holds them.
+
+        A list that the mapping does not have is empty; a number that it does
+        not have keeps its default.
+        """
+        known: dict[str, Any] = {
+            "score_levels": tuple((float(limit), int(level)) for limit, level in settings.get("model_thresholds") or ()),
+            "foreign_prefixes": tuple(map(str, settings.get("intl_risk_prefixes") or ())),
+            "domestic_prefixes": tuple(map(str, settings.get("domestic_risk_prefixes") or ())),
+            "blacklist": tuple(map(str, settings.get("hard_blacklist_numbers") or ())),
+            "messages": {
+                int(level): (text.get("title", ""), text.get("subtitle", ""))
+                for level, text in (settings.get("level_messages") or {}).items()
+            },
+        }
+        for section, names in RISK_SECTIONS.items():
+            given = settings.get(section) or {}
+            known |= {field_name: given[name] for name, field_name in names.items() if name in given}
+        return cls(**known)
+
+
+#: Sections and names of a risk configuration, and the fields they set.
+RISK_SECTIONS = {
+    "rule_levels": {
+        "hard_blacklist": "blacklist_level", "intl_base": "foreign_level", "intl_prefix_boost_to": "foreign_risky_level",
+        "domestic_prefix_base": "prefix_level", "domestic_short_call_boost_to": "prefix_short_level",
+        "behavior_miss_ratio_to": "missed_level", "behavior_high_freq_to": "frequent_level",
+        "behavior_low_callback_to": "callback_level",
+    },
+    "behavior_rules": {
+        "short_call_min_total": "short_min_calls", "short_call_seconds": "short_seconds",
+        "miss_ratio_min_total": "missed_min_calls", "miss_ratio_high": "missed_ratio",
+        "high_freq_per_day": "frequent_per_day", "high_freq_short_call_seconds": "frequent_short_seconds",
+        "low_callback_rate": "callback_rate", "low_callback_min_total": "callback_min_calls",
+        "outside_business_hour_level": "out_of_hours_level",
+    },
+    "whitelist_adjustments": {
+        "in_contact_reduce": "contact_credit", "good_history_reduce": "history_credit",
+        "good_history_min_success_calls": "history_min_calls",
+        "good_history_min_avg_in_duration": "history_min_seconds", "intl_min_level_after_reduce": "foreign_floor",
+    },
+}
+
+
 @dataclass(frozen=True)
 class SplitConfig:
     test_share: float = 0.15
@@ -86,7 +134,11 @@ class SplitConfig:
 
 @dataclass(frozen=True)
 class TreeParams:
-    """Boosted-tree settings."""
+    """Boosted-tree settings.
+
+    Of ``rounds`` trees the model keeps those up to the lowest loss on
+    validation rows that ``patience`` further rounds do not lower.
+    """
 
     rounds: int = 100
     depth: int = 6
@@ -96,5 +148,22 @@ class TreeParams:
     bins: int = 256
     min_child_rows: int = 1
     min_gain: float = 0.0
-    stop_tolerance: float = 0.001
+    patience: int = 50
     seed: int = 42
+
+
+@dataclass(frozen=True)
+class SearchSpace:
+    """Ranges (low, high) that tuning draws from, ends included; rounds and bins in steps."""
+
+    rounds: tuple[int, int] = (800, 3500)
+    rounds_step: int = 100
+    depth: tuple[int, int] = (3, 10)
+    min_child_rows: tuple[float, float] = (1.0, 12.0)
+    learning_rate: tuple[float, float] = (0.01, 0.2)
+    row_sample: tuple[float, float] = (0.6, 1.0)
+    column_sample: tuple[float, float] = (0.5, 1.0)
+    min_gain: tuple[float, float] = (0.0, 0.08)
+    bins: tuple[int, int] = (128, 512)
+    bins_step: int = 64
+    patience: int = 80

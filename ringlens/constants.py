@@ -30,6 +30,9 @@ COUNTRY_CODES = [
 ]
 
 # Network operators and the prefixes they own.
+# Fixed value: working days that the shipped jobs count, Monday being 0.
+SHIPPED_WORK_DAYS = (2, 3, 4, 5, 6)
+
 PROVIDERS = {
     "gmobile": ["59", "99"],
     "itelecom": ["87"],

@@ -29,9 +29,20 @@ def double_or(col: Column, dtype: T.DataType, default: float = 0.0) -> Column:
 
 
 def int_or(col: Column, dtype: T.DataType, default: int = 0) -> Column:
-    """Truncating integer conversion with a default for what is not a finite number."""
+    """Truncating BIGINT conversion with a default for what is not a finite number.
+
+    Numbers beyond 64 bits become the nearest one.
+    """
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        return F.coalesce(col.cast("bigint"), F.lit(int(default)).cast("bigint"))
     value = numeric_or_null(col, dtype)
-    return F.coalesce(value.try_cast("int"), F.lit(int(default)))
+    whole = (
+        F.when(value >= 2.0**63, F.lit(2**63 - 1))
+        .when(value < -(2.0**63), F.lit(-(2**63)))
+        .otherwise(value.try_cast("bigint"))
+    )
+    finite = F.when(F.abs(value) < float("inf"), whole)
+    return F.coalesce(finite, F.lit(int(default)).cast("bigint"))
 
 
 def bool_or(col: Column, dtype: T.DataType, default: bool = False) -> Column:

@@ -17,11 +17,16 @@ def stripped(col: Column) -> Column:
     return F.btrim(F.coalesce(col.cast("string"), F.lit("")), F.lit(BLANKS))
 
 
+def tail_from(text: Column, position: int) -> Column:
+    """The text from a position on, however long it is."""
+    return F.substring(text, F.lit(position), F.length(text))
+
+
 def strip_country(col: Column) -> Column:
     """Without a leading ``+`` and then without one leading ``84``; substrings, as regexes cost more per row."""
 
     def without(text: Column, head: str) -> Column:
-        return F.when(text.startswith(head), F.substring(text, len(head) + 1, 2**31 - 1)).otherwise(text)
+        return F.when(text.startswith(head), tail_from(text, len(head) + 1)).otherwise(text)
 
     return without(without(col.cast("string"), "+"), "84")
 
@@ -49,7 +54,7 @@ def phone_origin(phone: Column) -> Column:
     Numbers that start with neither 0, 84 nor + are read as foreign numbers.
     """
     digits = F.regexp_replace(stripped(phone), r"[^0-9]", "")
-    national = F.when(digits.startswith("84"), F.concat(F.lit("0"), F.substring(digits, 3, 1000))).when(
+    national = F.when(digits.startswith("84"), F.concat(F.lit("0"), tail_from(digits, 3))).when(
         digits.startswith("0"), digits
     )
     areas3 = [a for a in LANDLINE_AREAS if len(a) == 3]
@@ -63,6 +68,6 @@ def phone_origin(phone: Column) -> Column:
         .when(F.substring(national, 2, 2).isin(MOBILE_CODES), origin(False, F.substring(national, 1, 3)))
         .when(F.substring(national, 2, 3).isin(areas3), origin(False, F.substring(national, 1, 4)))
         .when(F.substring(national, 2, 2).isin(areas2), origin(False, F.substring(national, 1, 3)))
-        .when(digits.startswith("00"), origin(True, country_code(F.substring(digits, 3, 1000))))
+        .when(digits.startswith("00"), origin(True, country_code(tail_from(digits, 3))))
         .otherwise(origin(True, country_code(digits)))
     )

@@ -48,14 +48,12 @@ def clean_calls(calls: DataFrame, config: FeatureConfig = FeatureConfig()) -> Da
 def with_providers(calls: DataFrame, providers: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
     """Adds the network of both parties; unknown prefixes belong to one common group.
 
-    ``providers`` comes from ``provider_dimension``, which bounds its size and
-    keeps its prefixes unique, so both lookups are broadcast.
+    ``providers`` comes from ``provider_dimension``, which keeps its prefixes
+    unique. Whether it is broadcast is left to the planner, which sees its size.
     """
     out = calls
     for party, target in (("phone", "caller_provider"), ("phone_member", "receiver_provider")):
-        owner = F.broadcast(
-            providers.select(F.col("prefix").alias(f"_{target}_prefix"), F.col("provider").alias(target))
-        )
+        owner = providers.select(F.col("prefix").alias(f"_{target}_prefix"), F.col("provider").alias(target))
         head = F.substring(F.col(party), 1, config.prefix_length)
         out = out.join(owner, head == F.col(f"_{target}_prefix"), "left").drop(f"_{target}_prefix")
         out = out.withColumn(target, F.coalesce(F.col(target), F.lit(config.other_provider)))

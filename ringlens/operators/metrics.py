@@ -59,6 +59,23 @@ def with_measures(df: DataFrame) -> DataFrame:
     )
 
 
+def usable_rows(scored: DataFrame) -> DataFrame:
+    """The rows every evaluation counts: label 0 or 1 and a score that is a number.
+
+    All measures leave out the same rows; ``left_out`` says how many.
+    """
+    score = F.col("score")
+    return scored.where(F.col("label").isin(0, 1) & score.isNotNull() & ~F.isnan(score.cast("double")))
+
+
+def left_out(scored: DataFrame) -> DataFrame:
+    """One row: number of rows, and how many of them no measure counts."""
+    rows = F.count(F.lit(1))
+    score = F.col("score")
+    used = F.col("label").isin(0, 1) & score.isNotNull() & ~F.isnan(score.cast("double"))
+    return scored.agg(rows.alias("rows"), (rows - F.count_if(used)).alias("left_out"))
+
+
 def metrics_at(scored: DataFrame, thresholds: Sequence[float]) -> DataFrame:
     """Confusion counts and measures, one row per threshold, in one pass."""
     positive = F.col("label") == 1
@@ -71,7 +88,7 @@ def metrics_at(scored: DataFrame, thresholds: Sequence[float]) -> DataFrame:
             *[F.coalesce(F.sum(c.cast("bigint")), F.lit(0)).alias(name) for name, c in counts.items()],
         )
 
-    rows = scored.agg(F.array(*[cells(t) for t in thresholds]).alias("rows"))
+    rows = usable_rows(scored).agg(F.array(*[cells(t) for t in thresholds]).alias("rows"))
     return with_measures(rows.select(F.inline("rows")))
 
 
@@ -93,7 +110,7 @@ def threshold_sweep(scored: DataFrame, grid: Grid = Grid()) -> DataFrame:
     sweep is a running sum over those counts, at most one row per threshold.
     """
     positive = F.col("label") == 1
-    counts = scored.groupBy(grid.passed(F.col("score")).alias("passed")).agg(
+    counts = usable_rows(scored).groupBy(grid.passed(F.col("score")).alias("passed")).agg(
         F.sum(positive.cast("bigint")).alias("pos"), F.sum((~positive).cast("bigint")).alias("neg")
     )
     steps = scored.sparkSession.range(0, grid.size + 1, 1, 1).select(F.col("id").cast("int").alias("passed"))
@@ -136,7 +153,7 @@ def roc_auc(scored: DataFrame) -> DataFrame:
     between ranges follow from the totals per range.
     """
     positive = F.col("label") == 1
-    scores = scored.groupBy("score").agg(
+    scores = usable_rows(scored).groupBy("score").agg(
         F.sum(positive.cast("double")).alias("pos"), F.sum((~positive).cast("double")).alias("neg")
     )
     ranged = scores.repartitionByRange("score").withColumn("part", F.spark_partition_id())

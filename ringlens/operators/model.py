@@ -6,20 +6,23 @@ import math
 import random
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import asdict, dataclass
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringlens.config import SplitConfig, TreeParams
+from ringlens.config import SearchSpace, SplitConfig, TreeParams
 from ringlens.functions.conversions import numeric_or_null
-from ringlens.operators.metrics import best_threshold, class_weight, metrics_at, roc_auc
+from ringlens.operators.metrics import Grid, best_threshold, class_weight, metrics_at, roc_auc
 from ringlens.operators.rollup import IDENTITY_COLUMNS, align_features, coerce_numeric
-from ringlens.operators.split import stratified_split
+from ringlens.operators.split import row_digest, with_roles
 from ringlens.session import literal_table, shared_dir, stored
 
 MISSING = -1.0  # features are never negative, so trees can tell a missing value from a present one
@@ -36,16 +39,18 @@ class TrainedModel:
         return self.model.stages[-1].getNumTrees
 
 
-def training_rows(df: DataFrame, key: str = "phone", label: str = "label") -> tuple[DataFrame, list[str]]:
-    """(key, label, numeric features) of the rows with a label, and the feature names."""
+def training_rows(
+    df: DataFrame, key: str = "phone", label: str = "label"
+) -> tuple[DataFrame, list[str], list[str]]:
+    """(key if there is one, label, numeric features) of the rows with a label, the features, and what was dropped."""
     value = numeric_or_null(F.col(label), df.schema[label].dataType)
-    columns = [name for name in df.columns if name not in (*IDENTITY_COLUMNS, key, label)]
+    dropped = [name for name in df.columns if name in (*IDENTITY_COLUMNS, key, label)]
+    columns = [name for name in df.columns if name not in dropped]
     if not columns:
         raise ValueError("no feature columns left to train on")
-    labelled = df.where(value.isNotNull()).select(
-        F.col(key).alias(key), value.cast("int").alias("label"), *columns
-    )
-    return coerce_numeric(labelled, keys=[key, "label"]), columns
+    keys = [key] if key in df.columns else []
+    labelled = df.where(value.isNotNull()).select(*keys, value.cast("int").alias("label"), *columns)
+    return coerce_numeric(labelled, keys=[*keys, "label"]), columns, [name for name in dropped if name != label]
 
 
 def _stages(columns: Sequence[str]) -> list:
@@ -61,23 +66,27 @@ def _stages(columns: Sequence[str]) -> list:
 
 
 def fit(rows: DataFrame, columns: Sequence[str], params: TreeParams = TreeParams()) -> TrainedModel:
-    """Trains on the rows of role train; boosting stops early on the rows of role validation."""
+    """Trains on the rows of role train and keeps the trees that pay off on the rows of role validation.
+
+    All rounds are trained, then one pass over the validation rows gives the
+    loss after each; the first minimum that the next ``patience`` rounds do not
+    beat ends the model. Without validation rows all trees stay.
+    """
     shared_dir(rows.sparkSession)  # boosting checkpoints there
     weight = class_weight(rows.where(F.col("role") == "train")).first()["scale_pos_weight"]
-    used = rows.where(F.col("role").isin("train", "validation")).withColumns(
-        {
-            "_weight": F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(F.lit(1.0)),
-            "_held_out": F.col("role") == "validation",
-        }
-    )
+    weighted = rows.withColumn("_weight", F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(F.lit(1.0)))
     prepare = _stages(columns)
-    for stage in prepare:
-        used = stage.transform(used)
+
+    def prepared(role: str) -> DataFrame:
+        used = weighted.where(F.col("role") == role)
+        for stage in prepare:
+            used = stage.transform(used)
+        return used.select("features", "label", "_weight")
+
     trees = GBTClassifier(
         featuresCol="features",
         labelCol="label",
         weightCol="_weight",
-        validationIndicatorCol="_held_out",
         maxIter=params.rounds,
         maxDepth=params.depth,
         stepSize=params.learning_rate,
@@ -86,12 +95,40 @@ def fit(rows: DataFrame, columns: Sequence[str], params: TreeParams = TreeParams
         maxBins=params.bins,
         minInstancesPerNode=params.min_child_rows,
         minInfoGain=params.min_gain,
-        validationTol=params.stop_tolerance,
         seed=params.seed,
-    ).fit(used.select("features", "label", "_weight", "_held_out"))
+    ).fit(prepared("train"))
+    checked = prepared("validation")
+    if not checked.isEmpty():
+        trees = first_trees(trees, best_round(trees.evaluateEachIteration(checked), params.patience))
     return TrainedModel(PipelineModel([*prepare, trees]), list(columns), float(weight))
 
 
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """Rounds up to the first minimum that the ``patience`` rounds after it do not beat."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model: GBTClassificationModel, count: int) -> GBTClassificationModel:
+    """The model after its first ``count`` rounds."""
+    if count >= model.getNumTrees:
+        return model
+    gateway = SparkContext._active_spark_context._gateway
+    java, jvm = model._java_obj, gateway.jvm
+    kind = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees, weights = gateway.new_array(kind, count), gateway.new_array(jvm.double, count)
+    for i in range(count):
+        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    shorter = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), 2)
+    java.copyValues(shorter, jvm.org.apache.spark.ml.param.ParamMap.empty())
+    return GBTClassificationModel(shorter)
+
+
 def score(model: PipelineModel, columns: Sequence[str], pool: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Adds ``Score``, the probability of spam, to the keys and the model's columns."""
     inputs = coerce_numeric(align_features(pool, columns, keys), keys=keys)
@@ -104,11 +141,14 @@ def evaluation_rows(trained: TrainedModel, rows: DataFrame) -> DataFrame:
     return scored.select("role", "label", F.col("Score").alias("score"))
 
 
-def model_report(trained: TrainedModel, rows: DataFrame) -> DataFrame:
-    """One row: size, class weight, AUC and the measures on test rows at 0.5 and at the validated threshold."""
+def model_report(
+    trained: TrainedModel, rows: DataFrame, source: str | None = None, label: str = "label", dropped: Sequence[str] = ()
+) -> DataFrame:
+    """One row: inputs, class weight, AUC and the measures on test rows at 0.5 and at the validated threshold."""
     evaluated = stored(evaluation_rows(trained, rows.where(F.col("role") != "train")), "evaluation")
     test = evaluated.where(F.col("role") == "test").select("label", "score")
-    best = best_threshold(evaluated.where(F.col("role") == "validation").select("label", "score"))
+    grid = Grid()
+    best = best_threshold(evaluated.where(F.col("role") == "validation").select("label", "score"), grid)
     threshold = best.first()["threshold"]
     kept = ["tn", "fp", "fn", "tp", "accuracy", "precision", "recall", "f1"]
 
@@ -121,69 +161,126 @@ def model_report(trained: TrainedModel, rows: DataFrame) -> DataFrame:
         "_best": at(threshold, "best"),
     }
     facts = rows.agg(F.count(F.lit(1)).alias("n_rows_used")).select(
+        F.lit(source).cast("string").alias("data_path"),
+        F.lit(label).alias("label_col"),
+        F.array(*[F.lit(name) for name in dropped]).cast("array<string>").alias("dropped_cols"),
         "n_rows_used",
         F.lit(len(trained.columns)).alias("n_features"),
         F.lit(trained.weight).alias("scale_pos_weight"),
         F.lit(int(trained.trees)).alias("best_iteration"),
+        F.lit(0.5).alias("threshold@0.5"),
         F.lit(float(threshold)).alias("threshold_best"),
+        F.lit(grid.step).alias("threshold_search_step"),
     )
     joined = facts.withColumns({name: row.scalar() for name, row in one_row.items()})
-    return joined.select(*facts.columns, "auc_val", "_half.*", "_best.*")
+    return joined.select(*[F.col(f"`{name}`") for name in facts.columns], "auc_val", "_half.*", "_best.*")
 
 
-def sample_params(rng: random.Random, seed: int, max_rounds: int | None = None) -> TreeParams:
+def sample_params(rng: random.Random, seed: int, space: SearchSpace = SearchSpace()) -> TreeParams:
     """One draw from the search space."""
-    rounds = rng.randrange(800, 3501, 100)
+
+    def stepped(ends: tuple[int, int], step: int) -> int:
+        return rng.randrange(ends[0], ends[1] + 1, step)
+
+    low, high = map(math.log, space.learning_rate)
     return TreeParams(
-        rounds=min(rounds, max_rounds) if max_rounds else rounds,
-        depth=rng.randint(3, 10),
-        min_child_rows=max(1, round(rng.uniform(1.0, 12.0))),
-        learning_rate=math.exp(rng.uniform(math.log(0.01), math.log(0.2))),
-        row_sample=rng.uniform(0.6, 1.0),
-        column_sample=rng.uniform(0.5, 1.0),
-        min_gain=rng.uniform(0.0, 8.0) / 100.0,
-        bins=rng.randrange(128, 513, 64),
+        rounds=stepped(space.rounds, space.rounds_step),
+        depth=rng.randint(*space.depth),
+        min_child_rows=max(1, round(rng.uniform(*space.min_child_rows))),
+        learning_rate=min(max(math.exp(rng.uniform(low, high)), space.learning_rate[0]), space.learning_rate[1]),
+        row_sample=rng.uniform(*space.row_sample),
+        column_sample=rng.uniform(*space.column_sample),
+        min_gain=rng.uniform(*space.min_gain),
+        bins=stepped(space.bins, space.bins_step),
+        patience=space.patience,
         seed=seed,
     )
 
 
+@dataclass
+class Tuning:
+    """Best parameters, all trials as a table, and the record of the search."""
+
+    best: TreeParams
+    trials: DataFrame
+    record: dict
+
+
 def tune(
     rows: DataFrame,
     columns: Sequence[str],
     trials: int = 5,
     budget_seconds: float | None = None,
     seed: int = 42,
-    max_rounds: int | None = None,
-) -> tuple[TreeParams, DataFrame]:
-    """Random search for the highest AUC on validation rows; at least one trial is run."""
+    space: SearchSpace = SearchSpace(),
+    side_by_side: int = 2,
+) -> Tuning:
+    """Random search for the highest AUC on validation rows.
+
+    Parameters are drawn before anything runs, so they do not depend on
+    timing. ``side_by_side`` trials share the cluster; none begins once the
+    budget is spent, but at least one is run.
+    """
     rng = random.Random(seed)
+    drawn = [sample_params(rng, seed, space) for _ in range(trials)]
     started = time.monotonic()
-    results: list[tuple[TreeParams, float]] = []
-    for _ in range(trials):
-        spent = time.monotonic() - started
-        if results and budget_seconds is not None and spent > budget_seconds:
-            break
-        params = sample_params(rng, seed, max_rounds)
-        trained = fit(rows, columns, params)
+
+    def run(trial: int) -> float | None:
+        if trial and budget_seconds is not None and time.monotonic() - started > budget_seconds:
+            return None
+        trained = fit(rows, columns, drawn[trial])
         held_out = evaluation_rows(trained, rows.where(F.col("role") == "validation"))
         auc = roc_auc(held_out.select("label", "score")).first()["auc"]
-        results.append((params, 0.0 if auc is None else float(auc)))
-    best = max(range(len(results)), key=lambda i: results[i][1])
+        return 0.0 if auc is None else float(auc)
+
+    here = [copy_context() for _ in range(trials)]  # threads then use this job's folder for intermediates
+    target = inheritable_thread_target(rows.sparkSession)(run)
+    with ThreadPoolExecutor(max_workers=max(1, side_by_side)) as pool:
+        found = list(pool.map(lambda trial: here[trial].run(target, trial), range(trials)))
+    results = [(i, drawn[i], auc) for i, auc in enumerate(found) if auc is not None]
+    best = max(results, key=lambda result: (result[2], -result[0]))
     kinds = {int: "int", float: "double"}
-    fields = list(asdict(results[0][0]))
-    schema = [("trial", "int"), *[(f, kinds[type(getattr(results[0][0], f))]) for f in fields]]
+    fields = list(asdict(results[0][1]))
+    schema = [("trial", "int"), *[(f, kinds[type(getattr(results[0][1], f))]) for f in fields]]
     table = literal_table(
         rows.sparkSession,
         [*schema, ("auc", "double"), ("is_best", "boolean")],
-        [
-            (i, *[getattr(params, f) for f in fields], auc, i == best)
-            for i, (params, auc) in enumerate(results)
-        ],
+        [(i, *[getattr(params, f) for f in fields], auc, i == best[0]) for i, params, auc in results],
     )
-    return results[best][0], table
+    weight = class_weight(rows.where(F.col("role") == "train")).first()["scale_pos_weight"]
+    record = {
+        "n_features": len(columns),
+        "scale_pos_weight_used": float(weight),
+        "n_trials": len(results),
+        "best_auc": best[2],
+        "best_params": asdict(best[1]),
+    }
+    return Tuning(best[1], table, record)
+
+
+@dataclass
+class TrainingSet:
+    """Rows with roles, stored once because training passes over them many times."""
+
+    rows: DataFrame
+    columns: list[str]
+    dropped: list[str]
+
+
+def training_set(df: DataFrame, key: str = "phone", config: SplitConfig = SplitConfig()) -> TrainingSet:
+    """Labelled numeric rows with their role.
+
+    The hash that decides the role is computed once, with the rows it belongs
+    to; finding the shares and comparing rows with them then reads only that.
+    """
+    rows, columns, dropped = training_rows(df, key)
+    digest = row_digest(rows, key if key in rows.columns else None, "label", config)
+    hashed = stored(rows.withColumn("_digest", digest), "training-rows")
+    roles = with_roles(hashed, F.col("_digest"), "label", config).drop("_digest")
+    return TrainingSet(stored(roles, "training-roles"), columns, dropped)
 
 
 def split_rows(df: DataFrame, key: str = "phone", config: SplitConfig = SplitConfig()) -> tuple[DataFrame, list[str]]:
-    """Labelled numeric rows with their role, stored once because training passes over them many times."""
-    rows, columns = training_rows(df, key)
-    return stored(stratified_split(rows, key, "label", config), "training-rows"), columns
+    """Rows and feature names of the training set."""
+    made = training_set(df, key, config)
+    return made.rows, made.columns

@@ -29,7 +29,7 @@ def risk_features(pool: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         return double_or(F.col(name), kinds[name]) if name in kinds else F.lit(0.0)
 
     def whole(name: str) -> Column:
-        return int_or(F.col(name), kinds[name]) if name in kinds else F.lit(0)
+        return int_or(F.col(name), kinds[name]) if name in kinds else F.lit(0).cast("bigint")
 
     phone = stripped(F.col("phone"))
     origin = phone_origin(F.col("phone"))
@@ -109,10 +109,15 @@ def _signals(config: RiskConfig) -> list[tuple[Column, int, Column]]:
     ]
 
 
-def rule_level(config: RiskConfig = RiskConfig()) -> tuple[Column, Column]:
-    """(level, reasons) of the rules; a blacklisted phone ends the evaluation with a single reason."""
+def rule_level(config: RiskConfig = RiskConfig(), listed: Column | None = None) -> tuple[Column, Column]:
+    """(level, reasons) of the rules; a blacklisted phone ends the evaluation with a single reason.
+
+    ``listed`` says whether a phone is blacklisted where that is known from a
+    table; otherwise the short list of the settings decides.
+    """
     signals = _signals(config)
-    listed = F.col("phone").isin(*config.blacklist) if config.blacklist else F.lit(False)
+    if listed is None:
+        listed = F.col("phone").isin(*config.blacklist) if config.blacklist else F.lit(False)
     levels = [F.when(condition, F.lit(level)).otherwise(F.lit(0)) for condition, level, _ in signals]
     level = F.when(listed, F.lit(config.blacklist_level)).otherwise(F.greatest(F.lit(0), *levels))
     found = F.array_compact(F.array(*[F.when(condition, reason) for condition, _, reason in signals]))
@@ -135,9 +140,25 @@ def lowered(level: Column, credit: Column, config: RiskConfig = RiskConfig()) ->
     return F.greatest(floor, level + credit)
 
 
-def evaluate_risk(rows: DataFrame, score: str = "Score", config: RiskConfig = RiskConfig()) -> DataFrame:
-    """phone, levels, title, subtitle, reasons and the features used, from risk features and a score."""
-    level, reasons = rule_level(config)
+def mark_listed(rows: DataFrame, blacklist: DataFrame, mark: str, phone: str = "phone") -> DataFrame:
+    """Adds whether a row's phone is on a list of any size: a left join on the phone, whose side is unique."""
+    listed = blacklist.select(stripped(F.col(phone)).alias("phone")).distinct().withColumn(mark, F.lit(True))
+    return rows.join(listed, "phone", "left").withColumn(mark, F.coalesce(F.col(mark), F.lit(False)))
+
+
+def evaluate_risk(
+    rows: DataFrame, score: str = "Score", config: RiskConfig = RiskConfig(), blacklist: DataFrame | None = None
+) -> DataFrame:
+    """phone, levels, title, subtitle, reasons and the features used, from risk features and a score.
+
+    A ``blacklist`` table (column ``phone``) takes the place of the list in the
+    settings.
+    """
+    if blacklist is None:
+        level, reasons = rule_level(config)
+    else:
+        rows = mark_listed(rows, blacklist, "_listed")
+        level, reasons = rule_level(config, F.col("_listed"))
     staged = rows.withColumns(
         {
             "model_level": model_level(F.col(score), config),

@@ -24,11 +24,12 @@ def find_heavy(df: DataFrame, key: str, rows: int = HEAVY_ROWS) -> HeavyKeys:
 
     A table of N rows has at most N / ``rows`` of them, 250,000 at 10**12 rows
     with the default: small enough to broadcast whatever the data look like.
-    The count is pre-aggregated before its shuffle and reads one column.
+    The count is pre-aggregated before its shuffle, reads one column and runs
+    once: its short list is written and then looked at.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = counts.where(F.col("_rows") > rows).select(key)
-    return HeavyKeys(None if heavy.isEmpty() else stored(heavy, "heavy-keys"))
+    heavy = stored(counts.where(F.col("_rows") > rows).select(key), "heavy-keys")
+    return HeavyKeys(None if heavy.isEmpty() else heavy)
 
 
 def split_heavy(df: DataFrame, key: str, heavy: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,8 +21,22 @@ def stratified_split(
     the split looks for the hash at which each share ends: bucket counts find
     the bucket, the hashes of that bucket find the value. Rows are then only
     compared with two values per class, without a shuffle.
+
+    A row without a key is hashed by its other columns (as text, in order),
+    so such rows are spread like others and equal ones share a role.
     """
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{config.seed}")))
+    return with_roles(df, row_digest(df, key, label, config), label, config)
+
+
+def row_digest(df: DataFrame, key: str | None, label: str, config: SplitConfig = SplitConfig()) -> Column:
+    """Hash that decides the role of a row: of its key, or of all columns but the label where there is none."""
+    others = [F.col(f"`{name}`").cast("string") for name in df.columns if name not in (key, label)]
+    content = F.concat(F.lit("row:"), F.to_json(F.array(*others))) if others else F.lit("row:")
+    known = content if key is None else F.coalesce(F.col(f"`{key}`").cast("string"), content)
+    return F.md5(F.concat(known, F.lit(f":{config.seed}")))
+
+
+def with_roles(df: DataFrame, digest: Column, label: str, config: SplitConfig = SplitConfig()) -> DataFrame:
     hashed = df.select(F.col(label).alias("_class"), digest.alias("_hash"))
     by_class = W.partitionBy("_class")
     counts = hashed.groupBy("_class", F.substring("_hash", 1, PREFIX).alias("_bucket")).agg(

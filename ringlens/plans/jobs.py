@@ -16,20 +16,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringlens import constants
-from ringlens.config import FeatureConfig, LabelRules, SplitConfig, TreeParams
+from ringlens.config import FeatureConfig, LabelRules, SearchSpace, SplitConfig, TreeParams
 from ringlens.functions.timing import DayWindow
 from ringlens.operators.dataset import changed_labels, merge_training
 from ringlens.operators.features import report_features
 from ringlens.operators.feedback import clean_reports, report_summary
 from ringlens.operators.labels import label_feedback
-from ringlens.operators.model import fit, model_report, score, split_rows, tune
+from ringlens.operators.model import fit, model_report, score, training_set, tune
 from ringlens.operators.quality import validate_training
 from ringlens.operators.rollup import phone_pool, predictions
-from ringlens.session import stored
+from ringlens.session import own_intermediates, stored
 from ringlens.sources import artifacts
 from ringlens.sources.history import export_calls, export_reports
 from ringlens.sources.providers import provider_dimension
-from ringlens.sources.tables import load_table, save_table
+from ringlens.sources.tables import load_if_exists, load_table, save_table
 
 
 @dataclass(frozen=True)
@@ -41,13 +41,14 @@ class JobConfig:
     zone: str = "Asia/Ho_Chi_Minh"
     history_days: int = 90
     report_days: int = 100
-    providers: Mapping[str, Sequence[str]] = field(default_factory=lambda: dict(constants.PROVIDERS))
-    features: FeatureConfig = FeatureConfig()
+    providers: Mapping[str, Sequence[str]] | DataFrame = field(default_factory=lambda: dict(constants.PROVIDERS))
+    features: FeatureConfig = FeatureConfig(work_days=constants.SHIPPED_WORK_DAYS)
     labels: LabelRules = LabelRules()
     split: SplitConfig = SplitConfig()
     trials: int = 5
     trial_seconds: float | None = 1800.0
-    max_rounds: int | None = None
+    space: SearchSpace = SearchSpace()
+    base_path: str | None = None  # any supported format; None is a Parquet table in the workspace
     min_delta: float = 1e-6
     shuffle_partitions: int | None = None  # None keeps the session's setting
 
@@ -60,7 +61,11 @@ class JobConfig:
 
     @property
     def base_training(self) -> str:
-        return self.path("base_training.parquet")
+        return self.base_path or self.path("base_training.parquet")
+
+    @property
+    def merged_training(self) -> str:
+        return self.path("training.parquet")
 
     def window(self, days: int) -> DayWindow:
         return DayWindow.ending_today(days, self.zone) if self.as_of is None else DayWindow(self.as_of, days)
@@ -120,12 +125,12 @@ def label(spark: SparkSession, reports: str, config: JobConfig) -> dict[str, Any
 
 
 def dataset(spark: SparkSession, labels: str, pool: str, config: JobConfig) -> dict[str, Any]:
-    """Corrected rows over the base training set."""
-    changed = changed_labels(load_table(spark, labels), load_table(spark, pool), heavy_rows=config.features.heavy_rows)
+    """Corrected rows over the base training set; the pool has one row per phone."""
+    changed = changed_labels(load_table(spark, labels), load_table(spark, pool), unique_phones=True)
     changed_path = save_table(changed, config.path("changed_rows.parquet"), mode="overwrite")
     changed = load_table(spark, changed_path)
-    base = artifacts.read_if_exists(spark, config.base_training)
-    merged = save_table(merge_training(changed, base), config.path("training.parquet"), mode="overwrite")
+    base = load_if_exists(spark, config.base_training)
+    merged = save_table(merge_training(changed, base), config.merged_training, mode="overwrite")
     return {
         "changed_rows": changed_path,
         "changed_count": changed.count(),
@@ -136,24 +141,35 @@ def dataset(spark: SparkSession, labels: str, pool: str, config: JobConfig) -> d
 
 def train(
     spark: SparkSession,
-    training: str,
+    training: str | None,
     config: JobConfig,
     params: TreeParams | None = None,
 ) -> dict[str, Any]:
-    """Checks the data, tunes, trains, evaluates and promotes if better; problems in the data are reported."""
-    table = load_table(spark, training)
+    """Checks the data, tunes, trains, evaluates and promotes if better; problems in the data are reported.
+
+    Without a path it takes the merged training set, or the base set where
+    none has been merged yet.
+    """
+    source = training or config.merged_training
+    table = load_if_exists(spark, source)
+    if table is None:
+        source = config.base_training
+        table = load_table(spark, source)
     quality = validate_training(table).first()
-    rows, columns = split_rows(table, "phone", config.split)
+    prepared = training_set(table, "phone", config.split)
     version = uuid.uuid4().hex
-    trials = None
+    trials = record = None
     if params is None:
-        params, results = tune(
-            rows, columns, config.trials, config.trial_seconds, config.split.seed, config.max_rounds
+        tuned = tune(
+            prepared.rows, prepared.columns, config.trials, config.trial_seconds, config.split.seed, config.space
         )
-        trials = save_table(results.coalesce(1), config.path(f"candidates/{version}/trials.parquet"))
-    trained = fit(rows, columns, params)
+        params = tuned.best
+        record = {"data_path": source, "label_col": "label", "dropped_cols": prepared.dropped, **tuned.record}
+        trials = save_table(tuned.trials.coalesce(1), config.path(f"candidates/{version}/trials.parquet"))
+    trained = fit(prepared.rows, prepared.columns, params)
     bundle = config.path(f"candidates/{version}")
-    artifacts.save_bundle(trained, model_report(trained, rows), bundle)
+    report = model_report(trained, prepared.rows, source, "label", prepared.dropped)
+    artifacts.save_bundle(trained, report, bundle)
     outcome = artifacts.promote(
         spark, config.registry, version, bundle, spark.read.parquet(f"{bundle}/metrics"), config.min_delta
     ).first()
@@ -161,6 +177,7 @@ def train(
         "version": version,
         "bundle": bundle,
         "trials": trials,
+        "tuning": record,
         "valid": quality["valid"],
         "issues": list(quality["issues"]),
         "promoted": outcome["status"] == "production",
@@ -184,9 +201,10 @@ def score_file(
     threshold: float | None = None,
     per_phone: bool = True,
     target: str | None = None,
+    fmt: str | None = None,
 ) -> dict[str, Any]:
-    """Scores one history file in any supported format; returns the table, its size and five rows."""
-    calls = load_table(spark, path)
+    """Scores one history file in any supported format, by its suffix or as said; gives the table, its size and five rows."""
+    calls = load_table(spark, path, fmt)
     scored, used = score_history(spark, calls, _production(spark, config), config, threshold, per_phone)
     key = "phone" if per_phone else "report"
     written = save_table(
@@ -207,12 +225,16 @@ def recorded(
     """Runs a job and leaves one manifest record of how it went."""
     run_id = uuid.uuid4().hex
     manifest = config.path("runs")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     if config.shuffle_partitions is not None:
         spark.conf.set("spark.sql.shuffle.partitions", str(config.shuffle_partitions))
     try:
-        result = job()
+        with own_intermediates(spark):
+            result = job()
     except Exception as error:
         artifacts.append_manifest(artifacts.manifest_row(spark, run_id, command, "failed", error=error), manifest)
         raise
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     artifacts.append_manifest(artifacts.manifest_row(spark, run_id, command, "success", result), manifest)
     return {**result, "run_id": run_id, "manifest": manifest}

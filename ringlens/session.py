@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,9 +56,29 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_own_folder: ContextVar[str | None] = ContextVar("own_folder", default=None)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; never one that exists."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def own_intermediates(spark: SparkSession) -> Iterator[str]:
+    """Puts the intermediate tables of a job into one folder and removes it once the job has succeeded.
+
+    A failed job leaves them to be looked at. Results must have been written
+    elsewhere, as the jobs do.
+    """
+    folder = f"{shared_dir(spark)}/job-{uuid.uuid4().hex}"
+    token = _own_folder.set(folder)
+    try:
+        yield folder
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    finally:
+        _own_folder.reset(token)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -11,12 +11,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ringlens.functions.conversions import numeric_or_null
 from ringlens.operators.model import TrainedModel
 from ringlens.operators.promotion import promotion_gate
 from ringlens.session import literal_table
+from ringlens.sources.tables import load_if_exists
 
 MANIFEST = [
     ("run_id", "string"), ("command", "string"), ("status", "string"), ("timestamp", "string"),
@@ -28,15 +28,6 @@ REGISTRY = [
 ]
 
 
-def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    try:
-        return spark.read.format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def manifest_row(
     spark: SparkSession,
     run_id: str,
@@ -86,7 +77,7 @@ def threshold_row(metrics: DataFrame, default: float = 0.5) -> DataFrame:
 
 
 def load_threshold(spark: SparkSession, metrics_path: str, default: float = 0.5) -> float:
-    metrics = read_if_exists(spark, metrics_path)
+    metrics = load_if_exists(spark, metrics_path, "parquet")
     return float(default) if metrics is None else float(threshold_row(metrics, default).first()["threshold"])
 
 
@@ -107,7 +98,7 @@ def load_bundle(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str
 
 def production_model(spark: SparkSession, registry: str) -> dict[str, Any] | None:
     """The latest promoted version: promotion appends a row, so older ones remain as the archive."""
-    table = read_if_exists(spark, registry)
+    table = load_if_exists(spark, registry, "parquet")
     if table is None:
         return None
     row = table.where(F.col("status") == "production").orderBy(F.desc("recorded_at"), F.desc("version")).first()

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 FORMATS = {
     "parquet": "parquet", "pq": "parquet", "csv": "csv", "jsonl": "jsonl", "ndjson": "jsonl", "json": "json",
+    "json_array": "json_array",
 }
 
 
+LOOKS_AT_ONCE = 16
+
+
 def infer_format(path: str) -> str:
     """Format named by the suffix; csv when the suffix says nothing."""
     name = str(path).rstrip("/").lower()
-    for suffix in ("parquet", "csv", "jsonl", "json"):
-        if name.endswith(f".{suffix}"):
-            return suffix
-    return "csv"
+    return FORMATS.get(name.rpartition(".")[2], "csv")
 
 
 def load_table(
@@ -27,7 +32,8 @@ def load_table(
     CSV columns are text unless a schema says otherwise: inference would read
     the data twice and turn phone numbers into integers without their leading
     zeros, and every operator converts text itself. JSON carries its own types;
-    a schema saves the pass that discovers them.
+    a schema saves the pass that discovers them. ``json`` decides per file
+    between lines and one array; ``jsonl`` and ``json_array`` say which.
     """
     kind = FORMATS.get((fmt or infer_format(path)).lower().strip())
     if kind is None:
@@ -37,9 +43,48 @@ def load_table(
         return reader.parquet(path)
     if kind == "csv":
         return reader.option("header", True).option("escape", '"').csv(path)
-    # A .json file may hold one array over many lines, which cannot be split between tasks;
-    # line-delimited files can.
-    return reader.option("multiLine", kind == "json").json(path)
+    if kind == "json":
+        return _load_json(spark, path, schema)
+    return reader.option("multiLine", kind == "json_array").json(path)
+
+
+def _starts_array(spark: SparkSession, file: str) -> bool:
+    """Whether the first character that is not blank opens an array; reads the file only up to there."""
+    first = spark.read.text(file).where("value rlike '[^\\\\s\\ufeff]'").head()
+    return first is not None and first["value"].lstrip("\ufeff \t\r\n").startswith("[")
+
+
+def _load_json(spark: SparkSession, path: str, schema: T.StructType | str | None) -> DataFrame:
+    """JSON of either kind: one object per line, which can be split between tasks, or an array over many lines.
+
+    Each file is looked at by itself, as a folder may hold both; columns that
+    only one kind has are NULL in the other.
+    """
+    files = spark.read.text(path).inputFiles()
+    with ThreadPool(LOOKS_AT_ONCE) as pool:
+        arrays = dict(zip(files, pool.map(lambda file: _starts_array(spark, file), files), strict=True))
+
+    def read(array: bool) -> DataFrame:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        reader = reader.option("multiLine", array)
+        if len(set(arrays.values())) <= 1:
+            return reader.json(path)
+        return reader.json([file for file, is_array in arrays.items() if is_array == array])
+
+    kinds = sorted(set(arrays.values())) or [False]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [read(kind) for kind in kinds])
+
+
+def load_if_exists(
+    spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None
+) -> DataFrame | None:
+    """The table, or None where there is none."""
+    try:
+        return load_table(spark, path, fmt, schema)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def save_table(df: DataFrame, path: str, fmt: str | None = None, mode: str = "errorifexists") -> str:
