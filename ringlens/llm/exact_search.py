@@ -45,7 +45,8 @@ def whole_vectors(vectors: DataFrame, id_column: str, vector_column: str, scale:
             for key, vector in zip(batch.column("id").to_pylist(), batch.column("vec").to_pylist(), strict=True):
                 if key is None or vector is None or any(x is None for x in vector):
                     continue
-                values = np.floor(np.asarray(vector, float) * scale)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    values = np.floor(np.asarray(vector, float) * scale)
                 if np.isfinite(values).all():
                     ids.append(key)
                     rows.append(values.tobytes())
@@ -117,7 +118,8 @@ def search_block(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.
                 if level:
                     bounds = np.empty(len(held))
                     bounds[alive] = held_statistics[level][alive] @ asked_statistics[level][at]
-                alive = alive[bounds[alive] + allowed[alive] >= least]
+                # Scores are cut off at 64 bits, and so are the bounds.
+                alive = alive[np.maximum(bounds[alive] + allowed[alive], LONG_MIN) >= least]
             scores = exact_scores(asked[at], held[alive])
             chosen = best(ids[alive], scores, k)
             out.append(
@@ -141,8 +143,8 @@ def top_k(
     * Queries are the rows whose id is divisible by ``every``; candidates are
       all rows but those of the query's own id. Ties go to smaller ids; a
       query with fewer candidates gets all of them.
-    * Vectors that are null or hold null or non-finite components, and rows
-      without an id, take no part. Of rows with one id the one with the
+    * Vectors that are null or hold components that are null, not finite or
+      not finite once scaled, and rows without an id, take no part. Of rows with one id the one with the
       smallest bytes counts. A shorter vector counts as if it ended in zeros;
       an empty one scores 0. Scores beyond 64 bits are the nearest long.
     * Other columns are not read; an empty table gives an empty result.

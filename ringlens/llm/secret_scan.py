@@ -2,8 +2,9 @@
 
 Two models give the probability of each character after the one before: one of
 random strings, learned from what the base patterns mark as secret, and one of
-ordinary identifiers and words, learned from the rest of all texts. Both learn
-from every document: tasks count pairs of characters, Spark adds the counts,
+ordinary identifiers and words, learned from all other tokens. A long token
+that may turn out to be a secret counts once per batch of documents, so that
+copies of it do not vouch for each other. Both learn from every document: tasks count pairs of characters, Spark adds the counts,
 and only the two tables of fixed size reach the driver. A token is reported if
 its log-likelihood ratio exceeds the odds against a secret.
 """
@@ -30,10 +31,13 @@ ASSIGN_HINT = re.compile(r"[:=]")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Long tokens of fewer different characters are rules and fillers.
+LEAST_DISTINCT = 8
 LEAST_VALUE = 6
 #: Natural logarithm of the odds against a long token being a secret, times the cost of a false report.
 LEAST_RATIO = 25.0
 PRIOR = 0.5
+BACKING = 20.0
 
 SYMBOLS = np.zeros(256, np.int64)
 ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -57,6 +61,25 @@ def secret_values(text: str, spans: list[tuple[int, int, str]]) -> list[str]:
     return [ASSIGN.match(text, start).group(2) if kind == "assign" else text[start:stop] for start, stop, kind in spans]
 
 
+def candidates(text: str) -> Iterator[re.Match]:
+    """Tokens that are long and varied enough to be asked about."""
+    return (m for m in CANDIDATE.finditer(text) if len(set(m.group())) >= LEAST_DISTINCT)
+
+
+def ordinary_text(text: str, spans: list[tuple[int, int, str]], asked: set[str]) -> str:
+    """The text without its base spans and without its tokens in question, which are added to ``asked``."""
+    kept, done = [], 0
+    cuts = [(start, stop) for start, stop, _ in spans]
+    for match in candidates(text):
+        cuts.append(match.span())
+        if not any(start < match.end() and match.start() < stop for start, stop, _ in spans):
+            asked.add(match.group())
+    for start, stop in sorted(cuts):
+        kept.append(text[done:max(start, done)])
+        done = max(done, stop)
+    return " ".join([*kept, text[done:]])
+
+
 def pair_counts(data: bytes) -> np.ndarray:
     """How often each symbol follows each within one token, and begins one (after symbol 0)."""
     counts = np.zeros(SIZE * SIZE, np.int64)
@@ -70,10 +93,17 @@ def pair_counts(data: bytes) -> np.ndarray:
 
 
 def trained(counts: np.ndarray) -> np.ndarray:
-    """Log-probabilities of a symbol after another, smoothed by ``PRIOR`` occurrences of each."""
-    table = counts.reshape(SIZE, SIZE)[:, 1:] + PRIOR
+    """Log-probabilities of a symbol after another.
+
+    Counts of pairs are blended with ``BACKING`` occurrences dealt out by the
+    symbols' own frequencies, so that a rare symbol stays unlikely after a
+    symbol that was hardly ever seen.
+    """
+    table = counts.reshape(SIZE, SIZE)[:, 1:].astype(float)
+    alone = table.sum(axis=0) + PRIOR
+    blended = table + BACKING * alone / alone.sum()
     logs = np.zeros((SIZE, SIZE))
-    logs[:, 1:] = np.log(table / table.sum(axis=1, keepdims=True))
+    logs[:, 1:] = np.log(blended / blended.sum(axis=1, keepdims=True))
     return logs
 
 
@@ -81,34 +111,37 @@ def learn(docs: DataFrame, text_column: str) -> np.ndarray:
     """Log-likelihood ratio, random string against identifier, of each symbol after each."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        random, whole = np.zeros(SIZE * SIZE, np.int64), np.zeros(SIZE * SIZE, np.int64)
+        random, plain = np.zeros(SIZE * SIZE, np.int64), np.zeros(SIZE * SIZE, np.int64)
         for batch in batches:
+            asked: set[str] = set()
             for text in batch.column(0).to_pylist():
                 if text:
-                    whole += pair_counts(text.encode("utf-8", "replace"))
-                    values = secret_values(text, base_spans(text))
+                    spans = base_spans(text)
+                    plain += pair_counts(ordinary_text(text, spans, asked).encode("utf-8", "replace"))
+                    values = secret_values(text, spans)
                     if values:
                         random += pair_counts("\n".join(values).encode())
+            plain += pair_counts("\n".join(asked).encode())
         pair = np.arange(SIZE * SIZE)
-        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(random), pa.array(whole)], ["pair", "random", "whole"])
+        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(random), pa.array(plain)], ["pair", "random", "plain"])
 
     sums = (
         docs.select(F.col(f"`{text_column}`").alias("text"))
-        .mapInArrow(counted, "pair bigint, random bigint, whole bigint")
+        .mapInArrow(counted, "pair bigint, random bigint, plain bigint")
         .groupBy("pair")
-        .agg(F.sum("random").alias("random"), F.sum("whole").alias("whole"))
+        .agg(F.sum("random").alias("random"), F.sum("plain").alias("plain"))
     )
-    random, whole = np.zeros(SIZE * SIZE), np.zeros(SIZE * SIZE)
+    random, plain = np.zeros(SIZE * SIZE), np.zeros(SIZE * SIZE)
     for row in sums.collect():
-        random[row.pair], whole[row.pair] = row.random, row.whole
-    return trained(random) - trained(np.maximum(whole - random, 0))
+        random[row.pair], plain[row.pair] = row.random, row.plain
+    return trained(random) - trained(plain)
 
 
 def random_tokens(text: str, ratios: np.ndarray, least_ratio: float) -> list[tuple[int, int]]:
     """Spans of the tokens whose characters are likelier in a random string than in an identifier."""
     flat = ratios.ravel()
     found = []
-    for match in CANDIDATE.finditer(text):
+    for match in candidates(text):
         symbols = SYMBOLS[np.frombuffer(match.group().encode(), np.uint8)]
         before = np.concatenate([[0], symbols[:-1]])
         if flat[before * SIZE + symbols].sum() >= least_ratio:

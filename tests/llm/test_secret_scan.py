@@ -66,7 +66,12 @@ def test_models_tell_random_strings_from_identifiers(spark):
         return "".join(rng.choice(letters) for _ in range(n))
 
     words = ["getuser", "customer", "account", "handler", "request", "factory", "manager", "internal", "service", "provider"]
-    texts = [f"token={secret(40)}" for _ in range(60)] + [" ".join("_".join(rng.sample(words, 4)) for _ in range(30)) for _ in range(200)]
+    def ordinary():
+        long = ["_".join(rng.sample(words, 4)) for _ in range(20)]
+        short = [f"{rng.choice(words).title()} v{rng.randint(1, 99)} ID{rng.randint(100, 999)} {rng.choice(words).upper()}" for _ in range(20)]
+        return " ".join(long + short)
+
+    texts = [f"token={secret(40)}" for _ in range(60)] + [ordinary() for _ in range(200)]
     planted = secret(40)
     texts += [f"see {planted} there", "see getuser_account_internal_service_provider there"]
     schema = "doc_id long, text string, spans string, found int"
@@ -83,5 +88,14 @@ def test_models_tell_random_strings_from_identifiers(spark):
 
 def test_long_token_is_scored_whole():
     ratios = np.full((secret_scan.SIZE, secret_scan.SIZE), 0.01)
-    assert secret_scan.random_tokens("x" * 5000, ratios, 25.0) == [(0, 5000)]
-    assert secret_scan.random_tokens("x" * 2000, ratios, 25.0) == []
+    assert secret_scan.random_tokens("abcdefgh" * 600, ratios, 25.0) == [(0, 4800)]
+    assert secret_scan.random_tokens("abcdefgh" * 300, ratios, 25.0) == []
+    assert secret_scan.random_tokens("=-" * 3000, ratios, 25.0) == []
+
+
+def test_tokens_in_question_do_not_vouch_for_each_other():
+    asked = set()
+    text = "a token=abcdef12 b abcdefghijklmnopqrstuvwxyz c ------------------------ abcdefghijklmnopqrstuvwxyz"
+    assert secret_scan.ordinary_text(text, secret_scan.base_spans(text), asked) == "a   b   c ------------------------  "
+    assert asked == {"abcdefghijklmnopqrstuvwxyz"}
+    assert secret_scan.ordinary_text("plain words", [], asked) == "plain words"
