@@ -225,3 +225,52 @@ def test_features_may_be_missing_or_text(spark):
     df = spark.createDataFrame([("0912000001", "7", "x", None)], "phone string, sum_call string, duration string, in_hour double")
     row = risk_features(df).first()
     assert (row["total_call"], row["avg_duration"], row["in_contact"]) == (7, 0.0, False)
+
+
+def test_rows_without_a_key_are_split_like_others(spark):
+    rows = spark.range(2000).select(
+        F.when(F.col("id") % 10 < 4, None).otherwise(F.col("id")).alias("key"), (F.col("id") % 2).alias("label"), F.col("id").alias("x")
+    )
+    sizes = {r.role: r["count"] for r in stratified_split(rows, "key").groupBy("role").count().collect()}
+    assert sizes == {"test": 300, "validation": 340, "train": 1360}
+    keyless = stratified_split(rows, "key").where("key is null").groupBy("role").count().collect()
+    assert {r.role for r in keyless} == {"test", "validation", "train"}
+
+
+def test_all_measures_leave_out_the_same_rows(spark):
+    from ringlens.operators.metrics import left_out, metrics_at, roc_auc, threshold_sweep
+
+    good = [(1, 0.9), (0, 0.2), (1, 0.6), (0, 0.7)]
+    odd = [(1, None), (0, float("nan")), (None, 0.5), (2, 0.5), (None, None)]
+    clean = spark.createDataFrame(good, "label int, score double")
+    dirty = spark.createDataFrame(good + odd, "label int, score double")
+    for measure in (roc_auc, threshold_sweep, lambda df: metrics_at(df, [0.5, 0.98])):
+        assert sorted(map(tuple, measure(dirty).collect())) == sorted(map(tuple, measure(clean).collect()))
+    assert tuple(left_out(dirty).first()) == (9, 5)
+
+
+def test_settings_from_a_mapping(spark):
+    from ringlens.config import RiskConfig
+
+    plain = RiskConfig.from_mapping({})
+    assert plain.score_levels == () and plain.blacklist == () and plain.messages == {}
+    assert plain.missed_level == 3 and plain.short_seconds == 5.0 and plain.foreign_floor == 1
+    given = RiskConfig.from_mapping(
+        {
+            "model_thresholds": [[0.5, 1], [1.01, 4]], "hard_blacklist_numbers": [113], "rule_levels": {"hard_blacklist": 3},
+            "behavior_rules": {"miss_ratio_high": 0.9}, "level_messages": {"1": {"title": "t"}},
+        }
+    )
+    assert given.score_levels == ((0.5, 1), (1.01, 4)) and given.blacklist == ("113",) and given.blacklist_level == 3
+    assert given.missed_ratio == 0.9 and given.missed_min_calls == 5 and given.messages == {1: ("t", "")}
+
+
+def test_blacklist_of_any_size(spark):
+    from ringlens.operators.risk import evaluate_risk, risk_features
+
+    pool = spark.createDataFrame([("0912000001", 0.1, 3_000_000_000), ("0912000002", 0.1, 5)], "phone string, Score double, sum_call long")
+    rows = risk_features(pool, keep=("Score",))
+    assert {r.phone: r.total_call for r in rows.collect()} == {"0912000001": 3_000_000_000, "0912000002": 5}
+    listed = spark.range(5000).select(F.concat(F.lit(" 091200"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("phone")).where("id <> 2")
+    levels = {r.phone: r.rule_level for r in evaluate_risk(rows, blacklist=listed.union(listed)).collect()}
+    assert levels["0912000001"] == 4 and levels["0912000002"] < 4

@@ -153,13 +153,49 @@ def test_report_export_refuses_its_own_source(spark, tmp_path):
 
 
 def test_formats(spark, tmp_path):
-    names = {"x.parquet": "parquet", "x.csv": "csv", "x.jsonl": "jsonl", "X.JSON": "json", "x.unknown": "csv"}
+    names = {"x.parquet": "parquet", "x.csv": "csv", "x.jsonl": "jsonl", "X.JSON": "json", "x.unknown": "csv",
+             "x.ndjson": "jsonl", "x.pq": "parquet"}
     assert {n: infer_format(n) for n in names} == names
     with pytest.raises(ValueError, match="unsupported"):
         load_table(spark, "x.csv", fmt="xlsx")
     df = spark.createDataFrame([("0901", 'a "quoted", one', None)], "phone string, note string, n int")
-    for suffix in ("parquet", "csv", "jsonl"):
+    for suffix in ("parquet", "pq", "csv", "jsonl", "ndjson", "json"):
         path = save_table(df, f"{tmp_path}/t.{suffix}")
         assert load_table(spark, path, schema=df.schema).collect() == df.collect()
     (tmp_path / "array.json").write_text('[{"a": 1},\n {"a": 2}]')
     assert load_table(spark, f"{tmp_path}/array.json").agg(F.sum("a")).first()[0] == 3
+
+
+def test_json_is_told_apart_per_file(spark, tmp_path):
+    folder = tmp_path / "mixed.json"
+    folder.mkdir()
+    (folder / "a.json").write_text('\ufeff\n  [\n{"a": 1, "b": "x"},\n {"a": 2}]')
+    (folder / "b.json").write_text('{"a": 10}\n\n{"a": 20, "c": 5}\n')
+    (folder / "c.json").write_text("")
+    rows = load_table(spark, str(folder))
+    assert sorted(rows.columns) == ["a", "b", "c"]
+    assert sorted(r.a for r in rows.collect()) == [1, 2, 10, 20]
+    typed = load_table(spark, str(folder), schema="a long, b string")
+    assert sorted((r.a, r.b) for r in typed.collect())[0] == (1, "x")
+    many = save_table(spark.range(20).repartition(4), f"{tmp_path}/lines.json")
+    assert sorted(r.id for r in load_table(spark, many).collect()) == list(range(20))
+
+
+def test_text_from_a_csv_is_compared_as_numbers(spark):
+    labels = spark.createDataFrame([("0901", "1", "9"), ("901", "0", "10")], "phone string, label string, total_reports string")
+    assert [tuple(r) for r in new_labels(labels).collect()] == [("901", 0)]
+
+
+def test_merge_takes_a_text_base(spark):
+    changed = spark.createDataFrame([("0901", 1, 5, 1.5)], "phone string, label int, x long, y double")
+    base = spark.createDataFrame([("0902", "0.0", "7", "abc"), ("901", "0", "1", "1")], "phone string, label string, x string, y string")
+    got = sorted(tuple(r) for r in merge_training(changed, base).select("phone", "label", "x", "y").collect())
+    assert got == [("0901", 1, 5.0, 1.5), ("0902", 0, 7.0, None)]
+
+
+def test_merge_keeps_the_same_row_whatever_the_order(spark):
+    rows = [("0901", 1, float(i)) for i in range(30)]
+    base = spark.createDataFrame(rows, "phone string, label int, x double")
+    changed = spark.createDataFrame([("0902", 1, 0.0)], base.schema)
+    kept = {merge_training(changed, base.repartition(n)).where("phone = '0901'").first().x for n in (1, 3, 7)}
+    assert len(kept) == 1

@@ -61,7 +61,8 @@ def test_lenient_numbers(spark):
 
 def test_conversion_defaults(spark):
     raw = ["2.9", "-2.9", "x", None, "inf", "99999999999"]
-    assert values(spark, raw, conv.int_or(F.col("v"), TEXT, 7)) == [2, -2, 7, 7, 7, 7]
+    assert values(spark, raw, conv.int_or(F.col("v"), TEXT, 7)) == [2, -2, 7, 7, 7, 99_999_999_999]
+    assert values(spark, ["1e30", "-1e30"], conv.int_or(F.col("v"), TEXT)) == [2**63 - 1, -(2**63)]
     assert values(spark, raw[:4], conv.double_or(F.col("v"), TEXT, 1.5)) == [2.9, -2.9, 1.5, 1.5]
     got = values(spark, ["TRUE", "yes", "1", "0", "no", None], conv.bool_or(F.col("v"), TEXT, True))
     assert got == [True, True, True, False, False, True]

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks import catalog as K
-from ringlens.config import TreeParams
+from ringlens.config import SearchSpace, TreeParams
 from ringlens.operators import model as ML
 from ringlens.operators.risk import evaluate_risk, risk_features
 from ringlens.plans import jobs
@@ -52,15 +53,74 @@ def test_model_separates_and_survives_a_roundtrip(spark):
     assert 0.0 < artifacts.threshold_row(metrics).first()[0] < 1.0
 
 
+SPACE = SearchSpace(rounds=(2, 4), rounds_step=1, depth=(2, 3), bins=(16, 32), bins_step=16)
+
+
 def test_tuning_marks_the_best_trial(spark):
     rows, columns = ML.split_rows(separable(spark, 120))
-    best, trials = ML.tune(rows, columns, trials=2, max_rounds=2)
-    found = trials.orderBy("trial").collect()
+    tuned = ML.tune(rows, columns, trials=2, space=SPACE)
+    found = tuned.trials.orderBy("trial").collect()
     assert len(found) == 2 and sum(r["is_best"] for r in found) == 1
     assert max(r["auc"] for r in found) == next(r["auc"] for r in found if r["is_best"])
-    assert best.depth == next(r["depth"] for r in found if r["is_best"])
-    _, stopped = ML.tune(rows, columns, trials=2, budget_seconds=0.0, max_rounds=2)
-    assert stopped.count() == 1
+    assert tuned.best.depth == next(r["depth"] for r in found if r["is_best"])
+    assert tuned.record["n_features"] == 3 and tuned.record["best_params"]["depth"] == tuned.best.depth
+    assert ML.tune(rows, columns, trials=3, budget_seconds=0.0, space=SPACE, side_by_side=1).trials.count() == 1
+
+
+def test_draws_cover_their_space():
+    import random
+
+    draws = [ML.sample_params(random.Random(i), 1) for i in range(300)]
+    assert {d.rounds for d in draws} <= set(range(800, 3501, 100)) and len({d.rounds for d in draws}) > 20
+    assert all(3 <= d.depth <= 10 and 0.01 <= d.learning_rate <= 0.2 and d.patience == 80 for d in draws)
+
+
+def test_boosting_waits_for_a_later_minimum():
+    losses = [5, 4, 4.5, 4.6, 3, 3.1, 3.2]
+    assert ML.best_round(losses, patience=50) == 5
+    assert ML.best_round(losses, patience=2) == 2
+    assert ML.best_round([1.0], patience=5) == 1
+
+
+def test_first_trees_are_those_of_the_model(spark):
+    rows, columns = ML.split_rows(separable(spark))
+    whole = ML.fit(rows, columns, TreeParams(rounds=6, depth=2, learning_rate=0.1))
+    trees = whole.model.stages[-1]
+    short = ML.first_trees(trees, 2)
+    assert short.getNumTrees == 2 and list(short.treeWeights) == list(trees.treeWeights)[:2]
+    path = fresh_path(spark, "short")
+    short.save(path)
+    assert type(short).load(path).getNumTrees == 2
+    assert "probability" in short.transform(whole.model.stages[1].transform(whole.model.stages[0].transform(rows))).columns
+
+
+def test_training_without_a_phone(spark):
+    rows, columns = ML.split_rows(separable(spark).drop("phone"))
+    assert columns == ["a", "b", "noise"] and rows.groupBy("role").count().count() == 3
+
+
+def test_jobs_leave_no_intermediates_and_no_settings(spark):
+    config = jobs.JobConfig(workspace=fresh_path(spark, "workspace"), shuffle_partitions=3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = {}
+
+    def job():
+        seen["partitions"] = spark.conf.get("spark.sql.shuffle.partitions")
+        seen["file"] = stored(spark.range(3), "step").inputFiles()[0]
+        return {}
+
+    jobs.recorded(spark, "label", config, job)
+    assert seen["partitions"] == "3" and spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert not os.path.exists(seen["file"].split(":", 1)[1].replace("//", "/"))
+
+
+def test_training_falls_back_to_a_csv_base(spark, tmp_path):
+    base = save_table(separable(spark, 120), f"{tmp_path}/base.csv")
+    config = jobs.JobConfig(workspace=fresh_path(spark, "workspace"), base_path=base)
+    result = jobs.train(spark, None, config, TREES)
+    report = spark.read.parquet(f"{result['bundle']}/metrics").first()
+    assert result["promoted"] and report["data_path"] == base and report["dropped_cols"] == ["phone", "Score"]
+    assert report["n_rows_used"] == 120 and report["threshold@0.5"] == 0.5
 
 
 def test_thresholds_fall_back(spark):
@@ -118,7 +178,8 @@ def test_all_jobs_hand_over_to_each_other(spark, sf):
     limit = result["inference"]["threshold_used"]
     assert predictions.where((F.col("Score") >= limit) != (F.col("Spam") == 1)).count() == 0
     assert result["dataset"]["training_count"] >= result["dataset"]["changed_count"] > 0
-    assert load_table(spark, result["training"]["trials"]).count() == 1
+    assert load_table(spark, result["training"]["trials"]).count() == 2
+    assert result["training"]["tuning"]["n_trials"] == 2
 
 
 def test_scoring_a_file(spark, sf):

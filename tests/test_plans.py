@@ -56,8 +56,30 @@ def test_split_adds_no_shuffle_of_rows(spark, sf):
 
 
 @pytest.mark.parametrize(
-    "name", [n for n in K.CATALOG if K.CATALOG[n].sql and not n.startswith(("job_", "stream_"))]
+    "name", [n for n in K.CATALOG if K.CATALOG[n].sql and not n.startswith(("job_", "stream_", "train_", "tune", "model_"))]
 )
 def test_no_python_in_the_data_path(spark, sf, name):
     text = plan(K.CATALOG[name].run(spark, sf))
     assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_provider_tables_are_planned_by_their_size(spark, sf):
+    from ringlens.operators.calls import with_providers
+    from ringlens.sources.providers import provider_dimension
+
+    large = provider_dimension(spark, {f"n{i}": [f"{i:05d}"] for i in range(50_000)})
+    assert large.count() == 50_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        text = plan(with_providers(K.cleaned(spark, sf), large))
+        assert "BroadcastHashJoin" not in text and "CartesianProduct" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_heavy_keys_are_counted_once(spark, sf):
+    from ringlens.operators.skew import find_heavy
+
+    calls = spark.createDataFrame([(i % 3,) for i in range(30)], "k int")
+    assert sorted(r.k for r in find_heavy(calls, "k", 5).keys.collect()) == [0, 1, 2]
+    assert find_heavy(calls, "k", 10).keys is None
