@@ -487,7 +487,7 @@ def label_thresholds(spark, sf):
 
 @query("label_feedback", O.label_feedback(O.report_summary()))
 def label_feedback(spark, sf):
-    return L.label_feedback(summary(spark, sf))
+    return L.label_feedback(stored(summary(spark, sf), "summary"))
 
 
 CHANGED = O.changed_labels(O.label_feedback(O.report_summary()), A.POOL, "p.sum_call, p.duration")
@@ -495,7 +495,8 @@ CHANGED = O.changed_labels(O.label_feedback(O.report_summary()), A.POOL, "p.sum_
 
 @query("changed_labels", CHANGED)
 def changed_labels(spark, sf):
-    return D.changed_labels(L.label_feedback(summary(spark, sf)), A.read(spark, sf, A.POOL))
+    labels = L.label_feedback(stored(summary(spark, sf), "summary"))
+    return D.changed_labels(labels, A.read(spark, sf, A.POOL), unique_phones=True)
 
 
 KEYED_BASE = f"""

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ringlens.config import FeatureConfig
 from ringlens.functions.timing import day_number
 from ringlens.operators.calls import expand_calls, with_direction
+from ringlens.session import stored
 
 HOUR = 3600.0
 
@@ -170,22 +171,17 @@ def _weighted_gaps(seconds: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _layered_redials(directed: DataFrame) -> DataFrame:
-    """Consecutive calls with the same member, without ordering all calls of a report.
+def _layered_redials(instants: DataFrame) -> DataFrame:
+    """Consecutive calls with the same member, from (report, second, time, member, calls_to, calls_in) rows.
 
     Calls at one instant are ordered by member, so an instant is described by
     its number of calls and members and its smallest and largest member. A
     second holds at most a million instants and a history one row per second.
     """
-    instants = (
-        directed.groupBy("report", "second", "time", "phone_member")
-        .agg(F.count(F.lit(1)).alias("calls"))
-        .groupBy("report", "second", "time")
-        .agg(
-            (F.sum("calls") - F.count(F.lit(1))).alias("redials"),
-            F.min("phone_member").alias("first_member"),
-            F.max("phone_member").alias("last_member"),
-        )
+    described = instants.groupBy("report", "second", "time").agg(
+        (F.sum(F.col("calls_to") + F.col("calls_in")) - F.count(F.lit(1))).alias("redials"),
+        F.min("phone_member").alias("first_member"),
+        F.max("phone_member").alias("last_member"),
     )
 
     def chained(keys: list[str], order: str) -> Column:
@@ -193,7 +189,7 @@ def _layered_redials(directed: DataFrame) -> DataFrame:
         return F.col("redials") + F.coalesce(previous == F.col("first_member"), F.lit(False)).cast("int")
 
     seconds = (
-        instants.select("*", chained(["report", "second"], "time").alias("linked"))
+        described.select("*", chained(["report", "second"], "time").alias("linked"))
         .groupBy("report", "second")
         .agg(
             F.sum("linked").alias("redials"),
@@ -215,10 +211,13 @@ def base_metrics(directed: DataFrame) -> DataFrame:
 
 def contacts(directed: DataFrame) -> DataFrame:
     """Distinct members by report, overall and per direction, through one row per report and member."""
-    outgoing = F.col("outgoing")
+    return _contacted(directed, F.col("outgoing"), ~F.col("outgoing"))
+
+
+def _contacted(rows: DataFrame, to: Column, back: Column) -> DataFrame:
     return (
-        directed.groupBy("report", "phone_member")
-        .agg(F.max(outgoing.cast("int")).alias("to"), F.max((~outgoing).cast("int")).alias("in"))
+        rows.groupBy("report", "phone_member")
+        .agg(F.max(to.cast("int")).alias("to"), F.max(back.cast("int")).alias("in"))
         .groupBy("report")
         .agg(
             F.count(F.lit(1)).alias("total_contacted"),
@@ -230,27 +229,39 @@ def contacts(directed: DataFrame) -> DataFrame:
 
 def daily_mean(directed: DataFrame) -> DataFrame:
     """Mean number of answered calls over the days on which a report has calls."""
+    return _answered_per_day(directed, F.col("call_to") + F.col("call_in"))
+
+
+def _answered_per_day(rows: DataFrame, answered: Column) -> DataFrame:
     return (
-        directed.groupBy("report", day_number(F.col("second")).alias("day"))
-        .agg(F.sum(F.col("call_to") + F.col("call_in")).alias("answered"))
+        rows.groupBy("report", day_number(F.col("second")).alias("day"))
+        .agg(F.sum(answered).alias("answered"))
         .groupBy("report")
         .agg(F.avg("answered").alias("mean_call_by_day"))
     )
 
 
 def layered_metrics(marked: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
-    """The aggregates of ``ordered_metrics`` with every group bounded; meant for few, very large reports."""
+    """The aggregates of ``ordered_metrics`` with every group bounded; meant for few, very large reports.
+
+    The calls are read twice: for the sums, and for one stored aggregate per
+    report, member and instant, from which all other blocks follow.
+    """
     directed = expand_calls(with_direction(marked, config), config)
     outgoing = F.col("outgoing")
     sums = base_metrics(directed)
-    per_member = directed.groupBy("report", "phone_member", "second").agg(
-        F.sum(outgoing.cast("bigint")).alias("calls_to"),
-        F.sum((~outgoing).cast("bigint")).alias("calls_in"),
+    instants = stored(
+        directed.groupBy("report", "phone_member", "second", "time").agg(
+            F.sum(outgoing.cast("bigint")).alias("calls_to"),
+            F.sum((~outgoing).cast("bigint")).alias("calls_in"),
+            F.sum(F.col("call_to") + F.col("call_in")).alias("answered"),
+        ),
+        "instants",
     )
-    per_second = directed.groupBy("report", "second").agg(
-        F.count(F.lit(1)).alias("calls"),
-        F.sum(outgoing.cast("bigint")).alias("calls_to"),
-        F.sum((~outgoing).cast("bigint")).alias("calls_in"),
+    counts = [F.sum(name).alias(name) for name in ("calls_to", "calls_in")]
+    per_member = instants.groupBy("report", "phone_member", "second").agg(*counts)
+    per_second = instants.groupBy("report", "second").agg(
+        F.sum(F.col("calls_to") + F.col("calls_in")).alias("calls"), *counts
     )
     gaps = _weighted_gaps(per_second, ["report"]).select(
         "report",
@@ -266,5 +277,7 @@ def layered_metrics(marked: DataFrame, config: FeatureConfig = FeatureConfig())
             (F.sum("gap_in") / HOUR).alias("total_frequency_in_by_phonemember"),
         )
     )
-    blocks = [gaps, member_gaps, _layered_redials(directed), contacts(directed), daily_mean(directed)]
+    met = _contacted(instants, F.col("calls_to") > 0, F.col("calls_in") > 0)
+    days = _answered_per_day(instants, F.col("answered"))
+    blocks = [gaps, member_gaps, _layered_redials(instants), met, days]
     return reduce(lambda left, right: left.join(right, "report", "left"), blocks, sums)
