@@ -42,24 +42,27 @@ def words_of(text: str | None) -> set[str]:
 
 @dataclass
 class OrdinalModel:
-    """Weights per word and ordered thresholds; ``grades`` are the values of the classes in order."""
+    """Weights per word and ordered thresholds; ``grades`` are the values of the classes in order.
+
+    Scores from ``cut`` on count as above the lowest grade.
+    """
 
     weights: dict[str, float]
     thresholds: np.ndarray
     grades: np.ndarray
+    cut: float = np.inf
 
     def reached(self, scores: np.ndarray) -> np.ndarray:
         """P(grade >= k) for each score and each grade but the lowest."""
         return logistic(scores[:, None] - self.thresholds[None, :])
 
     def predict(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected severity, most likely grade and P(above the lowest grade) of each text."""
+        """Expected severity, most likely grade and whether above the lowest grade, of each text."""
         scores = np.array([sum(map(self.weights.__getitem__, self.weights.keys() & words_of(t))) for t in texts], float)
         reached = self.reached(scores)
         steps = np.concatenate([np.ones((len(texts), 1)), reached, np.zeros((len(texts), 1))], axis=1)
         shares = steps[:, :-1] - steps[:, 1:]
-        above = reached[:, 0] if reached.shape[1] else np.zeros(len(texts))
-        return shares @ self.grades, self.grades[shares.argmax(axis=1)], above
+        return shares @ self.grades, self.grades[shares.argmax(axis=1)], scores >= self.cut
 
 
 def logistic(x: np.ndarray) -> np.ndarray:
@@ -105,6 +108,23 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, classes: np.ndarray, widt
     return parameters[:width], thresholds
 
 
+def best_cut(scores: np.ndarray, hits: np.ndarray) -> float:
+    """The score that parts the labelled rows with the highest F1, midway between the scores beside it.
+
+    Where texts with positive scores alone are above it, a text without any
+    known word, whose score is 0, is below it.
+    """
+    order = np.argsort(-scores, kind="stable")
+    ranked, found = scores[order], np.cumsum(hits[order])
+    ends = np.flatnonzero(np.append(ranked[1:] != ranked[:-1], True))
+    f1 = 2 * found[ends] / (ends + 1 + hits.sum())
+    end = ends[int(f1.argmax())]
+    if end + 1 == len(ranked):
+        return -np.inf
+    above, below = float(ranked[end]), float(ranked[end + 1])
+    return (above + (max(below, 0.0) if above > 0 else below)) / 2
+
+
 def severity_grade(toxic: str = "toxic", quality: str = "quality") -> Column:
     """0 for a text that is not toxic, 1 for a toxic one, 2 for one that is also of low quality; null stays null."""
     return F.when(F.col(toxic) == 0, 0).when((F.col(toxic) == 1) & (F.col(quality) == 0), 2).when(F.col(toxic) == 1, 1)
@@ -194,18 +214,20 @@ def train(
     rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     columns = np.array([place[word] for x in lists for word in x], int)
     weights, thresholds = fit_ordinal(rows, columns, np.searchsorted(grades_seen, values), len(words))
-    return OrdinalModel(dict(zip(words, weights.tolist(), strict=True)), thresholds, grades_seen.astype(float))
+    scores = np.bincount(rows, weights[columns], len(values)) if len(rows) else np.zeros(len(values))
+    cut = best_cut(scores, values > grades_seen[0]) if len(rows) else np.inf
+    return OrdinalModel(dict(zip(words, weights.tolist(), strict=True)), thresholds, grades_seen.astype(float), cut)
 
 
 def rate(docs: DataFrame, model: OrdinalModel, text_column: str = "text") -> DataFrame:
-    """Adds a column ``rated`` with ``severity``, ``grade`` and ``chance`` of being above the lowest grade."""
+    """Adds a column ``rated`` with ``severity``, ``grade`` and whether the text is ``toxic``."""
 
-    @F.arrow_udf("struct<severity: double, grade: int, chance: double>")
+    @F.arrow_udf("struct<severity: double, grade: int, toxic: boolean>")
     def rated(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             severity, grade, above = model.predict(texts.to_pylist())
             yield pa.StructArray.from_arrays(
-                [pa.array(severity), pa.array(grade.astype(np.int32)), pa.array(above)], ["severity", "grade", "chance"]
+                [pa.array(severity), pa.array(grade.astype(np.int32)), pa.array(above)], ["severity", "grade", "toxic"]
             )
 
     return docs.withColumn("rated", rated(F.col(f"`{text_column}`")))
@@ -214,13 +236,13 @@ def rate(docs: DataFrame, model: OrdinalModel, text_column: str = "text") -> Dat
 def toxicity(docs: DataFrame, model: OrdinalModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, expected ``severity``, most likely ``grade`` and ``toxic``.
 
-    A document is toxic if a grade above the lowest is at least as likely as
-    not. Null and empty texts have no words and get the base rate. Repeated
-    rows and null ids give rows like others; other columns are not read.
+    A document is toxic from the score on that parts the labelled sample best.
+    Null and empty texts have no words and get the base rate. Repeated rows
+    and null ids give rows like others; other columns are not read.
     """
     plain = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
     return rate(plain, model, "text").select(
-        F.col("id").alias(id_column), "rated.severity", "rated.grade", (F.col("rated.chance") >= 0.5).alias("toxic")
+        F.col("id").alias(id_column), "rated.severity", "rated.grade", "rated.toxic"
     )
 
 
@@ -228,4 +250,4 @@ def keep_harmless(docs: DataFrame, model: OrdinalModel, text_column: str = "text
     """The documents, with all their columns, that are not toxic."""
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
     marked = rate(docs.select(row, F.col(f"`{text_column}`").alias("text")), model, "text")
-    return marked.where(F.col("rated.chance") < 0.5).select("row.*")
+    return marked.where(~F.col("rated.toxic")).select("row.*")
