@@ -17,7 +17,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +30,12 @@ BUCKET = 4
 MIN_BITS = 6
 TILE = 2_048
 SEED = 20_240
+KEY = ["label", "size", "table", "code"]
+GROUP = [*KEY, "one", "two"]
+#: Groups up to this size are compared side by side, larger ones row block by row block.
+SMALL_GROUP = 64
+PAIRS = 32_768
+ROWS_AT_ONCE = 8_192
 
 
 def tables_for(vectors: int, least_cosine: float = LEAST_COSINE, miss: float = MISS) -> tuple[int, int]:
@@ -101,20 +106,26 @@ def bucketed(vectors: DataFrame, bits: int, tables: int) -> DataFrame:
 
 
 def tiled(rows: DataFrame, tile: int) -> DataFrame:
-    """Splits buckets of more than ``tile`` rows: ``one`` and ``two`` name the pair of tiles a row takes part in."""
-    key = ["label", "size", "table", "code"]
-    counts = rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
-    tiles = F.ceil(F.col("n") / tile).cast("int")
+    """Splits buckets of more than ``tile`` rows: ``one`` and ``two`` name the pair of tiles a row takes part in.
+
+    Only the keys of such buckets are looked up; without any, rows pass as they are.
+    """
+    counts = rows.groupBy(*KEY).agg(F.count("*").alias("n")).where(F.col("n") > tile)
+    large = stored(counts.select(*KEY, F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "large-buckets")
+    zero = F.lit(0)
+    if large.isEmpty():
+        return rows.select(*KEY, zero.alias("one"), zero.alias("two"), zero.alias("mine"), "node", "copies", "codes", "unit")
     mine = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     pair = F.transform(
         F.sequence(F.lit(0), F.col("tiles") - 1),
         lambda other: F.struct(F.least(F.col("mine"), other).alias("one"), F.greatest(F.col("mine"), other).alias("two")),
     )
     return (
-        rows.join(counts.select(*key, tiles.alias("tiles")), key)
+        rows.join(large, KEY, "left")
+        .withColumn("tiles", F.coalesce("tiles", F.lit(1)))
         .withColumn("mine", mine)
         .withColumn("pair", F.explode(pair))
-        .select(*key, "pair.*", "mine", "node", "copies", "codes", "unit")
+        .select(*KEY, "pair.*", "mine", "node", "copies", "codes", "unit")
     )
 
 
@@ -136,46 +147,127 @@ def spanning(node: np.ndarray, i: np.ndarray, j: np.ndarray, parent: dict[int, i
     return out
 
 
-def linked_in_group(group: pd.DataFrame, least_cosine: float) -> pd.DataFrame:
-    """Links of one pair of tiles: rows (node, links found here, node) and spanning links (a, 0, b).
+class Rows:
+    """Rows of whole groups, sorted by group, as arrays."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.node = table.column("node").to_numpy()
+        self.mine = table.column("mine").to_numpy()
+        self.copies = table.column("copies").to_numpy()
+        self.table = table.column("table").to_numpy()
+        self.across = table.column("one").to_numpy() != table.column("two").to_numpy()
+        self.unit = unpacked(table.column("unit"), float)
+        self.codes = unpacked(table.column("codes"), np.int64)
+
+    def links(self, i: np.ndarray, j: np.ndarray, least_cosine: float) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the pairs that link, and meet here first: not within a tile twice, nor in an earlier table."""
+        keep = ~self.across[i] | (self.mine[i] != self.mine[j])
+        i, j = i[keep], j[keep]
+        found = np.zeros(len(i), bool)
+        for at in range(0, len(i), PAIRS):
+            part = slice(at, at + PAIRS)
+            found[part] = np.einsum("ij,ij->i", self.unit[i[part]], self.unit[j[part]]) >= least_cosine
+        i, j = i[found], j[found]
+        first = np.zeros(len(i), bool)
+        for at in range(0, len(i), PAIRS):
+            part = slice(at, at + PAIRS)
+            same = self.codes[i[part]] == self.codes[j[part]]
+            first[part] = same.argmax(axis=1) == self.table[i[part]]
+        return i[first], j[first]
+
+
+def unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.stack([np.frombuffer(value, kind) for value in column.to_pylist()])
+
+
+def pairs_of(starts: np.ndarray, stops: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of places within groups of consecutive rows, a bounded number at a time."""
+    sizes = stops - starts
+    small = sizes <= SMALL_GROUP
+    group = np.repeat(np.arange(small.sum()), sizes[small])
+    place = np.concatenate([np.arange(a, b) for a, b in zip(starts[small], stops[small], strict=True)] or [np.zeros(0, int)])
+    for apart in range(1, SMALL_GROUP):
+        together = np.flatnonzero(group[apart:] == group[:-apart])
+        if not len(together):
+            break
+        yield place[together], place[together + apart]
+    for start, stop in zip(starts[~small], stops[~small], strict=True):
+        for first in range(start, stop, 64):
+            rows = np.arange(first, min(first + 64, stop))
+            i = np.repeat(rows, stop - 1 - rows)
+            yield i, np.concatenate([np.arange(row + 1, stop) for row in rows])
+
+
+def linked_rows(table: pa.Table, least_cosine: float) -> pa.RecordBatch:
+    """Links of whole groups: rows (node, links found here, node) and spanning links (a, 0, b).
 
     A link to a node counts once for each of its copies.
     """
-    group = group.sort_values("node")
-    table, tiles = int(group["table"].iloc[0]), (int(group["one"].iloc[0]), int(group["two"].iloc[0]))
-    node, mine = group["node"].to_numpy(), group["mine"].to_numpy()
-    unit = np.stack([np.frombuffer(u, float) for u in group["unit"]])
-    codes = np.stack([np.frombuffer(c, np.int64)[:table] for c in group["codes"]]) if table else None
-    copies = group["copies"].to_numpy()
-    counts, parent, links = np.zeros(len(node), np.int64), {}, []
-    for start in range(0, len(node), 256):
-        block = slice(start, start + 256)
-        near = unit[block] @ unit.T >= least_cosine
-        near &= np.arange(start, start + near.shape[0])[:, None] < np.arange(len(node))[None, :]
-        if tiles[0] != tiles[1]:
-            near &= mine[block][:, None] != mine[None, :]
-        i, j = np.nonzero(near)
-        if table and len(i):
-            first = np.ones(len(i), bool)
-            for at in range(0, len(i), 65_536):
-                part = slice(at, at + 65_536)
-                first[part] = ~(codes[i[part] + start] == codes[j[part]]).any(axis=1)
-            i, j = i[first], j[first]
-        np.add.at(counts, i + start, copies[j])
-        np.add.at(counts, j, copies[i + start])
-        links += spanning(node, i + start, j, parent)
-    found = counts > 0
-    a = np.array([x for x, _ in links], np.int64)
-    b = np.array([x for _, x in links], np.int64)
-    return pd.DataFrame(
-        {
-            "node": np.concatenate([node[found], a]),
-            "links": np.concatenate([counts[found], np.zeros(len(a), np.int64)]),
-            "other": np.concatenate([node[found], b]),
-        }
+    edges = np.flatnonzero(new_groups(table))
+    starts, stops = edges, np.append(edges[1:], table.num_rows)
+    sizes = table.column("size").to_numpy()[starts]
+    counts: dict[int, int] = {}
+    links: list[tuple[int, int]] = []
+    for size in np.unique(sizes):
+        chosen = (sizes == size) & (stops - starts > 1)
+        if not chosen.any():
+            continue
+        place = np.concatenate([np.arange(a, b) for a, b in zip(starts[chosen], stops[chosen], strict=True)])
+        rows = Rows(table.take(pa.array(place)))
+        ends = np.cumsum(stops[chosen] - starts[chosen])
+        out_i, out_j = [], []
+        for i, j in pairs_of(np.append(0, ends[:-1]), ends):
+            i, j = rows.links(i, j, least_cosine)
+            out_i.append(i)
+            out_j.append(j)
+        i, j = np.concatenate(out_i), np.concatenate(out_j)
+        total = np.zeros(len(rows.node), np.int64)
+        np.add.at(total, i, rows.copies[j])
+        np.add.at(total, j, rows.copies[i])
+        for node, n in zip(rows.node[total > 0].tolist(), total[total > 0].tolist(), strict=True):
+            counts[node] = counts.get(node, 0) + n
+        links += spanning(rows.node, i, j, {})
+    nodes = [*counts, *(a for a, _ in links)]
+    found = [*counts.values(), *[0] * len(links)]
+    others = [*counts, *(b for _, b in links)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, pa.int64()) for column in (nodes, found, others)], ["node", "links", "other"]
     )
 
 
+def new_groups(table: pa.Table) -> np.ndarray:
+    """Whether a row differs from the one before in what makes a group."""
+    begins = np.zeros(table.num_rows, bool)
+    begins[:1] = True
+    for name in GROUP:
+        column = table.column(name).combine_chunks()
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+            column = column.dictionary_encode().indices
+        values = column.to_numpy(zero_copy_only=False)
+        begins[1:] |= values[1:] != values[:-1]
+    return begins
+
+
+def linked_in_order(least_cosine: float):
+    """A function over rows sorted by group, which keeps back the last group until it is whole."""
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            if held.num_rows < ROWS_AT_ONCE:
+                continue
+            last = int(np.flatnonzero(new_groups(held))[-1])
+            if last:
+                yield linked_rows(held.slice(0, last), least_cosine)
+                held = held.slice(last)
+        if held is not None and held.num_rows:
+            yield linked_rows(held, least_cosine)
+
+    return linked
+
+
 def embedding_groups(
     vectors: DataFrame,
     id_column: str = "vec_id",
@@ -221,9 +313,8 @@ def embedding_groups(
     largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     bits, tables = tables_for(largest, least_cosine)
     rows = stored(bucketed(classes, bits, tables), "buckets")
-    found = tiled(rows, tile).groupBy("label", "size", "table", "code", "one", "two").applyInPandas(
-        lambda group: linked_in_group(group, least_cosine), "node bigint, links bigint, other bigint"
-    )
+    dealt = tiled(rows, tile).repartition(*GROUP).sortWithinPartitions(*GROUP, "node")
+    found = dealt.mapInArrow(linked_in_order(least_cosine), "node bigint, links bigint, other bigint")
     found = stored(found, "vector-links")
     return labelled(marked, classes, found, id_column)
 
