@@ -17,6 +17,7 @@ up to it are final and leave memory.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Words and pairs of pieces remembered per worker; beyond it the memory is started anew.
-REMEMBERED_WORDS = 200_000
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED_WORDS = 150_000
+REMEMBERED_PAIRS = 400_000
 #: Longer words are streamed, not remembered.
 LONG_WORD = 64
 
@@ -46,8 +47,8 @@ class PieceModel:
         self.longest = max(map(len, pieces), default=1)
         #: No piece holds a space after another character, so every path has a boundary before a word.
         self.words_apart = not any(SPACE in piece.lstrip(SPACE) for piece in pieces)
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.words: dict[str, array] = {}
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by merging, best score first, then leftmost."""
@@ -64,7 +65,7 @@ class PieceModel:
 
     def may_follow(self, before: int, piece: int) -> bool:
         """Whether merging leaves these neighbours as they are; ``before`` is -1 at the start or after an unknown."""
-        key = (before, piece)
+        key = (before + 1) << 32 | piece
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= REMEMBERED_PAIRS:
@@ -125,10 +126,10 @@ class PieceModel:
             stop -= lengths[stop]
         return out[::-1]
 
-    def word(self, word: str) -> tuple[int, ...]:
+    def word(self, word: str) -> array:
         found = self.words.get(word)
         if found is None:
-            found = tuple(self.stream(word))
+            found = array("i", self.stream(word))
             if len(word) <= LONG_WORD:
                 if len(self.words) >= REMEMBERED_WORDS:
                     self.words.clear()
@@ -137,21 +138,25 @@ class PieceModel:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text; an empty text has none."""
+        return self.encoded(text).tolist()
+
+    def encoded(self, text: str) -> array:
+        """The same as numbers of 32 bits side by side."""
+        out = array("i")
         if not text:
-            return []
+            return out
         marked = SPACE + text.replace(" ", SPACE)
         if not self.words_apart:
-            return list(self.stream(marked))
-        out: list[int] = []
+            return array("i", self.stream(marked))
         spaces = ""
         # A word takes all spaces in front of it, as pieces may hold several.
         for part in marked.split(SPACE)[1:]:
             spaces += SPACE
             if part:
-                out += self.word(spaces + part)
+                out.extend(self.word(spaces + part))
                 spaces = ""
         if spaces:
-            out += self.word(spaces)
+            out.extend(self.word(spaces))
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -186,10 +191,11 @@ def encode_texts(docs: DataFrame, model_path: str, id_column: str = "doc_id", te
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = piece_model(model_path)
         for texts in batches:
-            lists = [np.array(model.encode(text or ""), np.int32) for text in texts.to_pylist()]
-            stops = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-            values = np.concatenate(lists) if lists else np.zeros(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(values, pa.int32()))
+            ids, stops = array("i"), [0]
+            for text in texts:
+                ids.extend(model.encoded(text.as_py() or ""))
+                stops.append(len(ids))
+            yield pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
 
     return docs.select(F.col(f"`{id_column}`").alias(id_column), encoded(F.col(f"`{text_column}`")).alias("ids"))
 
@@ -205,9 +211,11 @@ def decode_ids(encoded: DataFrame, model_path: str, ids_column: str = "ids") ->
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = piece_model(model_path)
         for lists in batches:
-            ids = lists.to_pylist()
-            texts = [None if x is None else model.decode(x) for x in ids]
-            sums = [None if x is None else zlib.crc32(np.array(x, "<u4").tobytes()) for x in ids]
+            texts, sums = [], []
+            for one in lists:  # one list at a time, as numbers take ten times the room in Python
+                ids = None if not one.is_valid else one.values.to_numpy(zero_copy_only=False)
+                texts.append(None if ids is None else model.decode(ids.tolist()))
+                sums.append(None if ids is None else zlib.crc32(ids.astype("<u4").tobytes()))
             yield pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(sums, pa.int64())], ["decoded", "ids_crc32"])
 
     return encoded.withColumn("back", decoded(F.col(f"`{ids_column}`"))).select("*", "back.*").drop("back")
