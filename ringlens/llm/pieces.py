@@ -16,10 +16,12 @@ up to it are final and leave memory.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-#: Words and pairs of pieces remembered per worker; beyond it the memory is started anew.
-REMEMBERED_WORDS = 150_000
+#: Words and pairs of pieces remembered per worker; further words are encoded anew each time, pairs start over.
+REMEMBERED_WORDS = 800_000
 REMEMBERED_PAIRS = 400_000
 #: Longer words are streamed, not remembered.
 LONG_WORD = 64
+ONE = (1,)
+PUNCTUATION = re.compile(r"([.,;:!?\n]+)")
 
 
 class PieceModel:
@@ -45,6 +49,13 @@ class PieceModel:
         self.bytes_of = {number: piece.replace(SPACE, " ").encode() for piece, number in pieces.items()}
         self.bytes_of |= {number: bytes([byte]) for byte, number in enumerate(byte_ids)}
         self.longest = max(map(len, pieces), default=1)
+        ends: dict[str, set[int]] = {}
+        for piece in pieces:
+            ends.setdefault(piece[-2:], {1}).add(len(piece))
+        #: Lengths, longest first, of the pieces that end with two characters.
+        self.lengths_by_end = {end: tuple(sorted(lengths, reverse=True)) for end, lengths in ends.items()}
+        #: Two characters that no piece holds side by side always have a boundary between them.
+        self.side_by_side = {piece[i : i + 2] for piece in pieces for i in range(len(piece) - 1)}
         #: No piece holds a space after another character, so every path has a boundary before a word.
         self.words_apart = not any(SPACE in piece.lstrip(SPACE) for piece in pieces)
         self.pairs: dict[int, bool] = {}
@@ -92,13 +103,21 @@ class PieceModel:
         yield from self.emit(text, base, len(last) - 1, last, lengths)
 
     def step(self, text: str, base: int, stop: int, last: list[int], lengths: list[int]) -> bool:
-        for length in range(min(self.longest, stop - base), 0, -1):
-            piece = self.ids.get(text[stop - length : stop])
-            if piece is not None and self.may_follow(last[-length], piece):
-                last.append(piece)
-                lengths.append(length)
-                return True
-        if text[stop - 1] in self.ids:
+        room, ids, pairs = stop - base, self.ids, self.pairs
+        end = text[stop - 2 : stop] if room > 1 else text[stop - 1 : stop]
+        for length in self.lengths_by_end.get(end, ONE):
+            if length <= room:
+                piece = ids.get(text[stop - length : stop])
+                if piece is not None:
+                    before = last[-length]
+                    known = pairs.get((before + 1) << 32 | piece)
+                    if known is None:
+                        known = self.may_follow(before, piece)
+                    if known:
+                        last.append(piece)
+                        lengths.append(length)
+                        return True
+        if text[stop - 1] in ids:
             return False
         last.append(-1)
         lengths.append(1)
@@ -126,38 +145,63 @@ class PieceModel:
             stop -= lengths[stop]
         return out[::-1]
 
-    def word(self, word: str) -> array:
+    def word(self, word: str) -> bytes:
+        """Ids of a word; the words inside it are remembered, not their combinations with punctuation."""
         found = self.words.get(word)
+        if found is not None:
+            return found
+        parts = PUNCTUATION.split(word)
+        if len(parts) == 1:
+            return self.part(word)
+        out, start = [], 0
+        for stop in accumulate(map(len, parts)):
+            if start < stop < len(word) and word[stop - 1 : stop + 1] in self.side_by_side:
+                continue
+            if start < stop:
+                out.append(self.part(word[start:stop]))
+                start = stop
+        return b"".join(out)
+
+    def part(self, part: str) -> bytes:
+        found = self.words.get(part)
         if found is None:
-            found = array("i", self.stream(word))
-            if len(word) <= LONG_WORD:
-                if len(self.words) >= REMEMBERED_WORDS:
-                    self.words.clear()
-                self.words[word] = found
+            found = array("i", self.short(part) if len(part) <= LONG_WORD else self.stream(part)).tobytes()
+            if len(part) <= LONG_WORD and len(self.words) < REMEMBERED_WORDS:
+                self.words[part] = found
         return found
 
+    def short(self, text: str) -> list[int]:
+        """The same as ``stream`` for a text that is its own window."""
+        last, lengths = [-1], [0]
+        for stop in range(1, len(text) + 1):
+            if not self.step(text, 0, stop, last, lengths):
+                raise ValueError("no piece may end here")
+        return self.emit(text, 0, len(text), last, lengths)
+
     def encode(self, text: str) -> list[int]:
         """Ids of a text; an empty text has none."""
-        return self.encoded(text).tolist()
+        return np.frombuffer(self.encoded(text), np.int32).tolist()
 
-    def encoded(self, text: str) -> array:
+    def encoded(self, text: str) -> bytes:
         """The same as numbers of 32 bits side by side."""
-        out = array("i")
         if not text:
-            return out
+            return b""
         marked = SPACE + text.replace(" ", SPACE)
         if not self.words_apart:
-            return array("i", self.stream(marked))
+            return array("i", self.stream(marked)).tobytes()
+        words = self.words
+        out: list[bytes] = []
         spaces = ""
         # A word takes all spaces in front of it, as pieces may hold several.
         for part in marked.split(SPACE)[1:]:
             spaces += SPACE
             if part:
-                out.extend(self.word(spaces + part))
+                word = spaces + part
+                out.append(words.get(word) or self.word(word))
                 spaces = ""
         if spaces:
-            out.extend(self.word(spaces))
-        return out
+            out.append(self.word(spaces))
+        return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
@@ -179,43 +223,50 @@ def piece_model(path: str) -> PieceModel:
 
 
 def encode_texts(docs: DataFrame, model_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: its id and ``ids``.
+    """One row per document: its id, ``ids``, their ``ids_crc32``, and ``round_trip``.
 
     A null or empty text has no ids. Text is taken as it is, so white space of
     every kind survives; characters outside the vocabulary become byte pieces.
-    Repeated rows and null ids give rows like others; other columns are not
-    read.
+    ``ids_crc32`` is over the ids as little-endian 32-bit numbers;
+    ``round_trip`` says whether decoding gives the text back, its space marks
+    read as spaces. Repeated rows and null ids give rows like others; other
+    columns are not read.
     """
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("struct<ids: array<int>, ids_crc32: bigint, round_trip: boolean>")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = piece_model(model_path)
         for texts in batches:
-            ids, stops = array("i"), [0]
-            for text in texts:
-                ids.extend(model.encoded(text.as_py() or ""))
-                stops.append(len(ids))
-            yield pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
-
-    return docs.select(F.col(f"`{id_column}`").alias(id_column), encoded(F.col(f"`{text_column}`")).alias("ids"))
+            found, stops, sums, same = [], [0], [], []
+            for one in texts:  # one text at a time, as ids take ten times the room in Python
+                text = one.as_py() or ""
+                ids = model.encoded(text)
+                found.append(ids)
+                stops.append(stops[-1] + len(ids) // 4)
+                sums.append(zlib.crc32(ids))
+                same.append(model.decode(np.frombuffer(ids, np.int32).tolist()) == text.replace(SPACE, " "))
+            values = pa.array(np.frombuffer(b"".join(found), np.int32))
+            lists = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), values)
+            yield pa.StructArray.from_arrays(
+                [lists, pa.array(sums, pa.int64()), pa.array(same, pa.bool_())], ["ids", "ids_crc32", "round_trip"]
+            )
+
+    plain = docs.select(F.col(f"`{id_column}`").alias("id"), encoded(F.col(f"`{text_column}`")).alias("found"))
+    return plain.select(F.col("id").alias(id_column), "found.*")
 
 
 def decode_ids(encoded: DataFrame, model_path: str, ids_column: str = "ids") -> DataFrame:
-    """Adds ``decoded``, the text of the ids, and ``ids_crc32`` over them as little-endian 32-bit numbers.
+    """Adds ``decoded``, the text of the ids.
 
     A null list decodes to null; control pieces and ids outside the vocabulary
     decode to nothing.
     """
 
-    @F.arrow_udf("struct<decoded: string, ids_crc32: bigint>")
+    @F.arrow_udf("string")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = piece_model(model_path)
         for lists in batches:
-            texts, sums = [], []
-            for one in lists:  # one list at a time, as numbers take ten times the room in Python
-                ids = None if not one.is_valid else one.values.to_numpy(zero_copy_only=False)
-                texts.append(None if ids is None else model.decode(ids.tolist()))
-                sums.append(None if ids is None else zlib.crc32(ids.astype("<u4").tobytes()))
-            yield pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(sums, pa.int64())], ["decoded", "ids_crc32"])
-
-    return encoded.withColumn("back", decoded(F.col(f"`{ids_column}`"))).select("*", "back.*").drop("back")
+            texts = [model.decode(one.values.to_pylist()) if one.is_valid else None for one in lists]
+            yield pa.array(texts, pa.string())
+
+    return encoded.withColumn("decoded", decoded(F.col(f"`{ids_column}`")))
