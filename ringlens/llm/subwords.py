@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from collections.abc import Callable
 from functools import lru_cache
@@ -50,15 +51,59 @@ def is_even(text: str) -> bool:
     return not any(pair in text for pair in ("  ", "\n\n", " \n", "\n ")) and not any(c in text for c in RARE_SPACES)
 
 
+#: The white space of the pattern, which is not quite Python's.
+WHITE = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+#: Runs of this length are cut out before the pattern, whose look-ahead overflows on about a million characters.
+LONG_RUN = re.compile(WHITE + "{4096,}")
+
+
+def added_tokens(path: str) -> dict[str, int]:
+    """Contents and ids of the tokens that are cut out of a text before all else."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens", [])
+    for token in added:
+        if token.get("single_word") or token.get("lstrip") or token.get("rstrip"):
+            raise ValueError(f"added token {token['content']!r} takes its surroundings into account")
+    return {token["content"]: token["id"] for token in added}
+
+
+def ordinary_ids(text: str, full: tiktoken.Encoding, even: tiktoken.Encoding) -> list[int]:
+    """Ids of a text without added tokens.
+
+    A run of white space is one piece, but for its last character if more text
+    follows; long runs are encoded so by hand.
+    """
+    if is_even(text):
+        return even.encode_ordinary(text)
+    ids: list[int] = []
+    done = 0
+    for run in LONG_RUN.finditer(text):
+        stop = run.end() - (run.end() < len(text))
+        ids += full.encode_ordinary(text[done : run.start()])
+        ids += full._encode_single_piece(text[run.start() : stop])
+        done = stop
+    return ids + full.encode_ordinary(text[done:])
+
+
 @lru_cache(maxsize=2)
 def token_bytes(path: str) -> Callable[[str], bytes]:
     """A function from a text to its ids, as unsigned little-endian 32-bit numbers.
 
-    Special tokens' strings in a text are ordinary text.
+    An added token's string in a text is that token, as with ``tokenizers``.
     """
     full, even = byte_pairs(path)
+    added = added_tokens(path)
+    # Of tokens that begin at one place the longest counts.
+    cut = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
 
     def encode(text: str) -> bytes:
-        return array("I", (even if is_even(text) else full).encode_ordinary(text)).tobytes()
+        ids = array("I")
+        done = 0
+        for found in cut.finditer(text) if cut else ():
+            ids.extend(ordinary_ids(text[done : found.start()], full, even))
+            ids.append(added[found.group()])
+            done = found.end()
+        ids.extend(ordinary_ids(text[done:] if done else text, full, even))
+        return ids.tobytes()
 
     return encode
