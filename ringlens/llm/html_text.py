@@ -50,8 +50,15 @@ TABLE_PARTS = CELLS | SECTIONS | {"table", "tr", "caption"}
 FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u span mark sub sup label".split())
 
 SPACES = re.compile(r"[ \t\n\r\f]+")
-HIDING_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-HIDING = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+COMMENT = re.compile(r"(?s)/\*.*?(?:\*/|$)")
+#: Braces and semicolons outside of strings.
+MARKS = re.compile(r"""(?s)"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[{};]""")
+DISPLAY = re.compile(r"(?:^|[;{\s])display\s*:\s*([\w-]+)[^;!]*(!\s*important)?", re.IGNORECASE)
+#: What media queries are asked about, in pixels.
+SCREEN = {"width": 1280, "height": 800, "device-width": 1280, "device-height": 800}
+MEDIA_TYPE = re.compile(r"\s*(?:(not|only)\s+)?([a-z]+)?")
+MEDIA_FEATURE = re.compile(r"\(([^()]*)\)")
+MEDIA_SIZE = re.compile(r"\s*(min|max)-(width|height|device-width|device-height)\s*:\s*([0-9.]+)(px|em|rem)?\s*")
 VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.IGNORECASE)
 SIMPLE_SELECTOR = re.compile(r"[a-z0-9]*(?:[.#][\w-]+)?", re.IGNORECASE)
 #: Cells up to this width are padded to their column; longer ones are whole but not padded to, lest one cell widen all rows.
@@ -222,29 +229,110 @@ class Table:
         return out
 
 
-def hiding_selectors(styles: list[str]) -> set[str]:
-    """Selectors of one element name, class or id that a style sheet does not display."""
-    found = set()
+def applies(prelude: str) -> bool | None:
+    """Whether a nested at-rule holds on a wide screen; None if it holds no rules of elements."""
+    name, _, condition = prelude[1:].partition(" ") if " " in prelude else (prelude[1:].partition("(")[0], "", prelude[1:].partition("(")[2])
+    name = name.lower()
+    if name == "media":
+        return any(media_matches(query) for query in condition.lower().split(","))
+    # What a browser supports or a container measures is not known; rules there count as those for most readers do.
+    return True if name in ("supports", "layer") else None
+
+
+def media_matches(query: str) -> bool:
+    """One media query on a screen of ``SCREEN`` pixels; an unknown feature does not match."""
+    said = MEDIA_TYPE.match(query)
+    negated, kind = said.group(1) == "not", said.group(2) or "all"
+    holds = kind in ("all", "screen") and all(feature_matches(f) for f in MEDIA_FEATURE.findall(query))
+    return holds != negated
+
+
+def feature_matches(feature: str) -> bool:
+    said = MEDIA_SIZE.fullmatch(feature)
+    if not said:
+        return feature.replace(" ", "") in ("orientation:landscape", "hover:hover", "pointer:fine", "color", "hover", "scripting:none")
+    bound, axis, number, unit = said.groups()
+    size, limit = SCREEN[axis], float(number) * (16 if unit in ("em", "rem") else 1)
+    return size <= limit if bound == "max" else size >= limit
+
+
+def shown_rules(style: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) of the rules that hold on a wide screen, in their order."""
+    style = COMMENT.sub(" ", style).replace("<!--", " ").replace("-->", " ")
+    # Per open block whether its rules hold; a rule inside a rule is passed over.
+    open_blocks: list[bool] = []
+    prelude, start, body = "", 0, None
+    for mark in MARKS.finditer(style):
+        sign, before = mark.group(), style[start : mark.start()].strip()
+        if sign == "{":
+            if body is not None:
+                open_blocks.append(False)
+            elif before.startswith("@"):
+                open_blocks.append(bool(applies(before)) and all(open_blocks))
+            else:
+                body, prelude = len(open_blocks), before
+            start = mark.end()
+        elif sign == "}":
+            if body is not None and body == len(open_blocks):
+                if all(open_blocks):
+                    yield prelude, before
+                body = None
+            elif open_blocks:
+                open_blocks.pop()
+            start = mark.end()
+        elif sign == ";" and body is None:
+            start = mark.end()
+    if body is not None and body == len(open_blocks) and all(open_blocks):
+        yield prelude, style[start:].strip()
+
+
+def hiding_selectors(styles: list[str]) -> dict[str, tuple[bool, bool, int]]:
+    """Per selector of one element name, class or id its last display: (important, hidden, place in the sheets).
+
+    Print and narrow-screen blocks do not count. Of the displays of one
+    selector the last important one wins, or else the last one.
+    """
+    found: dict[str, tuple[bool, bool, int]] = {}
+    place = 0
     for style in styles:
-        for selectors, body in HIDING_RULE.findall(style):
-            if HIDING.search(body):
-                found.update(s.strip() for s in selectors.split(",") if SIMPLE_SELECTOR.fullmatch(s.strip()))
-    return found - {""}
-
-
-def is_removed(element: Element, hidden: set[str]) -> bool:
+        for selectors, body in shown_rules(style):
+            displays = DISPLAY.findall(body)
+            if not displays:
+                continue
+            important = [d for d in displays if d[1]]
+            value, urgent = (important or displays)[-1]
+            for selector in (s.strip() for s in selectors.split(",")):
+                if not selector or not SIMPLE_SELECTOR.fullmatch(selector):
+                    continue
+                place += 1
+                if urgent or not found.get(selector, (False,))[0]:
+                    found[selector] = (bool(urgent), value.lower() == "none", place)
+    return found if any(hidden for _, hidden, _ in found.values()) else {}
+
+
+def is_hidden(tag: str, attributes: dict[str, str], rules: dict[str, tuple[bool, bool, int]]) -> bool:
+    """By the winner among the matching rules: the important, then the more specific, then the later one."""
+    best, hidden = None, False
+    named = [(f".{name}", 10) for name in attributes.get("class", "").split()]
+    if attributes.get("id"):
+        named.append((f"#{attributes['id']}", 100))
+    for selector, weight in [(tag, 1), *named, *((tag + name, weight + 1) for name, weight in named)]:
+        if selector in rules:
+            important, none, place = rules[selector]
+            if best is None or (important, weight, place) > best:
+                best, hidden = (important, weight, place), none
+    inline = DISPLAY.findall(attributes.get("style", ""))
+    if inline and (best is None or not best[0] or any(urgent for _, urgent in inline)):
+        hidden = ([d for d in inline if d[1]] or inline)[-1][0].lower() == "none"
+    return hidden
+
+
+def is_removed(element: Element, hidden: dict[str, tuple[bool, bool, int]]) -> bool:
     """Neither the element nor anything inside it is displayed."""
     tag, attributes = element.tag, element.attributes
     if tag in NEVER_SHOWN or "hidden" in attributes or (tag == "dialog" and "open" not in attributes):
         return True
-    if tag == "input" or HIDING.search(attributes.get("style", "")):
-        return True
-    if hidden:
-        names = [f".{c}" for c in attributes.get("class", "").split()]
-        if attributes.get("id"):
-            names.append(f"#{attributes['id']}")
-        return tag in hidden or any(name in hidden or tag + name in hidden for name in names)
-    return False
+    return tag == "input" or is_hidden(tag, attributes, hidden)
 
 
 def span_of(element: Element) -> int:
@@ -255,7 +343,7 @@ def span_of(element: Element) -> int:
 class Renderer:
     """Lays out a tree; contexts of nested tables and cells are stacked."""
 
-    def __init__(self, hidden: set[str]) -> None:
+    def __init__(self, hidden: dict[str, tuple[bool, bool, int]]) -> None:
         self.hidden = hidden
         self.flows = [Flow()]
         self.tables: list[Table] = []
