@@ -5,8 +5,9 @@ random strings, learned from what the base patterns mark as secret, and one of
 ordinary identifiers and words, learned from all other tokens. A long token
 that may turn out to be a secret counts once per batch of documents, so that
 copies of it do not vouch for each other. Both learn from every document: tasks count pairs of characters, Spark adds the counts,
-and only the two tables of fixed size reach the driver. A token is reported if
-its log-likelihood ratio exceeds the odds against a secret.
+and only the two tables of fixed size reach the driver. Of a token those parts
+are reported whose log-likelihood ratio exceeds the odds against a secret, so
+that a key or a path glued to a secret does not outweigh it.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ ASSIGN = re.compile(
 ASSIGN_HINT = re.compile(r"[:=]")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Long tokens of fewer different characters are rules and fillers.
 LEAST_DISTINCT = 8
 LEAST_VALUE = 6
@@ -137,30 +138,83 @@ def learn(docs: DataFrame, text_column: str) -> np.ndarray:
     return trained(random) - trained(plain)
 
 
-def random_tokens(text: str, ratios: np.ndarray, least_ratio: float) -> list[tuple[int, int]]:
-    """Spans of the tokens whose characters are likelier in a random string than in an identifier."""
+def scoring_parts(first: list[float], later: list[float], least: float) -> Iterator[tuple[int, int]]:
+    """Parts of a token with the highest sums, from ``least`` on; ``first`` scores a character as the part's first.
+
+    A part ends at its peak, once the sum has fallen below the start or by
+    ``least``; the search goes on behind the peak.
+    """
+    i, n = 0, len(first)
+    while i < n:
+        begin, total, peak, top = i, 0.0, 0.0, i
+        while i < n:
+            grown = total + later[i]
+            if i == begin or (grown <= first[i] and peak < least):
+                begin, total, peak, top = i, first[i], first[i], i + 1
+            else:
+                total = grown
+                if total > peak:
+                    peak, top = total, i + 1
+            i += 1
+            if peak >= least and total <= max(peak - least, 0.0):
+                break
+        if peak >= least:
+            yield begin, top
+        i = max(top, begin + 1) if peak >= least else n
+
+
+def random_tokens(
+    text: str, ratios: np.ndarray, least_ratio: float, covered: tuple[tuple[int, int], ...] = ()
+) -> list[tuple[int, int]]:
+    """Spans of the parts of tokens whose characters are likelier in a random string than in an identifier.
+
+    A part is widened to the letters and digits around it and to the padding at
+    the token's end. What is ``covered`` already is left out of the tokens.
+    """
     flat = ratios.ravel()
     found = []
     for match in candidates(text):
-        symbols = SYMBOLS[np.frombuffer(match.group().encode(), np.uint8)]
-        before = np.concatenate([[0], symbols[:-1]])
-        if flat[before * SIZE + symbols].sum() >= least_ratio:
-            found.append(match.span())
+        for low, high in uncovered(match.start(), match.end(), covered):
+            symbols = SYMBOLS[np.frombuffer(text[low:high].encode(), np.uint8)]
+            first, later = flat[symbols], flat[np.concatenate([[0], symbols[:-1]]) * SIZE + symbols]
+            if np.maximum(np.maximum(first, later), 0).sum() < least_ratio:
+                continue
+            done = low
+            for begin, stop in scoring_parts(first.tolist(), later.tolist(), least_ratio):
+                begin, stop = begin + low, stop + low
+                while begin > done and text[begin - 1].isalnum():
+                    begin -= 1
+                while stop < high and text[stop].isalnum():
+                    stop += 1
+                if not text[stop:high].strip("="):
+                    stop = high
+                begin = max(begin, done)
+                if begin < stop and len(set(text[begin:stop])) >= LEAST_DISTINCT:
+                    found.append((begin, stop))
+                    done = stop
     return found
 
 
+def uncovered(start: int, stop: int, covered: tuple[tuple[int, int], ...]) -> Iterator[tuple[int, int]]:
+    """The parts of a span outside the covered ones, which are sorted by their start."""
+    for low, high in covered:
+        if high > start and low < stop:
+            if low > start:
+                yield start, low
+            start = max(start, high)
+    if start < stop:
+        yield start, stop
+
+
 def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{stop}" for start, stop, kind in spans)
 
 
 def all_spans(text: str, ratios: np.ndarray, least_ratio: float) -> tuple[list, list]:
-    """Base spans, and base and added spans together; what a base span covers already is not added."""
+    """Base spans, and base and added spans together; of a token the part outside the base spans is added."""
     base = base_spans(text)
-    added = [
-        (start, stop, ADDED_KIND)
-        for start, stop in random_tokens(text, ratios, least_ratio)
-        if not any(s < stop and start < e for s, e, _ in base)
-    ]
+    covered = tuple((start, stop) for start, stop, _ in base)
+    added = [(start, stop, ADDED_KIND) for start, stop in random_tokens(text, ratios, least_ratio, covered)]
     rank = {kind: i for i, kind in enumerate((*KINDS, ADDED_KIND))}
     return base, sorted(base + added, key=lambda f: (f[0], rank[f[2]]))
 
