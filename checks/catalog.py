@@ -53,6 +53,7 @@ CONFIG = FeatureConfig()
 # What the tuning queries search: few rounds of shallow trees, drawn as from any other space.
 QUICK_SPACE = SearchSpace(rounds=(10, 30), rounds_step=5, depth=(3, 5), bins=(32, 128), bins_step=32)
 FIRST_MODEL = TreeParams(rounds=40, depth=4, learning_rate=0.1)
+ROWS_PER_ARRAY = 100_000
 CANONICAL = "phone, phone_member, report, type, time, in_contact, duration, Spam"
 
 
@@ -159,14 +160,17 @@ def json_lines_in_json(spark, sf):
 
 @query("json_array", A.REPORTS)
 def json_array(spark, sf):
-    """A folder that holds an array over many lines beside line-delimited files."""
+    """A folder that holds arrays over many lines, of about ``ROWS_PER_ARRAY`` rows each, beside line-delimited files."""
     df = reports(spark, sf)
     path = fresh_path(spark, "reports") + ".json"
     even = F.pmod(F.hash("phone"), F.lit(2)) == 0
     as_json = F.to_json(F.struct(*df.columns))
     tables.save_table(df.where(~even), path)
-    array = F.concat(F.lit("[\n"), F.array_join(F.sort_array(F.collect_list(as_json)), ",\n"), F.lit("\n]"))
-    df.where(even).groupBy().agg(array.alias("value")).write.mode("append").option("fileExtension", "json").text(path)
+    buckets = max(1, -(-df.where(even).count() // ROWS_PER_ARRAY))
+    bucket = F.pmod(F.xxhash64("json", F.monotonically_increasing_id()), F.lit(buckets)).alias("bucket")
+    array = F.concat(F.lit("[\n"), F.array_join(F.sort_array(F.collect_list("json")), ",\n"), F.lit("\n]"))
+    arrays = df.where(even).select(as_json.alias("json")).select("json", bucket).groupBy("bucket").agg(array.alias("value"))
+    arrays.select("value").write.mode("append").option("fileExtension", "json").option("maxRecordsPerFile", 1).text(path)
     return tables.load_table(spark, path, schema=df.schema)
 
 
