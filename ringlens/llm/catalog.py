@@ -9,7 +9,21 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringlens.llm import embeddings, exact_search, html_text, language, packing, pieces, pii, secret_scan, simhash, toxicity
+from ringlens.llm import (
+    chunk_prints,
+    collocations,
+    embeddings,
+    exact_search,
+    html_text,
+    language,
+    packing,
+    pieces,
+    pii,
+    secret_scan,
+    simhash,
+    spelling,
+    toxicity,
+)
 from ringlens.session import share_code
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +153,63 @@ def op10_html_text(spark, sf):
     return html_text.extract_text(table(spark, sf, "pages"))
 
 
+@query("op11_document_fingerprints")
+def op11_document_fingerprints(spark, sf):
+    return chunk_prints.document_fingerprints(table(spark, sf, "documents"))
+
+
+COLLOCATIONS = """
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents WHERE text IS NOT NULL
+), p AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w
+), spans AS (
+  SELECT lang, w, i, unnest(range(1, 6)) AS k FROM starts
+), f AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k, count(*) AS f
+  FROM spans WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100
+), c AS (
+  SELECT lang, phrase, k, f, string_split(phrase, ' ') AS w FROM f WHERE k >= 2
+), inner_phrases AS (
+  SELECT lang, phrase AS longer, f, i, j, array_to_string(w[i:j], ' ') AS phrase
+  FROM c, (SELECT a.i, b.j FROM range(1, 6) a(i), range(1, 6) b(j) WHERE a.i < b.j) s WHERE j <= k AND j - i + 1 < k
+), dropped AS (
+  SELECT DISTINCT c.lang, c.phrase FROM c JOIN inner_phrases o ON o.lang = c.lang AND o.phrase = c.phrase WHERE 100 * o.f >= 100 * c.f
+), kept AS (
+  SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM dropped d WHERE d.lang = c.lang AND d.phrase = c.phrase)
+), cuts AS (
+  SELECT lang, phrase, f AS a, k, w, unnest(range(1, k)) AS cut FROM kept
+), priced AS (
+  SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, t.n,
+    CAST(1000::HUGEINT * c.a * t.n // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:c.k], ' ') JOIN totals t ON t.lang = c.lang
+), least AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS pick FROM priced) x WHERE pick = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least
+) y WHERE rank <= 2000
+"""
+
+
+@query("op12_collocations", COLLOCATIONS)
+def op12_collocations(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark, sf):
+    return spelling.spelling_variants(table(spark, sf, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, sf):
     import corpus_pipeline
