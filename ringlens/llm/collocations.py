@@ -4,17 +4,19 @@ Phrases are counted in tries over word ids. The two upper levels are nodes,
 below them stand hash containers; a container that grows too large bursts into
 a node of smaller ones. A trie that holds too many entries gives away whole
 subtrees, the largest first, each as a sorted run of partial counts; the runs
-are merged by prefix, so that a prefix's phrases meet in one partition. Counting goes
-from words over pairs to longer phrases. As a phrase is no more frequent than
-its parts, each step extends only what a bit table of the step before lets
-pass: the table has a fixed size and knows every frequent word or pair, so
-what it lets pass by mistake costs rows and changes no count.
+are merged by prefix, so that a prefix's phrases meet in one partition. Counting
+goes from words over pairs to longer phrases. As a phrase is no more frequent
+than its parts, and none is more frequent than all that fall in its hash
+bucket, each pass counts only what the tables of the passes before let through.
+Tables have a bounded size and know every frequent word, pair or triple; what
+they let through by mistake costs rows and changes no count.
 """
 
 from __future__ import annotations
 
 import re
 import string
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -41,6 +43,13 @@ ENTRIES = 400_000
 WORDS_AT_ONCE = 1 << 19
 BLOCK = 1 << 22
 SEED = 42
+#: Buckets for the occurrences of pairs and triples: a power of two from the number of words, within bounds. A task needs two
+#: bytes for each; beyond MOST_BUCKETS * 64 words more phrases are counted that turn out not to be frequent.
+WORDS_PER_BUCKET = 64
+LEAST_BUCKETS = 1 << 16
+MOST_BUCKETS = 1 << 27
+BUCKET_BLOCK = 1 << 12
+FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, 4, np.uint64) * np.uint64(2) + np.uint64(1)
 
 #: Characters between pieces become full stops, which no word holds; tabs become blanks.
 TABLE = bytes.maketrans(
@@ -48,9 +57,12 @@ TABLE = bytes.maketrans(
 )
 STOP = b"."
 END = re.compile(rb"[\x20\x09-\x0D.,;:!?]")
-RUN = "lang string, prefix string, phrase string, words int, f bigint"
+RUN = "lang string, prefix string, phrase string, words int, f bigint, block bigint, counts binary"
 RUN_TYPE = pa.schema(
-    [("lang", pa.string()), ("prefix", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())]
+    [
+        ("lang", pa.string()), ("prefix", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64()),
+        ("block", pa.int64()), ("counts", pa.binary()),
+    ]
 )
 
 
@@ -73,7 +85,7 @@ def columns_of(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
 
 
 def run_of(rows: list[tuple]) -> pa.RecordBatch:
-    rows.sort(key=lambda row: (row[0], row[2] or ""))
+    rows.sort(key=lambda row: (row[0] or "", row[2] or ""))
     arrays = [pa.array(list(column), field.type) for column, field in zip(zip(*rows, strict=True), RUN_TYPE, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=RUN_TYPE)
 
@@ -86,8 +98,8 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, found in counts.items():
             found.pop(STOP, None)
             if found:
-                rows = [(lang, word, word, 1, n) for word, n in ((w.decode("utf-8", "replace"), n) for w, n in found.items())]
-                yield run_of([*rows, (lang, "", None, 0, found.total())])
+                rows = [(lang, word, word, 1, n, None, None) for word, n in ((w.decode("utf-8", "replace"), n) for w, n in found.items())]
+                yield run_of([*rows, (lang, "", None, 0, found.total(), None, None)])
         counts.clear()
 
     for batch in batches:
@@ -102,26 +114,86 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class BitTable:
-    """A set of hashes that forgets none of its members."""
+    """A set of 64-bit hashes, told by their leading bits; it forgets none of its members."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
+    def __init__(self, table: bytes):
+        self.table, self.places = table, np.frombuffer(table, np.uint8)
+        self.shift = 64 - (8 * len(table)).bit_length() + 1
 
-    def has(self, key: bytes) -> bool:
-        h = xxhash.xxh64_intdigest(key, SEED)
-        size = len(self.bits) * 64 - 1
-        return all(int(self.bits[place >> 6]) >> (place & 63) & 1 for place in (h & size, (h >> 32) & size))
+    def has(self, h: int) -> int:
+        place = h >> self.shift
+        return self.table[place >> 3] >> (place & 7) & 1
+
+    def among(self, hashes: np.ndarray) -> np.ndarray:
+        place = hashes >> np.uint64(self.shift)
+        return (self.places[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def word_hash(lang: str, word: bytes) -> int:
+    return xxhash.xxh64_intdigest(lang.encode() + b"\n" + word, SEED)
+
+
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return first * FACTORS[0] + second * FACTORS[1]
+
+
+def triple_hashes(pairs: np.ndarray, third: np.ndarray) -> np.ndarray:
+    return (pairs ^ (pairs >> np.uint64(29))) * FACTORS[2] + third * FACTORS[3]
 
 
 def bit_table(phrases: DataFrame, bits: int = FILTER_BITS) -> BitTable:
-    """The phrases of a table as a bit table; at most ``bits`` / 64 numbers reach the driver."""
-    hashed = phrases.select(F.expr("xxhash64(encode(concat(lang, '\\n', phrase), 'UTF-8'))").alias("h"))
-    place = hashed.select(F.expr(f"explode(array(h & {bits - 1}L, shiftrightunsigned(h, 32) & {bits - 1}L))").alias("place"))
+    """Words or pairs as a bit table; at most ``bits`` / 64 numbers reach the driver."""
+    shift = np.uint64(64 - bits.bit_length() + 1)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [
+                [word_hash(lang, word) for word in phrase.encode().split(b" ")]
+                for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)
+            ]
+            if hashes:
+                a = np.array(hashes, np.uint64)
+                h = a[:, 0] if a.shape[1] == 1 else pair_hashes(a[:, 0], a[:, 1])
+                yield pa.RecordBatch.from_arrays([pa.array((h >> shift).astype(np.int64))], names=["place"])
+
+    place = phrases.select("lang", "phrase").mapInArrow(placed, "place bigint")
     words = place.groupBy(F.expr("place div 64").alias("i")).agg(F.expr("bit_or(shiftleft(1L, int(place % 64)))").alias("w"))
-    table = np.zeros(bits // 64, np.int64)
+    table = np.zeros(bits // 64, "<i8")
     found = words.toArrow()
     table[found.column("i").to_numpy()] = found.column("w").to_numpy()
-    return BitTable(table.view(np.uint64))
+    return BitTable(table.tobytes())
+
+
+def bucket_table(counts: DataFrame, buckets: int, least_count: int) -> BitTable:
+    """The buckets whose counts of all tasks add up to ``least_count``; one bit of each reaches the driver."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, total = None, None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if block is not None:
+                bits = np.packbits(total >= least_count, bitorder="little").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([bits], pa.binary())], names=["block", "bits"])
+
+        for batch in batches:
+            for number, data in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                if number != block:
+                    yield from done()
+                    block, total = number, np.zeros(BUCKET_BLOCK, np.int64)
+                total += np.frombuffer(data, np.uint16)
+        yield from done()
+
+    rows = counts.repartition("block").sortWithinPartitions("block").mapInArrow(added, "block bigint, bits binary")
+    table = bytearray(buckets // 8)
+    size = BUCKET_BLOCK // 8
+    for row in rows.collect():
+        table[row.block * size : (row.block + 1) * size] = row.bits
+    return BitTable(bytes(table))
+
+
+def bucket_number(words: int) -> int:
+    """Buckets for so many words, a power of two within documented bounds; few enough occurrences fall in each to tell."""
+    return min(max(1 << (words // WORDS_PER_BUCKET).bit_length(), LEAST_BUCKETS), MOST_BUCKETS)
 
 
 class Node(dict):
@@ -190,74 +262,64 @@ class HatTrie:
         return sum(map(self._entries, below.values())) if type(below) is Node else len(below)
 
 
-def phrase_counter(shortest: int, longest: int, words: BitTable, pairs: BitTable | None):
-    """A task's function: sorted runs of the counts of phrases whose words, and pairs if given, the tables let pass."""
+class Scan:
+    """What one pass over the texts does, and what the passes before let through.
 
-    class Ids(dict):
-        """Word ids of one language; words that cannot be frequent have 0 and are forgotten when they are many."""
-
-        def __init__(self, lang: str, names: list[str], langs: list[str]):
-            self.lang, self.names, self.langs = lang, names, langs
-            self.mark = lang.encode() + b"\n"
-            self.keep()
-
-        def keep(self) -> None:
-            kept = {word: number for word, number in self.items() if number}
-            self.clear()
-            self.update(kept)
-            self[STOP] = 0
-            self.limit = len(self) + ENTRIES
+    Counts in a trie the phrases of ``shortest`` to ``longest`` words, and adds
+    up the pairs or triples (``width``) by the bucket of their hash.
+    """
 
-        def __missing__(self, word: bytes) -> int:
-            number = 0
-            if words.has(self.mark + word):
-                number = len(self.names)
-                self.names.append(word.decode("utf-8", "replace"))
-                self.langs.append(self.lang)
-            self[word] = number
-            return number
+    def __init__(self, words, pairs=None, triples=None, shortest=0, longest=1, width=0, buckets=0, least_count=LEAST_COUNT):
+        self.words, self.pairs, self.triples = words, pairs, triples
+        self.shortest, self.longest, self.width = shortest, longest, width
+        self.buckets, self.least_count = buckets, least_count
+        self.reach = max(longest, width, 3)
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, langs = [""], [""]
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, langs, hashes = [""], [""], array("Q", [0])
         ids: dict[str, Ids] = {}
-        trie = HatTrie()
-        passing: dict[int, bool] = {}
-
-        def passes(code: int) -> bool:
-            known = passing.get(code)
-            if known is None:
-                if len(passing) > ENTRIES:
-                    passing.clear()
-                first, second = code >> 32, code & 0xFFFFFFFF
-                known = passing[code] = pairs.has(f"{langs[first]}\n{names[first]} {names[second]}".encode())
-            return known
+        trie = HatTrie(ENTRIES, BURST)
+        counts = np.zeros(self.buckets, np.uint16)
+        shift = np.uint64(64 - self.buckets.bit_length() + 1)
+        gap = [0] * (self.reach - 1)
 
         def rows(subtree: list[tuple[bytes, int]]) -> list[tuple]:
             sums: Counter = Counter()
             for path, n in subtree:
-                for end in range(4 * shortest, len(path) + 1, 4):
+                for end in range(4 * self.shortest, len(path) + 1, 4):
                     sums[path[:end]] += n
             out = []
             for path, n in sums.items():
                 numbers = np.frombuffer(path, ">u4").tolist()
                 parts = [names[number] for number in numbers]
-                out.append((langs[numbers[0]], " ".join(parts[:2]), " ".join(parts), len(parts), n))
+                out.append((langs[numbers[0]], " ".join(parts[:2]), " ".join(parts), len(parts), n, None, None))
             return out
 
         def added(numbers: list[int]) -> Iterator[pa.RecordBatch]:
-            """Counts the phrases that start before the last ``longest`` - 1 of the words."""
+            """Counts what starts before the last ``reach`` - 1 of the words."""
             a = np.array(numbers, np.int64)
+            starts = len(a) - self.reach + 1
             link = (a[:-1] > 0) & (a[1:] > 0)
-            if pairs is not None and link.any():
-                codes = (a[:-1] << 32 | a[1:])[link]
-                different, which = np.unique(codes, return_inverse=True)
-                link[link] = np.array([passes(code) for code in different.tolist()])[which]
-            starts = len(a) - longest + 1
+            h = np.frombuffer(hashes, np.uint64)[a]
+            pair = pair_hashes(h[:-1], h[1:])
+            if self.pairs is not None:
+                link[link] = self.pairs.among(pair[link])
+            three = link[:-1] & link[1:]
+            triple = triple_hashes(pair[:-1], h[2:])
+            if self.triples is not None:
+                three[three] = self.triples.among(triple[three])
+            if self.width:
+                taken = pair[:starts][link[:starts]] if self.width == 2 else triple[:starts][three[:starts]]
+                place, times = np.unique((taken >> shift).astype(np.int64), return_counts=True)
+                # Beyond the least count nothing changes, so small numbers do.
+                counts[place] = np.minimum(counts[place] + times, self.least_count)
+            if not self.shortest:
+                return
             length, going = np.ones(starts, np.int64), np.ones(starts, bool)
-            for k in range(longest - 1):
-                going &= link[k : k + starts]
+            for k in range(self.longest - 1):
+                going &= link[k : k + starts] if k == 0 else three[k - 1 : k - 1 + starts]
                 length += going
-            at = np.flatnonzero(length >= shortest)
+            at = np.flatnonzero(length >= self.shortest)
             data = a.astype(">u4").tobytes()
             begin = 4 * at
             found = Counter(map(data.__getitem__, map(slice, begin.tolist(), (begin + 4 * length[at]).tolist())))
@@ -267,26 +329,52 @@ def phrase_counter(shortest: int, longest: int, words: BitTable, pairs: BitTable
                 for subtree in trie.subtrees(trie.most // 2):
                     yield run_of(rows(subtree))
 
-        gap = [0] * (longest - 1)
         numbers: list[int] = []
         for batch in batches:
             for lang, text in columns_of(batch):
                 table = ids.get(lang)
                 if table is None:
-                    table = ids[lang] = Ids(lang, names, langs)
+                    table = ids[lang] = Ids(self.words, lang, names, langs, hashes)
                 for block in tokens(text):
                     numbers += map(table.__getitem__, block)
                     if len(table) > table.limit:
                         table.keep()
                     if len(numbers) > WORDS_AT_ONCE:
                         yield from added(numbers)
-                        numbers = numbers[len(numbers) - longest + 1 :]
+                        numbers = numbers[len(numbers) - self.reach + 1 :]
                 numbers += gap
         yield from added([*numbers, *gap])
         for subtree in trie.subtrees(0):
             yield run_of(rows(subtree))
+        for block in range(self.buckets // BUCKET_BLOCK):
+            part = counts[block * BUCKET_BLOCK : (block + 1) * BUCKET_BLOCK]
+            if part.any():
+                yield run_of([(None, None, None, None, None, block, part.tobytes())])
+
+
+class Ids(dict):
+    """Word ids of one language; words that cannot be frequent have 0 and are forgotten when they are many."""
 
-    return counted
+    def __init__(self, words: BitTable, lang: str, names: list[str], langs: list[str], hashes: array):
+        self.words, self.lang, self.names, self.langs, self.hashes = words, lang, names, langs, hashes
+        self.keep()
+
+    def keep(self) -> None:
+        kept = {word: number for word, number in self.items() if number}
+        self.clear()
+        self.update(kept)
+        self[STOP] = 0
+        self.limit = len(self) + ENTRIES
+
+    def __missing__(self, word: bytes) -> int:
+        number, h = 0, word_hash(self.lang, word)
+        if self.words.has(h):
+            number = len(self.names)
+            self.names.append(word.decode("utf-8", "replace"))
+            self.langs.append(self.lang)
+            self.hashes.append(h)
+        self[word] = number
+        return number
 
 
 def merged(runs: DataFrame) -> DataFrame:
@@ -306,28 +394,33 @@ def frequent_phrases(
     """Exact counts of all phrases of at most ``longest`` words that occur ``least_count`` times in their language.
 
     Columns ``lang``, ``phrase`` (words joined by blanks), ``words``, ``f``; a
-    row with a null phrase has the number of all words. Reads the texts once
-    for words, once for pairs and once for longer phrases.
+    row with a null phrase has the number of all words. Reads the texts four
+    times: for words, for the buckets of pairs of frequent words, for the pairs
+    in buckets that can hold a frequent one and the buckets of triples of these,
+    and for longer phrases made of such triples. ``least_count`` is at most 65,535.
     """
     plain = docs.select(
         F.coalesce(F.col(f"`{lang_column}`").cast("string"), F.lit(NO_LANG)).alias("lang"), F.col(f"`{text_column}`").alias("text")
     ).where("text is not null")
     frequent = f"f >= {int(least_count)} or phrase is null"
-    singles = stored(merged(plain.mapInArrow(count_words, RUN)).where(frequent), "words")
-    words = bit_table(singles.where("phrase is not null"), filter_bits)
-    found = [singles]
-    if longest >= 2:
-        doubles = stored(merged(plain.mapInArrow(phrase_counter(2, 2, words, None), RUN)).where(frequent), "pairs")
-        found.append(doubles)
-    if longest >= 3:
-        pairs = bit_table(doubles, filter_bits)
-        found.append(
-            stored(merged(plain.mapInArrow(phrase_counter(3, longest, words, pairs), RUN)).where(frequent), "phrases")
-        )
-    whole = found[0]
-    for part in found[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    found = stored(merged(plain.mapInArrow(count_words, RUN)).where(frequent), "words")
+    if longest < 2:
+        return found
+    words = bit_table(found.where("phrase is not null"), filter_bits)
+    total = found.where("phrase is null").agg(F.sum("f").alias("n")).first()["n"] or 0
+    buckets = bucket_number(total)
+    table = {"buckets": buckets, "least_count": least_count}
+    scanned = plain.mapInArrow(Scan(words, width=2, **table), RUN).select("block", "counts")
+    near_pairs = bucket_table(scanned, buckets, least_count)
+    if longest == 2:
+        doubles = plain.mapInArrow(Scan(words, near_pairs, shortest=2, longest=2, least_count=least_count), RUN)
+        return found.unionByName(stored(merged(doubles).where(frequent), "pairs"))
+    scanned = stored(plain.mapInArrow(Scan(words, near_pairs, shortest=2, longest=2, width=3, **table), RUN), "pair_runs")
+    doubles = stored(merged(scanned.where("block is null")).where(frequent), "pairs")
+    triples = bucket_table(scanned.where("block is not null").select("block", "counts"), buckets, least_count)
+    pairs = bit_table(doubles, filter_bits)
+    longer = plain.mapInArrow(Scan(words, pairs, triples, 3, longest, least_count=least_count), RUN)
+    return found.unionByName(doubles).unionByName(stored(merged(longer).where(frequent), "phrases"))
 
 
 def collocations(
