@@ -158,22 +158,53 @@ def json_lines_in_json(spark, sf):
     return tables.load_table(spark, path, schema=df.schema)
 
 
+def write_arrays(df: DataFrame, path: str) -> None:
+    """Appends files with one array over many lines each, of about ``ROWS_PER_ARRAY`` rows."""
+    as_json = F.to_json(F.struct(*df.columns))
+    buckets = max(1, -(-df.count() // ROWS_PER_ARRAY))
+    bucket = F.pmod(F.xxhash64("json", F.monotonically_increasing_id()), F.lit(buckets)).alias("bucket")
+    array = F.concat(F.lit("[\n"), F.array_join(F.sort_array(F.collect_list("json")), ",\n"), F.lit("\n]"))
+    arrays = df.select(as_json.alias("json")).select("json", bucket).groupBy("bucket").agg(array.alias("value"))
+    arrays.select("value").write.mode("append").option("fileExtension", "json").option("maxRecordsPerFile", 1).text(path)
+
+
 @query("json_array", A.REPORTS)
 def json_array(spark, sf):
-    """A folder that holds arrays over many lines, of about ``ROWS_PER_ARRAY`` rows each, beside line-delimited files."""
+    """A folder that holds arrays over many lines beside line-delimited files."""
     df = reports(spark, sf)
     path = fresh_path(spark, "reports") + ".json"
     even = F.pmod(F.hash("phone"), F.lit(2)) == 0
-    as_json = F.to_json(F.struct(*df.columns))
     tables.save_table(df.where(~even), path)
-    buckets = max(1, -(-df.where(even).count() // ROWS_PER_ARRAY))
-    bucket = F.pmod(F.xxhash64("json", F.monotonically_increasing_id()), F.lit(buckets)).alias("bucket")
-    array = F.concat(F.lit("[\n"), F.array_join(F.sort_array(F.collect_list("json")), ",\n"), F.lit("\n]"))
-    arrays = df.where(even).select(as_json.alias("json")).select("json", bucket).groupBy("bucket").agg(array.alias("value"))
-    arrays.select("value").write.mode("append").option("fileExtension", "json").option("maxRecordsPerFile", 1).text(path)
+    write_arrays(df.where(even), path)
     return tables.load_table(spark, path, schema=df.schema)
 
 
+HALVES = f"SELECT *, CAST(right(phone, 1) AS INTEGER) % 2 AS half FROM ({A.REPORTS}) r"
+
+
+def written_by_half(spark: SparkSession, df: DataFrame) -> str:
+    """Reports partitioned by the last digit of the phone: lines below ``half=0``, arrays below ``half=1``."""
+    path = fresh_path(spark, "reports") + ".json"
+    odd = F.right("phone", F.lit(1)).cast("int") % 2 == 1
+    tables.save_table(df.where(~odd), f"{path}/half=0", "json")
+    write_arrays(df.where(odd), f"{path}/half=1")
+    return path
+
+
+@query("json_partitioned", HALVES)
+def json_partitioned(spark, sf):
+    """A partitioned folder of both kinds keeps its partition column."""
+    df = reports(spark, sf)
+    return tables.load_table(spark, written_by_half(spark, df), schema=df.schema)
+
+
+@query("json_split_arrays", HALVES)
+def json_split_arrays(spark, sf):
+    """The same with every array cut at its elements, as large ones are."""
+    df = reports(spark, sf)
+    return tables.load_table(spark, written_by_half(spark, df), schema=df.schema, split_arrays_from=0)
+
+
 @query(
     "provider_dim",
     f"""SELECT d.prefix, d.provider, count(DISTINCT c.phone) AS phones, count(c.phone) AS calls

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ringlens.sources.json_arrays import array_lines, first_characters
+
 FORMATS = {
     "parquet": "parquet", "pq": "parquet", "csv": "csv", "jsonl": "jsonl", "ndjson": "jsonl", "json": "json",
     "json_array": "json_array",
 }
 
-
-LOOKS_AT_ONCE = 16
+#: Arrays of more bytes are cut at their elements and read by several tasks; smaller ones are parsed by one.
+SPLIT_ARRAYS_FROM = 128 << 20
 
 
 def infer_format(path: str) -> str:
@@ -25,7 +27,8 @@ def infer_format(path: str) -> str:
 
 
 def load_table(
-    spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None
+    spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None,
+    split_arrays_from: int = SPLIT_ARRAYS_FROM,
 ) -> DataFrame:
     """A table in any supported format.
 
@@ -33,7 +36,8 @@ def load_table(
     the data twice and turn phone numbers into integers without their leading
     zeros, and every operator converts text itself. JSON carries its own types;
     a schema saves the pass that discovers them. ``json`` decides per file
-    between lines and one array; ``jsonl`` and ``json_array`` say which.
+    between lines and one array; ``jsonl`` and ``json_array`` say which. Arrays of
+    objects of more than ``split_arrays_from`` bytes are read by several tasks.
     """
     kind = FORMATS.get((fmt or infer_format(path)).lower().strip())
     if kind is None:
@@ -43,36 +47,41 @@ def load_table(
         return reader.parquet(path)
     if kind == "csv":
         return reader.option("header", True).option("escape", '"').csv(path)
-    if kind == "json":
-        return _load_json(spark, path, schema)
-    return reader.option("multiLine", kind == "json_array").json(path)
+    if kind in ("json", "json_array"):
+        return _load_json(spark, path, schema, split_arrays_from, kind == "json_array")
+    return reader.json(path)
 
 
-def _starts_array(spark: SparkSession, file: str) -> bool:
-    """Whether the first character that is not blank opens an array; reads the file only up to there."""
-    first = spark.read.text(file).where("value rlike '[^\\\\s\\ufeff]'").head()
-    return first is not None and first["value"].lstrip("\ufeff \t\r\n").startswith("[")
+def _base(path: str) -> str | None:
+    """The folder below which directory names are partition columns; a pattern has none."""
+    return None if re.search(r"[*?\[{]", path) else path
 
 
-def _load_json(spark: SparkSession, path: str, schema: T.StructType | str | None) -> DataFrame:
+def _load_json(
+    spark: SparkSession, path: str, schema: T.StructType | str | None, split_from: int, arrays_only: bool
+) -> DataFrame:
     """JSON of either kind: one object per line, which can be split between tasks, or an array over many lines.
 
     Each file is looked at by itself, as a folder may hold both; columns that
-    only one kind has are NULL in the other.
+    only one kind has are NULL in the other, and partition columns stay. With
+    ``arrays_only`` a file that is no array is one object over many lines.
     """
-    files = spark.read.text(path).inputFiles()
-    with ThreadPool(LOOKS_AT_ONCE) as pool:
-        arrays = dict(zip(files, pool.map(lambda file: _starts_array(spark, file), files), strict=True))
-
-    def read(array: bool) -> DataFrame:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        reader = reader.option("multiLine", array)
-        if len(set(arrays.values())) <= 1:
-            return reader.json(path)
-        return reader.json([file for file, is_array in arrays.items() if is_array == array])
-
-    kinds = sorted(set(arrays.values())) or [False]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [read(kind) for kind in kinds])
+    known = first_characters(spark, path)
+    lines = [file for file, (first, _) in known.items() if first != "["]
+    large = [file for file, (first, size) in known.items() if first == "[" and size > split_from]
+    small = [file for file, (first, size) in known.items() if first == "[" and size <= split_from]
+    base = _base(path) if len(known) > 1 else None
+
+    def reader(array: bool, base: str | None) -> DataFrameReader:
+        plain = (spark.read.schema(schema) if schema is not None else spark.read).option("multiLine", array)
+        return plain.option("basePath", base) if base else plain
+
+    if not large and not (lines and small):
+        return reader(bool(small) or arrays_only, None).json(path)
+    parts = [reader(array, base).json(files) for files, array in ((lines, arrays_only), (small, True)) if files]
+    if large:
+        parts += [reader(False, folder).json(folder) for folder in array_lines(spark, large, base)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def load_if_exists(
