@@ -34,6 +34,7 @@ from ringlens.plans import jobs
 from ringlens.session import fresh_path, stored
 from ringlens.sources import artifacts, history, tables
 from ringlens.sources.providers import provider_dimension
+from ringlens.sources.versions import replace_table
 from ringlens.streaming.risk import start_risk_stream
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +144,21 @@ def csv_roundtrip(spark, sf):
     return tables.load_table(spark, path, schema=df.schema)
 
 
+@query("replaced_table", f"SELECT * FROM ({A.REPORTS}) r WHERE device_report = '1'")
+def replaced_table(spark, sf):
+    """Of three versions the second is read: the third fails while it is written."""
+    df = reports(spark, sf)
+    path = fresh_path(spark, "reports") + ".parquet"
+    replace_table(df, path)
+    replace_table(df.where("device_report = '1'"), path)
+    try:
+        replace_table(df.withColumn("phone", F.when(F.col("device_report") == "2", F.raise_error("no")).otherwise(F.col("phone"))), path)
+    except Exception as error:
+        if "USER_RAISED_EXCEPTION" not in str(error):
+            raise
+    return tables.load_table(spark, path)
+
+
 @query("json_roundtrip", A.REPORTS)
 def json_roundtrip(spark, sf):
     df = reports(spark, sf)
@@ -853,6 +869,28 @@ def stream_risk(spark, sf):
     return flat(spark.read.parquet(target))
 
 
+LISTED_LATER = f"SELECT phone FROM ({LISTED}) l WHERE CAST(right(phone, 1) AS INTEGER) % 2 = 1"
+
+
+@query("stream_blacklist", O.risk_evaluate(LISTED_LATER))
+def stream_blacklist(spark, sf):
+    """The list is empty when phones with an even last digit arrive, and replaced before those with an odd one do."""
+    arriving = stored(scored_pool(spark, sf), "arriving")
+    source, target, log = (fresh_path(spark, name) for name in ("source", "risk", "risk-log"))
+    listed = fresh_path(spark, "listed") + ".parquet"
+    phones = A.read(spark, sf, LISTED).select("phone")
+    odd = F.right("phone", F.lit(1)).cast("int") % 2 == 1
+    replace_table(phones.where("false"), listed)
+    arriving.where(~odd).write.mode("append").parquet(source)
+    stream = start_risk_stream(spark, source, arriving.schema, target, log, blacklist=listed)
+    stream.processAllAvailable()
+    replace_table(phones, listed)
+    arriving.where(odd).write.mode("append").parquet(source)
+    stream.processAllAvailable()
+    stream.stop()
+    return flat(spark.read.parquet(target))
+
+
 # --- models and jobs ---
 
 
@@ -964,7 +1002,30 @@ def model_registry(spark, sf):
         path = fresh_path(spark, f"bundle-{version}")
         artifacts.save_bundle(trained, metrics, path)
         artifacts.promote(spark, registry, version, path, metrics)
-    return spark.read.parquet(registry).select("version", "status", "reason")
+    return artifacts.registry_table(spark, registry).select("version", "status", "reason")
+
+
+@query(
+    "registry_conflict",
+    """WITH m AS (SELECT count(*) AS n FROM customer)
+    SELECT CAST(number AS BIGINT) AS number, version, status, reason, CAST(auc_val AS DOUBLE) AS auc_val FROM (
+      SELECT 1 AS number, 'v1' AS version, 'production' AS status, 'no_old_metrics' AS reason, 1 - 9 / (n + 10.0) AS auc_val FROM m
+      UNION ALL SELECT 2, 'v3', 'production', 'better_auc_val', 1 - 5 / (n + 10.0) FROM m
+      UNION ALL SELECT 3, 'v2', 'rejected', 'not_better_auc_val', 1 - 7 / (n + 10.0) FROM m) r""",
+)
+def registry_conflict(spark, sf):
+    """While v2 is compared with v1, v3 is promoted; v2 loses its number, is compared with v3, and is rejected."""
+    registry = fresh_path(spark, "registry")
+    customers = spark.read.parquet(f"{sf}/customer.parquet").agg(F.count("*").alias("n"))
+
+    def offer(version: str, share: int, before=None) -> None:
+        auc = F.lit(1.0) - F.lit(float(share)) / (F.col("n") + 10.0)
+        metrics = customers.select(auc.alias("auc_val"), F.lit(0.5).alias("f1@best"))
+        artifacts.promote(spark, registry, version, f"/models/{version}", metrics, before_claim=before)
+
+    offer("v1", 9)
+    offer("v2", 7, before=lambda attempt: offer("v3", 5) if attempt == 1 else None)
+    return artifacts.registry_table(spark, registry).select("number", "version", "status", "reason", "auc_val")
 
 
 def with_production(spark: SparkSession, sf: str) -> jobs.JobConfig:

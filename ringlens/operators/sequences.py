@@ -5,9 +5,10 @@ Two plans give the same rows:
 * ``ordered_metrics`` sorts all calls of a reporter in one task. One shuffle,
   no join; used for reporters whose number of calls is known to be moderate.
 * ``layered_metrics`` never puts the calls of one reporter together. It first
-  collapses calls to seconds (partial aggregation before each shuffle), so the
-  longest window it needs has one row per second of history, whatever the
-  number of calls. Used for the few reporters above ``heavy_rows``.
+  collapses calls to seconds (partial aggregation before each shuffle), orders
+  the seconds of a day together, and hands one row per day on to the next, so
+  the longest window has 86,400 rows, whatever the number of calls and the
+  length of the history. Used for the few reporters above ``heavy_rows``.
 
 Call gaps are whole non-negative seconds that add up to at most the length T of
 the history, so one sequence has at most sqrt(2 T) different gaps (about 4,000
@@ -129,22 +130,52 @@ def ordered_metrics(marked: DataFrame, config: FeatureConfig = FeatureConfig())
     )
 
 
+#: Seconds of one range in which the rows of a heavy sequence are ordered together.
+RANGE_SECONDS = 86_400
+
+
+def previous_across_ranges(
+    rows: DataFrame, keys: list[str], order: str, values: dict[str, Column], span: int = RANGE_SECONDS
+) -> DataFrame:
+    """Adds for each name the latest earlier value of a sequence that is not null, without sorting the sequence in one task.
+
+    ``order`` is a whole number that is different in all rows of a sequence.
+    Rows are ordered inside ranges of ``span``; what a range hands on is one row
+    per range, and a sequence has as many of these as its history has ranges.
+    A range without a value hands on what it was handed.
+    """
+    names = list(values)
+    ranged = rows.withColumns({"_range": F.floor(F.col(order) / span), **{f"_value_{n}": values[n] for n in names}})
+    inside = W.partitionBy(*keys, "_range").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    handed = (
+        ranged.groupBy(*keys, "_range")
+        .agg(*[F.expr(f"max_by(_value_{n}, if(_value_{n} is null, null, `{order}`))").alias(n) for n in names])
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(F.struct("_range", *names))).alias("_list"))
+    )
+    earlier = ", ".join(
+        f"try_element_at(filter(slice(_list, 1, i), y -> y.`{n}` is not null), -1).`{n}` AS `_handed_{n}`" for n in names
+    )
+    handed = handed.select(
+        *[F.col(key).alias(f"_key_{key}") for key in keys],
+        F.inline(F.expr(f"transform(_list, (x, i) -> struct(x._range AS _to, {earlier}))")),
+    )
+    same = reduce(lambda x, y: x & y, [F.col(key).eqNullSafe(F.col(f"_key_{key}")) for key in keys])
+    joined = ranged.withColumns(
+        {f"_near_{n}": F.last(f"_value_{n}", ignorenulls=True).over(inside) for n in names}
+    ).join(handed, same & (F.col("_range") == F.col("_to")))
+    return joined.select(*rows.columns, *[F.coalesce(f"_near_{n}", f"_handed_{n}").alias(n) for n in names])
+
+
 def _weighted_gaps(seconds: DataFrame, keys: list[str]) -> DataFrame:
     """Medians of the gaps of a sequence given as (second, calls, calls_to, calls_in) rows.
 
     A second with n calls stands for n - 1 gaps of zero and one gap back to the
     previous second in which the sequence has a call.
     """
-    order = W.partitionBy(*keys).orderBy("second")
-    earlier = order.rowsBetween(W.unboundedPreceding, -1)
     kinds = {"gap": "calls", "gap_to": "calls_to", "gap_in": "calls_in"}
     kept = {name: count for name, count in kinds.items() if count in seconds.columns}
 
-    def previous(count: str) -> Column:
-        if count == "calls":
-            return F.lag("second").over(order)
-        return F.last(F.when(F.col(count) > 0, F.col("second")), ignorenulls=True).over(earlier)
-
     def entry(name: str, value: Column, times: Column, condition: Column) -> Column:
         return F.when(
             condition,
@@ -152,7 +183,9 @@ def _weighted_gaps(seconds: DataFrame, keys: list[str]) -> DataFrame:
         )
 
     one = F.lit(1).cast("bigint")
-    linked = seconds.select("*", *[previous(count).alias(f"_{name}") for name, count in kept.items()])
+    linked = previous_across_ranges(
+        seconds, keys, "second", {f"_{name}": F.when(F.col(count) > 0, F.col("second")) for name, count in kept.items()}
+    )
     entries = [
         item
         for name, count in kept.items()
@@ -184,12 +217,12 @@ def _layered_redials(instants: DataFrame) -> DataFrame:
         F.max("phone_member").alias("last_member"),
     )
 
-    def chained(keys: list[str], order: str) -> Column:
-        previous = F.lag("last_member").over(W.partitionBy(*keys).orderBy(order))
+    def chained(previous: Column) -> Column:
         return F.col("redials") + F.coalesce(previous == F.col("first_member"), F.lit(False)).cast("int")
 
+    within = F.lag("last_member").over(W.partitionBy("report", "second").orderBy("time"))
     seconds = (
-        described.select("*", chained(["report", "second"], "time").alias("linked"))
+        described.select("*", chained(within).alias("linked"))
         .groupBy("report", "second")
         .agg(
             F.sum("linked").alias("redials"),
@@ -197,8 +230,10 @@ def _layered_redials(instants: DataFrame) -> DataFrame:
             F.max(F.struct("time", "last_member"))["last_member"].alias("last_member"),
         )
     )
+    # A second without a member hides the one before it, so seconds are handed on rather than members.
+    linked = previous_across_ranges(seconds, ["report"], "second", {"previous": F.struct("last_member")})
     return (
-        seconds.select("report", chained(["report"], "second").alias("linked"))
+        linked.select("report", chained(F.col("previous.last_member")).alias("linked"))
         .groupBy("report")
         .agg(F.sum("linked").alias("total_redial"))
     )

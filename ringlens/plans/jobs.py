@@ -1,7 +1,9 @@
 """The jobs: inference, labelling, dataset, training, all of them, and scoring one file.
 
 Every job writes its tables under a workspace folder and returns what a caller
-needs to go on. Steps hand over written tables, not long lineages.
+needs to go on. Steps hand over written tables, not long lineages. A table of
+the workspace is replaced at once, when its new version is complete; what a job
+returns is the version that it has written, which stays as it is.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from ringlens.sources import artifacts
 from ringlens.sources.history import export_calls, export_reports
 from ringlens.sources.providers import provider_dimension
 from ringlens.sources.tables import load_if_exists, load_table, save_table
+from ringlens.sources.versions import replace_table
 
 
 @dataclass(frozen=True)
@@ -108,9 +111,9 @@ def infer(spark: SparkSession, history: str, config: JobConfig) -> dict[str, Any
     exported = export_calls(spark, history, config.path("exports"), config.window(config.history_days))
     calls = load_table(spark, exported, "parquet")
     scored, threshold = score_history(spark, calls, _production(spark, config), config)
-    pool = save_table(scored, config.path("prediction_pool.parquet"), mode="overwrite")
+    pool = replace_table(scored, config.path("prediction_pool.parquet"))
     written = load_table(spark, pool)
-    target = save_table(predictions(written, "phone", threshold), config.path("predictions.jsonl"), mode="overwrite")
+    target = replace_table(predictions(written, "phone", threshold), config.path("predictions.jsonl"))
     return {"history_export": exported, "pool": pool, "predictions": target, "threshold_used": threshold}
 
 
@@ -118,19 +121,17 @@ def label(spark: SparkSession, reports: str, config: JobConfig) -> dict[str, Any
     """Recent reports to labels per phone."""
     exported = export_reports(spark, reports, config.path("exports"), config.window(config.report_days))
     summary = stored(report_summary(clean_reports(load_table(spark, exported, "parquet")), ordered=False), "summary")
-    target = save_table(
-        label_feedback(summary, config.labels), config.path("feedback_labels.parquet"), mode="overwrite"
-    )
+    target = replace_table(label_feedback(summary, config.labels), config.path("feedback_labels.parquet"))
     return {"report_export": exported, "labels": target, "rows": load_table(spark, target).count()}
 
 
 def dataset(spark: SparkSession, labels: str, pool: str, config: JobConfig) -> dict[str, Any]:
     """Corrected rows over the base training set; the pool has one row per phone."""
     changed = changed_labels(load_table(spark, labels), load_table(spark, pool), unique_phones=True)
-    changed_path = save_table(changed, config.path("changed_rows.parquet"), mode="overwrite")
+    changed_path = replace_table(changed, config.path("changed_rows.parquet"))
     changed = load_table(spark, changed_path)
     base = load_if_exists(spark, config.base_training)
-    merged = save_table(merge_training(changed, base), config.merged_training, mode="overwrite")
+    merged = replace_table(merge_training(changed, base), config.merged_training)
     return {
         "changed_rows": changed_path,
         "changed_count": changed.count(),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
+from itertools import count
 from typing import Any
 
 from pyspark.ml import PipelineModel
@@ -17,13 +18,14 @@ from ringlens.operators.model import TrainedModel
 from ringlens.operators.promotion import promotion_gate
 from ringlens.session import literal_table
 from ringlens.sources.tables import load_if_exists
+from ringlens.sources.versions import claim, numbers
 
 MANIFEST = [
     ("run_id", "string"), ("command", "string"), ("status", "string"), ("timestamp", "string"),
     ("result", "string"), ("error_type", "string"), ("error_message", "string"),
 ]
 REGISTRY = [
-    ("version", "string"), ("path", "string"), ("status", "string"), ("reason", "string"),
+    ("number", "bigint"), ("version", "string"), ("path", "string"), ("status", "string"), ("reason", "string"),
     ("auc_val", "double"), ("f1_best", "double"), ("recorded_at", "string"),
 ]
 
@@ -96,37 +98,59 @@ def load_bundle(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str
     return model, [row["name"] for row in columns], spark.read.parquet(f"{path}/metrics")
 
 
-def production_model(spark: SparkSession, registry: str) -> dict[str, Any] | None:
-    """The latest promoted version: promotion appends a row, so older ones remain as the archive."""
-    table = load_if_exists(spark, registry, "parquet")
+def registry_table(spark: SparkSession, registry: str) -> DataFrame | None:
+    """All outcomes in the order of their numbers' claims, as a table; None where there are none."""
+    if not numbers(spark, registry):
+        return None
+    return spark.read.schema(", ".join(f"{name} {kind}" for name, kind in REGISTRY)).json(registry)
+
+
+def production_model(spark: SparkSession, registry: str, until: int | None = None) -> dict[str, Any] | None:
+    """The latest promoted version, of the first ``until`` outcomes if given; older ones remain as the archive."""
+    table = registry_table(spark, registry)
     if table is None:
         return None
-    row = table.where(F.col("status") == "production").orderBy(F.desc("recorded_at"), F.desc("version")).first()
+    known = table.where("status = 'production'")
+    if until is not None:
+        known = known.where(F.col("number") <= until)
+    row = known.orderBy(F.desc("number")).first()
     return None if row is None else row.asDict()
 
 
 def promote(
-    spark: SparkSession, registry: str, version: str, bundle_path: str, metrics: DataFrame, min_delta: float = 1e-6
+    spark: SparkSession, registry: str, version: str, bundle_path: str, metrics: DataFrame, min_delta: float = 1e-6,
+    before_claim: Callable[[int], None] | None = None,
 ) -> DataFrame:
-    """Compares a candidate bundle with the production one and appends the outcome to the registry."""
-    current = production_model(spark, registry)
-    known = current or {}
-    pair = metrics.select(
-        F.col("auc_val").alias("new_auc"),
-        F.col("`f1@best`").alias("new_f1"),
-        F.lit(current is not None).alias("has_old"),
-        F.lit(known.get("auc_val")).cast("double").alias("old_auc"),
-        F.lit(known.get("f1_best")).cast("double").alias("old_f1"),
-    )
-    gate = promotion_gate(pair, min_delta)
-    row = gate.select(
-        F.lit(version).alias("version"),
-        F.lit(bundle_path).alias("path"),
-        F.when(F.col("promoted"), F.lit("production")).otherwise(F.lit("rejected")).alias("status"),
-        "reason",
-        F.col("new_auc").cast("double").alias("auc_val"),
-        F.col("new_f1").cast("double").alias("f1_best"),
-        F.lit(datetime.now(timezone.utc).isoformat()).alias("recorded_at"),
-    )
-    row.coalesce(1).write.mode("append").parquet(registry)
-    return spark.read.parquet(registry).where(F.col("version") == version)
+    """Compares a candidate bundle with the production one and puts the outcome into the registry.
+
+    An outcome takes the number after those it has seen. Where another trainer
+    has taken that number meanwhile, the comparison is made again with what it
+    has put there, so every promotion is an improvement over the one before.
+    ``before_claim`` is called with the number of the attempt, for a last look.
+    """
+    for attempt in count(1):
+        seen = ([0] + numbers(spark, registry))[-1]
+        current = production_model(spark, registry, seen)
+        known = current or {}
+        pair = metrics.select(
+            F.col("auc_val").alias("new_auc"),
+            F.col("`f1@best`").alias("new_f1"),
+            F.lit(current is not None).alias("has_old"),
+            F.lit(known.get("auc_val")).cast("double").alias("old_auc"),
+            F.lit(known.get("f1_best")).cast("double").alias("old_f1"),
+        )
+        outcome = promotion_gate(pair, min_delta).select(
+            F.lit(seen + 1).cast("bigint").alias("number"),
+            F.lit(version).alias("version"),
+            F.lit(bundle_path).alias("path"),
+            F.when(F.col("promoted"), F.lit("production")).otherwise(F.lit("rejected")).alias("status"),
+            "reason",
+            F.col("new_auc").cast("double").alias("auc_val"),
+            F.col("new_f1").cast("double").alias("f1_best"),
+            F.lit(datetime.now(timezone.utc).isoformat()).alias("recorded_at"),
+        )
+        line = outcome.select(F.to_json(F.struct(*outcome.columns))).first()[0]
+        if before_claim is not None:
+            before_claim(attempt)
+        if claim(spark, registry, seen + 1, line + "\n"):
+            return registry_table(spark, registry).where(F.col("number") == seen + 1)

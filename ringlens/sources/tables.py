@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ringlens.sources.json_arrays import array_lines, first_characters
+from ringlens.sources.versions import current_path
 
 FORMATS = {
     "parquet": "parquet", "pq": "parquet", "csv": "csv", "jsonl": "jsonl", "ndjson": "jsonl", "json": "json",
@@ -37,9 +38,11 @@ def load_table(
     zeros, and every operator converts text itself. JSON carries its own types;
     a schema saves the pass that discovers them. ``json`` decides per file
     between lines and one array; ``jsonl`` and ``json_array`` say which. Arrays of
-    objects of more than ``split_arrays_from`` bytes are read by several tasks.
+    objects of more than ``split_arrays_from`` bytes are read by several tasks. Of
+    a table written by ``replace_table`` the current version is read.
     """
     kind = FORMATS.get((fmt or infer_format(path)).lower().strip())
+    path = current_path(spark, path)
     if kind is None:
         raise ValueError(f"unsupported format {fmt!r}; use one of {sorted(FORMATS)}")
     reader = spark.read.schema(schema) if schema is not None else spark.read

@@ -83,3 +83,15 @@ def test_heavy_keys_are_counted_once(spark, sf):
     calls = spark.createDataFrame([(i % 3,) for i in range(30)], "k int")
     assert sorted(r.k for r in find_heavy(calls, "k", 5).keys.collect()) == [0, 1, 2]
     assert find_heavy(calls, "k", 10).keys is None
+
+
+def test_heavy_reports_are_not_ordered_in_one_task(spark, sf):
+    """No window takes a report, or a report and member, as a whole."""
+    import re
+
+    from ringlens.operators.calls import clean_calls, mark_calls
+    from ringlens.operators.sequences import layered_metrics
+
+    text = plan(layered_metrics(mark_calls(clean_calls(K.call_history(spark, sf)), K.providers(spark))))
+    windows = re.findall(r"Window \[.*?\], \[(.*?)\], \[", text)
+    assert windows and all("_range" in keys or "second" in keys for keys in windows)
