@@ -981,6 +981,24 @@ def tune(spark, sf):
     return trials.select("trial", inside.alias("in_space"), best.alias("one_best"))
 
 
+@query(
+    "tune_resumed",
+    "SELECT CAST(i AS INTEGER) AS trial, true AS logged, i < 1 AS resumed, CAST(3 AS BIGINT) AS entries FROM range(3) r(i)",
+)
+def tune_resumed(spark, sf):
+    """A search that was stopped after its first trial goes on with the second; the log has each trial once, with its AUC."""
+    rows, columns = ML.split_rows(labelled_pool(spark, sf))
+    log = fresh_path(spark, "search")
+    first = ML.tune(rows, columns, trials=1, space=QUICK_SPACE, log=log).trials.first()
+    whole = ML.tune(rows, columns, trials=3, space=QUICK_SPACE, log=log)
+    kept = spark.read.json(log).select("trial", F.col("auc").alias("logged_auc"))
+    resumed = (F.col("trial") < whole.record["n_resumed"]) & (F.col("auc") == F.lit(first["auc"]))
+    return whole.trials.join(kept.withColumn("trial", F.col("trial").cast("int")), "trial").select(
+        "trial", (F.col("auc") == F.col("logged_auc")).alias("logged"), (F.when(F.col("trial") == 0, resumed).otherwise(F.lit(False))).alias("resumed"),
+        F.lit(kept.count()).cast("bigint").alias("entries"),
+    )
+
+
 @query("model_report", REPORTED)
 def model_report(spark, sf):
     made = ML.training_set(labelled_pool(spark, sf))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
+import threading
 import time
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
@@ -15,7 +18,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringlens.config import SearchSpace, SplitConfig, TreeParams
@@ -24,6 +27,7 @@ from ringlens.operators.metrics import Grid, best_threshold, class_weight, metri
 from ringlens.operators.rollup import IDENTITY_COLUMNS, align_features, coerce_numeric
 from ringlens.operators.split import row_digest, with_roles
 from ringlens.session import literal_table, shared_dir, stored
+from ringlens.sources.versions import claim, entry, numbers
 
 MISSING = -1.0  # features are never negative, so trees can tell a missing value from a present one
 
@@ -206,6 +210,12 @@ class Tuning:
     record: dict
 
 
+def logged_trials(spark: SparkSession, log: str, drawn: Sequence[TreeParams]) -> dict[int, float]:
+    """AUC of the trials of a log whose parameters are those drawn now."""
+    found = [json.loads(entry(spark, log, number)) for number in numbers(spark, log) if number <= len(drawn)]
+    return {row["trial"]: row["auc"] for row in found if row["params"] == asdict(drawn[row["trial"]])}
+
+
 def tune(
     rows: DataFrame,
     columns: Sequence[str],
@@ -214,29 +224,70 @@ def tune(
     seed: int = 42,
     space: SearchSpace = SearchSpace(),
     side_by_side: int = 2,
+    log: str | None = None,
 ) -> Tuning:
     """Random search for the highest AUC on validation rows.
 
     Parameters are drawn before anything runs, so they do not depend on
     timing. ``side_by_side`` trials share the cluster; none begins once the
-    budget is spent, but at least one is run.
+    budget is spent, and those that still run then are cancelled, but at least
+    one is run to its end. With a ``log`` folder each trial is written there as
+    it ends, and a search that has been stopped goes on with the trials it
+    lacks; a logged trial counts if its parameters are the drawn ones. The log
+    belongs to one set of rows.
     """
     rng = random.Random(seed)
     drawn = [sample_params(rng, seed, space) for _ in range(trials)]
     started = time.monotonic()
+    spark = rows.sparkSession
+    context = spark.sparkContext
+    known = {} if log is None else logged_trials(spark, log, drawn)
+    mark = f"search-{uuid.uuid4().hex}"
+    spent, ended = threading.Event(), threading.Event()
 
     def run(trial: int) -> float | None:
+        if trial in known:
+            return known[trial]
         if trial and budget_seconds is not None and time.monotonic() - started > budget_seconds:
             return None
-        trained = fit(rows, columns, drawn[trial])
-        held_out = evaluation_rows(trained, rows.where(F.col("role") == "validation"))
-        auc = roc_auc(held_out.select("label", "score")).first()["auc"]
-        return 0.0 if auc is None else float(auc)
+        if trial:  # the first one is run whatever it takes
+            context.addJobTag(mark)
+        try:
+            trained = fit(rows, columns, drawn[trial])
+            held_out = evaluation_rows(trained, rows.where(F.col("role") == "validation"))
+            auc = roc_auc(held_out.select("label", "score")).first()["auc"]
+        except Exception:
+            if trial and spent.is_set():
+                return None
+            raise
+        finally:
+            if trial:
+                context.removeJobTag(mark)
+        auc = 0.0 if auc is None else float(auc)
+        if log is not None:
+            claim(spark, log, trial + 1, json.dumps({"trial": trial, "params": asdict(drawn[trial]), "auc": auc}))
+        return auc
+
+    def stop() -> None:
+        spent.set()
+        while not ended.is_set():  # a trial may be between two jobs
+            context.cancelJobsWithTag(mark)
+            ended.wait(0.5)
 
     here = [copy_context() for _ in range(trials)]  # threads then use this job's folder for intermediates
-    target = inheritable_thread_target(rows.sparkSession)(run)
-    with ThreadPoolExecutor(max_workers=max(1, side_by_side)) as pool:
-        found = list(pool.map(lambda trial: here[trial].run(target, trial), range(trials)))
+    # Each trial gets its own copy of the local properties, which hold the tag.
+    targets = [inheritable_thread_target(spark)(run) for _ in range(trials)]
+    timer = None if budget_seconds is None else threading.Timer(max(budget_seconds, 0.0), stop)
+    if timer is not None:
+        timer.daemon = True
+        timer.start()
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, side_by_side)) as pool:
+            found = list(pool.map(lambda trial: here[trial].run(targets[trial], trial), range(trials)))
+    finally:
+        ended.set()
+        if timer is not None:
+            timer.cancel()
     results = [(i, drawn[i], auc) for i, auc in enumerate(found) if auc is not None]
     best = max(results, key=lambda result: (result[2], -result[0]))
     kinds = {int: "int", float: "double"}
@@ -252,6 +303,7 @@ def tune(
         "n_features": len(columns),
         "scale_pos_weight_used": float(weight),
         "n_trials": len(results),
+        "n_resumed": sum(i in known for i, _, _ in results),
         "best_auc": best[2],
         "best_params": asdict(best[1]),
     }

@@ -51,6 +51,7 @@ class JobConfig:
     trials: int = 5
     trial_seconds: float | None = 1800.0
     space: SearchSpace = SearchSpace()
+    search: str | None = None  # name of a search over one training set, which a rerun goes on with
     base_path: str | None = None  # any supported format; None is a Parquet table in the workspace
     min_delta: float = 1e-6
     shuffle_partitions: int | None = None  # None keeps the session's setting
@@ -162,7 +163,8 @@ def train(
     trials = record = None
     if params is None:
         tuned = tune(
-            prepared.rows, prepared.columns, config.trials, config.trial_seconds, config.split.seed, config.space
+            prepared.rows, prepared.columns, config.trials, config.trial_seconds, config.split.seed, config.space,
+            log=config.search and config.path(f"searches/{config.search}"),
         )
         params = tuned.best
         record = {"data_path": source, "label_col": "label", "dropped_cols": prepared.dropped, **tuned.record}
