@@ -3,24 +3,28 @@
 Two models give the probability of each character after the one before: one of
 random strings, learned from what the base patterns mark as secret, and one of
 ordinary identifiers and words, learned from all other tokens. A long token
-that may turn out to be a secret counts once per batch of documents, so that
-copies of it do not vouch for each other. Both learn from every document: tasks count pairs of characters, Spark adds the counts,
-and only the two tables of fixed size reach the driver. Of a token those parts
-are reported whose log-likelihood ratio exceeds the odds against a secret, so
-that a key or a path glued to a secret does not outweigh it.
+that may turn out to be a secret counts once in all documents, so that copies
+of it do not vouch for each other. Both learn from every document: tasks count
+pairs of characters and name the tokens in question, Spark adds the counts and
+makes the tokens distinct, and only the two tables of fixed size reach the
+driver. Of a token those parts are reported whose log-likelihood ratio exceeds
+the odds against a secret, so that a key or a path glued to a secret does not
+outweigh it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringlens.session import stored
 
 KINDS = ("assign", "access", "hex")
 ADDED_KIND = "random"
@@ -71,9 +75,10 @@ def ordinary_text(text: str, spans: list[tuple[int, int, str]], asked: set[str])
     """The text without its base spans and without its tokens in question, which are added to ``asked``."""
     kept, done = [], 0
     cuts = [(start, stop) for start, stop, _ in spans]
+    taken = Covered(cuts)
     for match in candidates(text):
         cuts.append(match.span())
-        if not any(start < match.end() and match.start() < stop for start, stop, _ in spans):
+        if [*taken.gaps(*match.span())] == [match.span()]:
             asked.add(match.group())
     for start, stop in sorted(cuts):
         kept.append(text[done:max(start, done)])
@@ -109,7 +114,12 @@ def trained(counts: np.ndarray) -> np.ndarray:
 
 
 def learn(docs: DataFrame, text_column: str) -> np.ndarray:
-    """Log-likelihood ratio, random string against identifier, of each symbol after each."""
+    """Log-likelihood ratio, random string against identifier, of each symbol after each.
+
+    The counts, and so the ratios, are the same however the rows are
+    partitioned.
+    """
+    counts = "pair bigint, random bigint, plain bigint"
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         random, plain = np.zeros(SIZE * SIZE, np.int64), np.zeros(SIZE * SIZE, np.int64)
@@ -122,13 +132,23 @@ def learn(docs: DataFrame, text_column: str) -> np.ndarray:
                     values = secret_values(text, spans)
                     if values:
                         random += pair_counts("\n".join(values).encode())
-            plain += pair_counts("\n".join(asked).encode())
-        pair = np.arange(SIZE * SIZE)
-        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(random), pa.array(plain)], ["pair", "random", "plain"])
+            yield count_rows(None, None, asked)
+        yield count_rows(random, plain, ())
 
+    def tokens_counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain = np.zeros(SIZE * SIZE, np.int64)
+        for batch in batches:
+            plain += pair_counts("\n".join(batch.column(0).to_pylist()).encode())
+        yield count_rows(np.zeros_like(plain), plain, ()).drop_columns("token")
+
+    found = stored(
+        docs.select(F.col(f"`{text_column}`").alias("text")).mapInArrow(counted, f"{counts}, token string"), "secret-counts"
+    )
+    once = found.where("token IS NOT NULL").select("token").distinct().mapInArrow(tokens_counted, counts)
     sums = (
-        docs.select(F.col(f"`{text_column}`").alias("text"))
-        .mapInArrow(counted, "pair bigint, random bigint, plain bigint")
+        found.where("token IS NULL")
+        .drop("token")
+        .unionByName(once)
         .groupBy("pair")
         .agg(F.sum("random").alias("random"), F.sum("plain").alias("plain"))
     )
@@ -138,6 +158,17 @@ def learn(docs: DataFrame, text_column: str) -> np.ndarray:
     return trained(random) - trained(plain)
 
 
+def count_rows(random: np.ndarray | None, plain: np.ndarray | None, tokens: Collection[str]) -> pa.RecordBatch:
+    """Rows of counts by pair, or else of tokens alone."""
+    if random is None:
+        empty = pa.nulls(len(tokens), pa.int64())
+        columns = [empty, empty, empty, pa.array(list(tokens), pa.string())]
+    else:
+        pair = np.flatnonzero(random + plain)
+        columns = [pa.array(pair), pa.array(random[pair]), pa.array(plain[pair]), pa.nulls(len(pair), pa.string())]
+    return pa.RecordBatch.from_arrays(columns, ["pair", "random", "plain", "token"])
+
+
 def scoring_parts(first: list[float], later: list[float], least: float) -> Iterator[tuple[int, int]]:
     """Parts of a token with the highest sums, from ``least`` on; ``first`` scores a character as the part's first.
 
@@ -172,9 +203,11 @@ def random_tokens(
     the token's end. What is ``covered`` already is left out of the tokens.
     """
     flat = ratios.ravel()
+    taken = Covered(covered)
     found = []
     for match in candidates(text):
-        for low, high in uncovered(match.start(), match.end(), covered):
+        for low, high in taken.gaps(*match.span()):
+            unpadded = low + len(text[low:high].rstrip("="))
             symbols = SYMBOLS[np.frombuffer(text[low:high].encode(), np.uint8)]
             first, later = flat[symbols], flat[np.concatenate([[0], symbols[:-1]]) * SIZE + symbols]
             if np.maximum(np.maximum(first, later), 0).sum() < least_ratio:
@@ -186,7 +219,7 @@ def random_tokens(
                     begin -= 1
                 while stop < high and text[stop].isalnum():
                     stop += 1
-                if not text[stop:high].strip("="):
+                if stop >= unpadded:
                     stop = high
                 begin = max(begin, done)
                 if begin < stop and len(set(text[begin:stop])) >= LEAST_DISTINCT:
@@ -195,15 +228,30 @@ def random_tokens(
     return found
 
 
-def uncovered(start: int, stop: int, covered: tuple[tuple[int, int], ...]) -> Iterator[tuple[int, int]]:
-    """The parts of a span outside the covered ones, which are sorted by their start."""
-    for low, high in covered:
-        if high > start and low < stop:
+class Covered:
+    """Spans, given by their start and perhaps overlapping, and what lies between them."""
+
+    def __init__(self, spans: Collection[tuple[int, int]]) -> None:
+        self.starts: list[int] = []
+        self.stops: list[int] = []
+        for start, stop in spans:
+            if self.stops and start <= self.stops[-1]:
+                self.stops[-1] = max(self.stops[-1], stop)
+            else:
+                self.starts.append(start)
+                self.stops.append(stop)
+
+    def gaps(self, start: int, stop: int) -> Iterator[tuple[int, int]]:
+        """The parts of a span outside the covered ones."""
+        at = bisect_right(self.stops, start)
+        while start < stop:
+            low = self.starts[at] if at < len(self.starts) else stop
             if low > start:
-                yield start, low
-            start = max(start, high)
-    if start < stop:
-        yield start, stop
+                yield start, min(low, stop)
+            if low >= stop:
+                return
+            start = self.stops[at]
+            at += 1
 
 
 def joined(spans: list[tuple[int, int, str]]) -> str:
@@ -227,7 +275,8 @@ def find_secrets(
     Spans are ``kind:start:end`` in code points, the end exclusive, by start
     and then kind as listed. A null text counts as empty and has none. Without
     any base span to learn from, random strings are those of equally likely
-    characters. Repeated rows and null ids give rows like others; other
+    characters. The time grows in proportion to a text's length, however many
+    spans it has. Repeated rows and null ids give rows like others; other
     columns are not read.
     """
     ratios = learn(docs, text_column)

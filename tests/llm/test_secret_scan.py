@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 
@@ -99,3 +100,45 @@ def test_tokens_in_question_do_not_vouch_for_each_other():
     assert secret_scan.ordinary_text(text, secret_scan.base_spans(text), asked) == "a   b   c ------------------------  "
     assert asked == {"abcdefghijklmnopqrstuvwxyz"}
     assert secret_scan.ordinary_text("plain words", [], asked) == "plain words"
+
+
+def test_answer_does_not_depend_on_partitions(spark):
+    """Thousands of copies of one token vouch no more for it in many tasks than in one."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    token = "q7Rk2vXw9LmZ4tBn8HsJ5cDy"
+    copies = spark.range(3_000).selectExpr("1000000 + id AS doc_id", f"'see {token} there' AS text")
+    rows = docs.unionByName(copies)
+    few = secret_scan.learn(rows.repartition(1), "text")
+    assert (few == secret_scan.learn(rows.repartition(40), "text")).all()
+    once = docs.unionByName(copies.where("doc_id = 1000000"))
+    before, after = (secret_scan.SYMBOLS[list(token[i:].encode())] for i in (0, 1))
+    score = few[before[:-1], after].sum()
+    assert abs(score - secret_scan.learn(once, "text")[before[:-1], after].sum()) < 10
+    found = secret_scan.find_secrets(rows.repartition(40)).where("doc_id >= 1000000").select("spans").distinct().collect()
+    assert [r.spans for r in found] == ["random:4:28"]
+
+
+def test_gaps_are_what_no_span_covers():
+    rng = random.Random(8)
+    for _ in range(300):
+        spans = sorted((a, a + rng.randint(1, 9)) for a in (rng.randrange(40) for _ in range(rng.randrange(6))))
+        covered = secret_scan.Covered(spans)
+        start = rng.randrange(40)
+        stop = start + rng.randint(1, 20)
+        free = [i for i in range(start, stop) if not any(a <= i < b for a, b in spans)]
+        gaps = [*covered.gaps(start, stop)]
+        assert [i for a, b in gaps for i in range(a, b)] == free and all(a < b for a, b in gaps)
+
+
+def test_time_follows_the_length():
+    ratios = np.full((secret_scan.SIZE, secret_scan.SIZE), 0.5)
+    text = " ".join(f"token=abcdef{i:06d} {'0123456789abcdef' * 2} zyxwvutsrqponmlk{i:06d}" for i in range(50_000))
+    began = time.monotonic()
+    base, spans = secret_scan.all_spans(text, np.maximum(ratios, 2.0), secret_scan.LEAST_RATIO)
+    secret_scan.ordinary_text(text, base, set())
+    assert time.monotonic() - began < 20
+    assert len(base) == 100_000 and len(spans) == 150_000
+    one = "=".join(["abcdefgh12345678" * 2] * 20_000)
+    began = time.monotonic()
+    secret_scan.random_tokens(one, np.where(np.arange(secret_scan.SIZE) == secret_scan.SYMBOLS[ord("=")], -80.0, ratios), 10.0)
+    assert time.monotonic() - began < 20
