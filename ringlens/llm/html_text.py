@@ -4,12 +4,16 @@ A tree is built from the tags with the end tags and rows that authors leave
 out. A walk over it applies the visibility rules and lays out what is left:
 blocks on lines of their own, blank lines around paragraphs, marked and
 indented list items, aligned table columns, and kept white space in ``pre``.
-Neither step recurses, so any depth of nesting is fine.
+Neither step recurses, and open tags are found by their places, so the time
+does not depend on the depth of nesting. What does is the layout of lists and
+quotes: each line carries the indents of all that are open around it.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -79,7 +83,11 @@ class TreeBuilder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Element("html", {})
-        self.stack = [self.root]
+        #: Open elements; None where formatting ended while a block inside it went on.
+        self.stack: list[Element | None] = [self.root]
+        #: Places in the stack by tag; those of all blocks once more.
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
         self.styles: list[str] = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -96,6 +104,9 @@ class TreeBuilder(HTMLParser):
         element = Element(tag, {name: value or "" for name, value in attrs})
         self.stack[-1].children.append(element)
         if tag not in VOID:
+            self.places[tag].append(len(self.stack))
+            if tag in BLOCK:
+                self.blocks.append(len(self.stack))
             self.stack.append(element)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -115,40 +126,46 @@ class TreeBuilder(HTMLParser):
         if self.stack[-1].tag == "style":
             self.styles.append(data)
         elif self.stack[-1].tag == "head" and data.strip():
-            self.stack.pop()
+            self.end_from(len(self.stack) - 1)
         self.stack[-1].children.append(data)
 
+    def nearest(self, tags: frozenset[str] | set[str]) -> int:
+        """Place of the innermost open one of ``tags``; 0, where the root is, if there is none."""
+        return max((self.places[tag][-1] for tag in tags if self.places[tag]), default=0)
+
+    def end_from(self, place: int) -> None:
+        """Ends the element at a place and all inside it."""
+        while len(self.stack) > place or self.stack[-1] is None:
+            element = self.stack.pop()
+            if element is not None:
+                self.places[element.tag].pop()
+                if element.tag in BLOCK:
+                    self.blocks.pop()
+
     def end_nearest(self, tag: str, bounds: frozenset[str] | set[str]) -> None:
         """Ends the innermost open ``tag`` and all inside it, unless a bound lies in between."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                del self.stack[i:]
-                return
-            if self.stack[i].tag in bounds:
-                return
+        place = self.nearest({tag})
+        if place and place >= self.nearest(bounds):
+            self.end_from(place)
 
     def end_open(self, tags: set[str] | frozenset[str], bounds: set[str]) -> None:
         """Ends the outermost of ``tags`` above the nearest bound, and all inside it."""
-        outermost = None
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag in bounds:
-                break
-            if self.stack[i].tag in tags:
-                outermost = i
+        bound = self.nearest(bounds)
+        above = [(self.places[tag], bisect_right(self.places[tag], bound)) for tag in tags]
+        outermost = min((places[i] for places, i in above if i < len(places)), default=None)
         if outermost is not None:
-            del self.stack[outermost:]
+            self.end_from(outermost)
 
     def unformat(self, tag: str) -> None:
         """Ends formatting but leaves the blocks that were opened inside it."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                if any(e.tag in BLOCK for e in self.stack[i:]):
-                    del self.stack[i]
-                else:
-                    del self.stack[i:]
-                return
-            if self.stack[i].tag in CELLS or self.stack[i].tag == "table":
-                return
+        place = self.nearest({tag})
+        if not place or place < self.nearest(CELLS | {"table"}):
+            return
+        if self.blocks and self.blocks[-1] > place:
+            self.stack[place] = None
+            self.places[tag].pop()
+        else:
+            self.end_from(place)
 
 
 class Flow:

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from ringlens.llm.catalog import CATALOG
@@ -36,6 +38,23 @@ def test_depth_and_length():
     assert wide.count("y") == 100_000 and len(wide) < 101_000
 
 
+@pytest.mark.parametrize(
+    "html",
+    ["<div>" * 100_000 + "x", "<b>" * 100_000 + "x", "<b><div>" * 50_000 + "x" + "</b></div>" * 50_000, "<p><i>" * 50_000 + "x" + "</i>" * 50_000,
+     "<table><tr><td>" * 30_000 + "x", "<div>" * 50_000 + "x" + "</span></li></b>" * 50_000],
+    ids=["div", "b", "crossed", "ended", "tables", "stray"],
+)
+def test_time_does_not_depend_on_the_depth(html):
+    began = time.monotonic()
+    assert visible_text(html) == "x"
+    assert time.monotonic() - began < 10
+
+
+def test_formatting_that_ends_inside_its_blocks():
+    assert visible_text("<b>a<div>b</b>c</div>d") == "a\nbc\nd"
+    assert visible_text("<table><tr><td><i>a<div>b</i></div>c<td>d</table>e") == "a  d\nb\nc\n\ne"
+
+
 def test_query_keeps_every_shown_word(spark, sf):
     import re
 
