@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ringlens.session import stored
 
-MAX_ROUNDS = 60
-
 
 def large_star(edges: DataFrame) -> DataFrame:
     """Hangs every larger neighbour of a node below the smallest node around it."""
@@ -49,8 +47,6 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")
     )
     edges = stored(edges.distinct(), "links")
-    for _ in range(MAX_ROUNDS):
-        if is_settled(edges):
-            return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
+    while not is_settled(edges):
         edges = stored(small_star(large_star(edges)), "star")
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+    return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
