@@ -856,6 +856,40 @@ def risk_blacklist_table(spark, sf):
     return flat(R.evaluate_risk(risk_rows(spark, sf), blacklist=listed))
 
 
+#: Rules from the calls: beginnings of called phones, of six characters where several calls were short, of four where one was long,
+#: and codes of foreign phones that took calls.
+PREFIX_RULES = f"""
+    SELECT 'domestic' AS kind, substr(phone, 1, 6) AS head, CAST(1 AS BIGINT) AS place
+    FROM ({A.CALL_HISTORY}) h WHERE duration < 5 GROUP BY ALL HAVING count(*) >= 2
+    UNION ALL SELECT 'domestic', substr(phone, 1, 4), 10 - count(*) % 7 FROM ({A.CALL_HISTORY}) h
+    WHERE duration > 450 GROUP BY ALL
+    UNION ALL SELECT DISTINCT 'foreign', substr(phone, 2, 3), CAST(0 AS BIGINT) FROM ({A.CALL_HISTORY}) h
+    WHERE starts_with(phone, '+') AND type = 2"""
+
+
+def prefix_rules(spark: SparkSession, sf: str) -> DataFrame:
+    calls = call_history(spark, sf)
+
+    def counted(rows: DataFrame, size: int) -> DataFrame:
+        return rows.groupBy(F.substring("phone", 1, size).alias("head")).agg(F.count("*").alias("n"))
+
+    def rules(kind: str, heads: DataFrame, place: str) -> DataFrame:
+        return heads.select(F.lit(kind).alias("kind"), "head", F.expr(place).cast("bigint").alias("place"))
+
+    incoming = calls.where("startswith(phone, '+') and type = 2")
+    return (
+        rules("domestic", counted(calls.where("duration < 5"), 6).where("n >= 2"), "1")
+        .unionByName(rules("domestic", counted(calls.where("duration > 450"), 4), "10 - n % 7"))
+        .unionByName(rules("foreign", counted(incoming.withColumn("phone", F.expr("substring(phone, 2)")), 3), "0"))
+    )
+
+
+@query("risk_prefix_table", O.risk_evaluate(None, PREFIX_RULES))
+def risk_prefix_table(spark, sf):
+    """The prefix lists are a table; of several that match, the one with the smallest place counts."""
+    return flat(R.evaluate_risk(risk_rows(spark, sf), prefixes=prefix_rules(spark, sf)))
+
+
 @query("stream_risk", O.risk_evaluate())
 def stream_risk(spark, sf):
     """The same rows through a stream that reads files as they are and stops when it has seen them all."""

@@ -360,12 +360,18 @@ def risk_pool() -> str:
     """
 
 
-def risk_levels(listed: str | None = None, pool: str | None = None) -> str:
+def risk_levels(listed: str | None = None, pool: str | None = None, prefixes: str | None = None) -> str:
+    """``prefixes`` is SQL of kind, head and place that takes the place of the two lists of prefixes."""
     config = RiskConfig()
     steps = " ".join(f"WHEN score < {limit} THEN {level}" for limit, level in config.score_levels)
     hits = " ".join(
         f"WHEN prefix LIKE '{d}%' OR phone LIKE '{d}%' THEN '{d}'" for d in config.domestic_prefixes
     )
+    hit, risky = f"CASE {hits} END", f"prefix IN ({quoted(config.foreign_prefixes)})"
+    if prefixes:
+        hit = f"""(SELECT min({{'place': r.place, 'head': r.head}}).head FROM ({prefixes}) r WHERE r.kind = 'domestic'
+          AND (starts_with(f.prefix, r.head) OR starts_with(f.phone, r.head)))"""
+        risky = f"prefix IN (SELECT r.head FROM ({prefixes}) r WHERE r.kind = 'foreign')"
     c = constants
 
     def said(template: str, value: str) -> str:
@@ -391,7 +397,7 @@ def risk_levels(listed: str | None = None, pool: str | None = None) -> str:
     FROM (
       SELECT *, CASE {steps} ELSE {config.score_levels[-1][1]} END AS model_level,
         phone IN ({listed or quoted(config.blacklist)}) AS listed,
-        prefix IN ({quoted(config.foreign_prefixes)}) AS risky, CASE {hits} END AS hit,
+        {risky} AS risky, {hit} AS hit,
         total_call >= 2 AND avg_duration < 5 AS brief,
         CASE WHEN total_call >= 5 THEN miss_call / CAST(total_call AS DOUBLE) > 0.6 ELSE false END AS missed,
         frequency_per_day >= 10 AND avg_duration < 10 AS busy,
@@ -401,7 +407,7 @@ def risk_levels(listed: str | None = None, pool: str | None = None) -> str:
     """
 
 
-def risk_evaluate(listed: str | None = None) -> str:
+def risk_evaluate(listed: str | None = None, prefixes: str | None = None) -> str:
     c = constants
     titles = quoted(t for t, _ in c.LEVEL_MESSAGES.values())
     subtitles = quoted(s for _, s in c.LEVEL_MESSAGES.values())
@@ -417,7 +423,7 @@ def risk_evaluate(listed: str | None = None) -> str:
     FROM (
       SELECT *, greatest(CASE WHEN is_international THEN 1 ELSE 0 END,
         greatest(model_level, rule_level) + credit) AS final_level
-      FROM ({risk_levels(listed)}) l
+      FROM ({risk_levels(listed, None, prefixes)}) l
     ) e
     """
 

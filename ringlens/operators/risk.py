@@ -14,6 +14,7 @@ from ringlens import constants
 from ringlens.config import RiskConfig
 from ringlens.functions.conversions import double_or, int_or, two_decimals
 from ringlens.functions.phones import phone_origin, stripped
+from ringlens.operators.skew import HEAVY_ROWS, find_heavy, join_unique
 
 FEATURES = [
     "is_international", "prefix", "total_call", "miss_call", "avg_duration", "frequency_per_day",
@@ -66,15 +67,21 @@ def _sentence(template: str, *values: Column) -> Column:
     return F.concat(*pieces)
 
 
-def _signals(config: RiskConfig) -> list[tuple[Column, int, Column]]:
-    """(condition, level, reason) of every behaviour rule, in the order reasons are listed."""
-    c = F.col
-    phone, prefix, calls, mean = c("phone"), c("prefix"), c("total_call"), c("avg_duration")
-    risky_foreign = prefix.isin(*config.foreign_prefixes) if config.foreign_prefixes else F.lit(False)
+def _listed_prefixes(config: RiskConfig) -> tuple[Column, Column]:
+    """(first domestic prefix that matches, whether the foreign one is risky) by the lists of the settings."""
+    phone, prefix = F.col("phone"), F.col("prefix")
+    risky = prefix.isin(*config.foreign_prefixes) if config.foreign_prefixes else F.lit(False)
     matches = [
         F.when(prefix.startswith(head) | phone.startswith(head), F.lit(head)) for head in config.domestic_prefixes
     ]
-    head = F.coalesce(*matches) if matches else F.lit(None).cast("string")
+    return F.coalesce(*matches) if matches else F.lit(None).cast("string"), risky
+
+
+def _signals(config: RiskConfig, prefixes: tuple[Column, Column]) -> list[tuple[Column, int, Column]]:
+    """(condition, level, reason) of every behaviour rule, in the order reasons are listed."""
+    c = F.col
+    prefix, calls, mean = c("prefix"), c("total_call"), c("avg_duration")
+    head, risky_foreign = prefixes
     short = (calls >= config.short_min_calls) & (mean < config.short_seconds)
     missed = F.when(calls > 0, c("miss_call") / calls).otherwise(F.lit(0.0))
     return [
@@ -109,13 +116,16 @@ def _signals(config: RiskConfig) -> list[tuple[Column, int, Column]]:
     ]
 
 
-def rule_level(config: RiskConfig = RiskConfig(), listed: Column | None = None) -> tuple[Column, Column]:
+def rule_level(
+    config: RiskConfig = RiskConfig(), listed: Column | None = None, prefixes: tuple[Column, Column] | None = None
+) -> tuple[Column, Column]:
     """(level, reasons) of the rules; a blacklisted phone ends the evaluation with a single reason.
 
     ``listed`` says whether a phone is blacklisted where that is known from a
-    table; otherwise the short list of the settings decides.
+    table, ``prefixes`` likewise which domestic prefix matches and whether the
+    foreign one is risky; otherwise the short lists of the settings decide.
     """
-    signals = _signals(config)
+    signals = _signals(config, prefixes or _listed_prefixes(config))
     if listed is None:
         listed = F.col("phone").isin(*config.blacklist) if config.blacklist else F.lit(False)
     levels = [F.when(condition, F.lit(level)).otherwise(F.lit(0)) for condition, level, _ in signals]
@@ -146,19 +156,64 @@ def mark_listed(rows: DataFrame, blacklist: DataFrame, mark: str, phone: str = "
     return rows.join(listed, "phone", "left").withColumn(mark, F.coalesce(F.col(mark), F.lit(False)))
 
 
+def mark_prefixes(
+    rows: DataFrame, prefixes: DataFrame, first: str, risky: str, heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    """Adds the first domestic prefix that a row's phone or origin starts with, and whether its foreign one is risky.
+
+    ``prefixes`` has ``kind`` (domestic or foreign), ``head`` and ``place``, and
+    may have any size. Of the domestic heads that match, the one with the
+    smallest place counts, then the smallest head; a foreign head is the whole
+    prefix. Each phone meets the table under its own beginnings, up to the
+    longest listed head, by equality; beginnings that many phones share
+    are joined apart. Null heads are ignored.
+    """
+    known = prefixes.where(F.col("head").isNotNull())
+    domestic, foreign = F.col("kind") == "domestic", F.col("kind") == "foreign"
+    rules = known.groupBy("head").agg(
+        F.min(F.when(domestic, F.col("place"))).alias("place"),
+        F.max(domestic).alias("domestic"),
+        F.max(foreign).alias("foreign"),
+    )
+    longest = F.coalesce(known.select(F.max(F.length("head"))).scalar(), F.lit(0))
+
+    def beginnings(text: str) -> Column:
+        sizes = F.sequence(F.lit(0), F.least(F.length(text), "longest"))
+        return F.coalesce(F.transform(sizes, lambda size: F.substring(text, F.lit(1), size)), F.array().cast("array<string>"))
+
+    phones = rows.select("phone", "prefix").distinct().withColumn("longest", longest)
+    heads = phones.select("phone", "prefix", F.explode(F.array_union(beginnings("phone"), beginnings("prefix"))).alias("head"))
+    met = join_unique(heads, rules, "head", find_heavy(heads, "head", heavy_rows))
+    found = met.groupBy(F.col("phone").alias("_phone"), F.col("prefix").alias("_prefix")).agg(
+        F.min(F.when(F.col("domestic"), F.struct("place", "head")))["head"].alias(first),
+        F.max(F.col("foreign") & F.col("head").eqNullSafe(F.col("prefix"))).alias(risky),
+    )
+    same = F.col("phone").eqNullSafe(F.col("_phone")) & F.col("prefix").eqNullSafe(F.col("_prefix"))
+    joined = rows.join(found, same, "left").drop("_phone", "_prefix")
+    return joined.withColumn(risky, F.coalesce(F.col(risky), F.lit(False)))
+
+
 def evaluate_risk(
-    rows: DataFrame, score: str = "Score", config: RiskConfig = RiskConfig(), blacklist: DataFrame | None = None
+    rows: DataFrame,
+    score: str = "Score",
+    config: RiskConfig = RiskConfig(),
+    blacklist: DataFrame | None = None,
+    prefixes: DataFrame | None = None,
 ) -> DataFrame:
     """phone, levels, title, subtitle, reasons and the features used, from risk features and a score.
 
     A ``blacklist`` table (column ``phone``) takes the place of the list in the
-    settings.
+    settings, a table of ``prefixes`` (see ``mark_prefixes``) that of the
+    settings' two lists; the latter needs a batch.
     """
-    if blacklist is None:
-        level, reasons = rule_level(config)
-    else:
+    listed = marks = None
+    if blacklist is not None:
         rows = mark_listed(rows, blacklist, "_listed")
-        level, reasons = rule_level(config, F.col("_listed"))
+        listed = F.col("_listed")
+    if prefixes is not None:
+        rows = mark_prefixes(rows, prefixes, "_first", "_risky")
+        marks = (F.col("_first"), F.col("_risky"))
+    level, reasons = rule_level(config, listed, marks)
     staged = rows.withColumns(
         {
             "model_level": model_level(F.col(score), config),

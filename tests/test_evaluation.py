@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ringlens.config import RiskConfig, SplitConfig
 from ringlens.constants import BLACKLISTED_PHONES, RISKY_FOREIGN_PREFIXES
+from ringlens.operators import risk
 from ringlens.operators.metrics import Grid, best_threshold, class_weight, metrics_at, roc_auc, threshold_sweep
 from ringlens.operators.promotion import promotion_gate
 from ringlens.operators.risk import evaluate_risk, lowered, model_level, risk_features, rule_level, trust_credit
@@ -274,3 +275,23 @@ def test_blacklist_of_any_size(spark):
     listed = spark.range(5000).select(F.concat(F.lit(" 091200"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("phone")).where("id <> 2")
     levels = {r.phone: r.rule_level for r in evaluate_risk(rows, blacklist=listed.union(listed)).collect()}
     assert levels["0912000001"] == 4 and levels["0912000002"] < 4
+
+
+def test_prefix_table_agrees_with_the_lists(spark):
+    """The settings' lists as a table give the same levels, with null and overlong phones and a hot beginning."""
+    rng = random.Random(4)
+    config = RiskConfig(domestic_prefixes=("0243", "02", "0912", "84"), foreign_prefixes=("231", "1"))
+    phones = [f"{rng.choice(['0243', '02', '0912', '0913', '84', '+231', '+1', '00231'])}{rng.randrange(10**6):06d}" for _ in range(200)]
+    phones += [None, "", "0", "0243" + "7" * 5_000]
+    pool = spark.createDataFrame([(phone, 6, i / 203) for i, phone in enumerate(phones)], "phone string, sum_call int, Score double")
+    rows = risk.risk_features(pool, keep=("Score",))
+    listed = [("domestic", head, place) for place, head in enumerate(config.domestic_prefixes)]
+    listed += [("foreign", head, 0) for head in config.foreign_prefixes] + [("domestic", None, 0), ("domestic", "0912", 9)]
+    table = spark.createDataFrame(listed, "kind string, head string, place long")
+    expected = sorted(map(str, risk.evaluate_risk(rows, config=config).collect()))
+    assert sorted(map(str, risk.evaluate_risk(rows, config=config, prefixes=table).collect())) == expected
+    marked = risk.mark_prefixes(rows, table, "first", "risky", heavy_rows=20)
+    plain = risk.mark_prefixes(rows, table, "first", "risky")
+    assert sorted(map(str, marked.collect())) == sorted(map(str, plain.collect()))
+    none = risk.evaluate_risk(rows, config=RiskConfig(domestic_prefixes=(), foreign_prefixes=()))
+    assert sorted(map(str, risk.evaluate_risk(rows, config=config, prefixes=table.limit(0)).collect())) == sorted(map(str, none.collect()))
