@@ -33,6 +33,7 @@ from ringlens.operators.split import stratified_split
 from ringlens.plans import jobs
 from ringlens.session import fresh_path, stored
 from ringlens.sources import artifacts, history, tables
+from ringlens.sources.day_states import DayStates
 from ringlens.sources.providers import provider_dimension
 from ringlens.sources.versions import replace_table
 from ringlens.streaming.risk import start_risk_stream
@@ -463,6 +464,32 @@ def features_report_heavy(spark, sf):
     return FT.report_features(call_history(spark, sf), providers(spark), config)
 
 
+def advanced(spark: SparkSession, sf: str, window: DayWindow, before: list[date]) -> DataFrame:
+    """Features of a window whose state has been moved on from the windows that end on earlier days."""
+    calls, dimension = call_history(spark, sf), providers(spark)
+    states = DayStates(spark, fresh_path(spark, "day-states"))
+    for day in before:
+        states.features(calls, dimension, DayWindow(day, window.days))
+    return states.features(calls, dimension, window)
+
+
+@query("features_incremental", O.features(A.CALL_HISTORY))
+def features_incremental(spark, sf):
+    """The whole history, reached from the state of fifteen days before: the later days enter, as many leave."""
+    return advanced(spark, sf, DayWindow(date(2024, 1, 30), 30), [date(2024, 1, 15)])
+
+
+@query(
+    "features_sliding",
+    O.features(
+        f"SELECT * FROM ({A.CALL_HISTORY}) w WHERE CAST(time AS DATE) BETWEEN DATE '2024-01-24' AND DATE '2024-01-30'"
+    ),
+)
+def features_sliding(spark, sf):
+    """A week that has moved on a day at a time, which full days leave and enter."""
+    return advanced(spark, sf, HISTORY_WINDOW, [date(2024, 1, 28), date(2024, 1, 29)])
+
+
 @query("features_csv_history", O.features(A.CALL_HISTORY))
 def features_csv_history(spark, sf):
     """The feature builder on a CSV history, where every column arrives as text."""

@@ -81,6 +81,12 @@ def entry(spark: SparkSession, folder: str, number: int) -> str:
         stream.close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a file or a whole folder."""
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def current_path(spark: SparkSession, path: str) -> str:
     """The folder of a versioned table's current version; any other path as it is."""
     log = f"{path.rstrip('/')}/{LOG}"
@@ -106,7 +112,6 @@ def replace_table(df: DataFrame, path: str, fmt: str | None = None, keep: int =
         if claim(spark, log, known[-1] + 1 if known else 1, name):
             break
     for number in numbers(spark, log)[:-keep]:
-        old, files = _file_system(spark, f"{path.rstrip('/')}/{entry(spark, log, number)}")
-        files.delete(old, True)
-        files.delete(_file_system(spark, f"{log}/{number:012d}")[0], False)
+        remove(spark, f"{path.rstrip('/')}/{entry(spark, log, number)}")
+        remove(spark, f"{log}/{number:012d}")
     return target
