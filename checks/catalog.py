@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
@@ -35,6 +36,7 @@ from ringlens.session import fresh_path, stored
 from ringlens.sources import artifacts, history, tables
 from ringlens.sources.day_states import DayStates
 from ringlens.sources.providers import provider_dimension
+from ringlens.sources.settings import load_risk_config
 from ringlens.sources.versions import replace_table
 from ringlens.streaming.risk import start_risk_stream
 
@@ -861,6 +863,15 @@ def risk_evaluate(spark, sf):
     return flat(R.evaluate_risk(risk_rows(spark, sf), config=RiskConfig()))
 
 
+@query("risk_config_file", O.risk_evaluate())
+def risk_config_file(spark, sf):
+    """Rules, limits, lists and messages come from a file."""
+    path = fresh_path(spark, "risk") + ".json"
+    text = json.dumps(RiskConfig().to_mapping())
+    spark.range(1).select(F.lit(text)).write.text(path)
+    return flat(R.evaluate_risk(risk_rows(spark, sf), config=load_risk_config(spark, path)))
+
+
 LARGE_POOL = f"SELECT phone, score, sum_call * 50000000 AS sum_call, call_to_miss * 40000000 AS call_to_miss, call_in_miss, duration, mean_call_by_day, call_back_rate, in_hour, not_in_hour, avg_in_contact, total_contacted, avg_duration_call_in FROM ({O.risk_pool()}) l"
 
 
@@ -1013,6 +1024,45 @@ def train_score(spark, sf):
     return agreed(RU.predictions(ML.score(model, kept, pool(spark, sf), ["phone"]), "phone", 0.5), "phone", 0.5)
 
 
+PLANTED = "SELECT CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END AS label FROM customer"
+
+
+@query(
+    "train_separable",
+    f"""SELECT 'test' AS role, CAST(sum(tested) AS BIGINT) AS rows, CAST(1 AS DOUBLE) AS auc, CAST(1 AS DOUBLE) AS best_f1
+    FROM ({split_sizes(PLANTED)}) s
+    UNION ALL SELECT 'train', CAST(sum(n - tested - checked) AS BIGINT), CAST(1 AS DOUBLE), CAST(1 AS DOUBLE)
+    FROM ({split_sizes(PLANTED)}) s
+    UNION ALL SELECT 'validation', CAST(sum(checked) AS BIGINT), CAST(1 AS DOUBLE), CAST(1 AS DOUBLE)
+    FROM ({split_sizes(PLANTED)}) s""",
+)
+def train_separable(spark, sf):
+    """Two columns tell the classes apart with a gap, one is noise: every role must be ranked and classified without a fault."""
+    customers = spark.read.parquet(f"{sf}/customer.parquet")
+    label = F.when(F.col("c_custkey") % 5 == 0, 1).otherwise(0)
+    planted = customers.select(
+        F.col("c_custkey").cast("string").alias("phone"),
+        label.alias("label"),
+        (label * 20 + F.col("c_custkey") % 11).alias("sum_call"),
+        (F.col("c_custkey") % 13 - label * 30).alias("total_redial"),
+        F.col("c_acctbal").cast("double").alias("duration"),
+    )
+    rows, columns = ML.split_rows(planted)
+    scores = stored(ML.evaluation_rows(ML.fit(rows, columns), rows), "planted")
+    parts = []
+    for role in ("test", "train", "validation"):
+        mine = scores.where(F.col("role") == role).select("label", "score")
+        parts.append(
+            mine.groupBy().count().select(
+                F.lit(role).alias("role"),
+                F.col("count").alias("rows"),
+                M.roc_auc(mine).select("auc").scalar().alias("auc"),
+                M.best_threshold(mine).select("f1").scalar().alias("best_f1"),
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("train_nokey", f"SELECT label, count(*) AS rows, true AS in_range FROM ({LABELS}) l GROUP BY label")
 def train_nokey(spark, sf):
     """A training set without phones, as a merge without a key makes it."""

@@ -101,6 +101,22 @@ class RiskConfig:
             known |= {field_name: given[name] for name, field_name in names.items() if name in given}
         return cls(**known)
 
+    def to_mapping(self) -> dict[str, Any]:
+        """What ``from_mapping`` reads, so far as a configuration file has a name for it."""
+        return {
+            "model_thresholds": [list(pair) for pair in self.score_levels],
+            "intl_risk_prefixes": list(self.foreign_prefixes),
+            "domestic_risk_prefixes": list(self.domestic_prefixes),
+            "hard_blacklist_numbers": list(self.blacklist),
+            "level_messages": {
+                str(level): {"title": title, "subtitle": subtitle} for level, (title, subtitle) in self.messages.items()
+            },
+            **{
+                section: {name: getattr(self, field_name) for name, field_name in names.items()}
+                for section, names in RISK_SECTIONS.items()
+            },
+        }
+
 
 #: Sections and names of a risk configuration, and the fields they set.
 RISK_SECTIONS = {

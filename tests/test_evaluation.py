@@ -1,5 +1,6 @@
 """Metrics, thresholds, splits, the gate and risk levels."""
 
+import json
 import math
 import random
 
@@ -266,6 +267,27 @@ def test_settings_from_a_mapping(spark):
     assert given.missed_ratio == 0.9 and given.missed_min_calls == 5 and given.messages == {1: ("t", "")}
 
 
+def test_settings_from_files(spark, tmp_path):
+    from ringlens.config import FeatureConfig, RiskConfig
+    from ringlens.sources.settings import load_external_data, load_risk_config, load_settings
+
+    (tmp_path / "risk.json").write_text(json.dumps(RiskConfig(missed_ratio=0.7, blacklist=("113",)).to_mapping()))
+    assert load_risk_config(spark, str(tmp_path / "risk.json")) == RiskConfig(missed_ratio=0.7, blacklist=("113",))
+    (tmp_path / "empty.json").write_text("")
+    assert load_risk_config(spark, str(tmp_path / "empty.json")) == RiskConfig.from_mapping({})
+    (tmp_path / "list.json").write_text("[1]")
+    with pytest.raises(ValueError, match="mapping"):
+        load_settings(spark, str(tmp_path / "list.json"))
+    (tmp_path / "external.json").write_text('{"providers": {"a": ["86", 96], "b": null}, "work_days": [2, 3]}')
+    owned, config = load_external_data(spark, str(tmp_path / "external.json"), FeatureConfig(prefix_length=2))
+    assert owned == {"a": ("86", "96"), "b": ()} and config == FeatureConfig(prefix_length=2, work_days=(2, 3))
+    pytest.importorskip("yaml")
+    (tmp_path / "external.yml").write_text('providers:\n  a:\n    - "086"\nlevel: {1: x}\n')
+    assert load_external_data(spark, str(tmp_path / "external.yml")) == ({"a": ("086",)}, FeatureConfig())
+    (tmp_path / "risk.yaml").write_text("behavior_rules:\n  miss_ratio_high: 0.9\n")
+    assert load_risk_config(spark, str(tmp_path / "risk.yaml")).missed_ratio == 0.9
+
+
 def test_blacklist_of_any_size(spark):
     from ringlens.operators.risk import evaluate_risk, risk_features
 
