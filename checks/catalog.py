@@ -56,7 +56,6 @@ REPORT_WINDOW = DayWindow(date(2000, 6, 30), 100)
 CONFIG = FeatureConfig()
 # What the tuning queries search: few rounds of shallow trees, drawn as from any other space.
 QUICK_SPACE = SearchSpace(rounds=(10, 30), rounds_step=5, depth=(3, 5), bins=(32, 128), bins_step=32)
-FIRST_MODEL = TreeParams(rounds=40, depth=4, learning_rate=0.1)
 ROWS_PER_ARRAY = 100_000
 CANONICAL = "phone, phone_member, report, type, time, in_contact, duration, Spam"
 
@@ -1158,11 +1157,11 @@ def registry_conflict(spark, sf):
 
 
 def with_production(spark: SparkSession, sf: str) -> jobs.JobConfig:
-    """A workspace whose base training set has produced a first model."""
+    """A workspace whose base training set has produced a first model, with trees of the default number and depth."""
     config = workspace(spark, sf)
     shipped = FT.report_features(call_history(spark, sf), providers(spark), config.features)
     tables.save_table(labelled(shipped), config.base_training)
-    jobs.train(spark, config.base_training, config, FIRST_MODEL)
+    jobs.train(spark, config.base_training, config, TreeParams())
     return config
 
 
@@ -1201,6 +1200,7 @@ FROM ({A.UPSTREAM_CALLS}) u WHERE CAST(time AS DATE) BETWEEN DATE '2024-01-01' A
     FROM ({shipped_days(O.phone_pool(EXPORTED))}) p""",
 )
 def job_infer(spark, sf):
+    """The first model is trained inside the query, with the default trees."""
     config = with_production(spark, sf)
     result = jobs.infer(spark, upstream_file(spark, sf), config)
     about = agreed(tables.load_table(spark, result["predictions"]), "phone", result["threshold_used"])
@@ -1244,7 +1244,7 @@ def job_dataset_csv(spark, sf):
 
 @query("job_train", REPORTED)
 def job_train(spark, sf):
-    """Tunes over a small space; without a merged set, the base set is trained."""
+    """Without a merged set, the base set is trained; tunes two trials over ``QUICK_SPACE`` to keep the query short."""
     config = workspace(spark, sf)
     tables.save_table(labelled_pool(spark, sf), config.base_training)
     result = jobs.recorded(spark, "train", config, lambda: jobs.train(spark, None, config))
@@ -1258,7 +1258,10 @@ def job_train(spark, sf):
     FROM ({shipped_days(O.features(A.CALL_HISTORY))}) f""",
 )
 def job_full(spark, sf):
-    """Reports agree with the base labels, so every phone ends with these, corrected or not."""
+    """Reports agree with the base labels, so every phone ends with these, corrected or not.
+
+    The first model has the default trees; the one trained last is the better of two trials over ``QUICK_SPACE``.
+    """
     config = with_production(spark, sf)
     job = lambda: jobs.full(spark, upstream_file(spark, sf), reports_file(spark, sf), config)
     result = jobs.recorded(spark, "full", config, job)
@@ -1271,6 +1274,7 @@ def job_full(spark, sf):
     f"SELECT report, true AS in_range, true AS consistent FROM ({O.features(A.SHARED_REPORTS)}) f",
 )
 def job_score_file(spark, sf):
+    """The first model is trained inside the query, with the default trees."""
     config = with_production(spark, sf)
     source = tables.save_table(shared_reports(spark, sf), fresh_path(spark, "history"), "parquet")
     result = jobs.score_file(spark, source, config, threshold=0.4, per_phone=False, fmt="parquet")
