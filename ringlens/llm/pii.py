@@ -3,8 +3,8 @@
 Everything is Catalyst expressions over one row at a time, so neither a text
 nor a span is ever shuffled. ``split`` and ``regexp_extract_all`` by the same
 pattern give the gaps and the matches in turn; their running lengths are the
-spans. The trees are learned by MLlib from a bounded sample of candidates and
-then written out as CASE expressions.
+spans. The trees are learned by MLlib from all candidates, counted by what
+their features say, and then written out as CASE expressions.
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ from ringlens.session import stored
 KINDS = ("email", "ip", "card", "phone")
 #: Spans that the trees add, by the generator that proposed them.
 ADDED_KINDS = ("address", "number")
-#: Learning takes at most so many candidates, those with the smallest hash.
-SAMPLE_ROWS = 20_000
 LEAST_PRECISION = 0.99
 #: A kind is added only if so many held-out candidates were right from its threshold on.
 LEAST_HELD_OUT = 20
@@ -256,7 +254,7 @@ def rewritten(docs: DataFrame, text: str) -> DataFrame:
     ).select(F.col("changed").alias(text))
 
 
-def train(docs: DataFrame, text_column: str = "text", sample_rows: int = SAMPLE_ROWS) -> SpanModel:
+def train(docs: DataFrame, text_column: str = "text") -> SpanModel:
     """Learns which candidates look like personal data, and how high a score must be to be trusted.
 
     A candidate counts as right if it is a base span or is ``LIKELY`` one in
@@ -264,11 +262,14 @@ def train(docs: DataFrame, text_column: str = "text", sample_rows: int = SAMPLE_
     it. Texts that hold base spans are learned from a second time with these
     in such forms, so that they are known where a table has none. The features
     do not tell the @ and the plus. Each kind has trees of its own, lest the
-    length of a number decide about an address. Of the sampled candidates, three
-    quarters train the trees and the rest calibrate the thresholds: the lowest score
-    above which ``LEAST_PRECISION`` of the candidates are right, and at least
-    ``LEAST_HELD_OUT`` of them. A kind with fewer, as in a small table, is never
-    added; base spans do not depend on it.
+    length of a number decide about an address. Of all candidates (those of equal
+    texts count once), three quarters train the trees and the rest calibrate the
+    thresholds: the lowest score above which ``LEAST_PRECISION`` of the candidates
+    are right, and at least ``LEAST_HELD_OUT`` of them. Candidates with equal
+    features and labels are one row with their number as its weight, so what MLlib
+    reads grows with the forms in use and not with the table. A kind with fewer
+    held-out candidates, as in a small table, is never added; base spans do not
+    depend on it.
     """
     texts = docs.select(F.col(f"`{text_column}`").alias("text"))
     found = with_proposals(with_base_spans(texts.unionByName(rewritten(texts, "text")), "text"), "text")
@@ -283,30 +284,34 @@ def train(docs: DataFrame, text_column: str = "text", sample_rows: int = SAMPLE_
         )
         .dropDuplicates(["hash"])
     )
-    taken = stored(rows.orderBy("hash").limit(sample_rows), "proposals")
-    facts = taken.select("hash", "is_base", F.expr(f"struct(p.kind AS kind, {described('p')} AS f)").alias("c"))
-    sample = stored(
-        facts.select("hash", "c", "c.f.*", F.expr(f"double(int(is_base OR {LIKELY}))").alias("label")), "candidates"
-    )
-    scores = {kind: boosted(sample.where(F.col("c.kind") == kind).where("pmod(hash, 4) <> 0")) for kind in ADDED_KINDS}
+    labelled = stored(rows, "proposals").select(
+        F.expr("pmod(hash, 4) = 0").alias("held_out"), "is_base", F.expr(f"struct(p.kind AS kind, {described('p')} AS f)").alias("c")
+    ).select("held_out", "c", F.expr(f"double(int(is_base OR {LIKELY}))").alias("label"))
+    counted = stored(labelled.groupBy("held_out", "c", "label").agg(F.count("*").cast("double").alias("n")), "candidates")
+    scores = {kind: boosted(counted.where(F.col("c.kind") == kind).where("NOT held_out")) for kind in ADDED_KINDS}
     if not any(scores.values()):
         return NO_MODEL
     score = "CASE " + " ".join(f"WHEN c.kind = '{kind}' THEN {sql}" for kind, sql in scores.items() if sql) + " ELSE 0D END"
-    scored = sample.where("pmod(hash, 4) = 0").select(
-        F.col("c.kind").alias("kind"), F.expr(f"floor(({score}) * 100)").alias("bin"), "label"
+    scored = counted.where("held_out").select(
+        F.col("c.kind").alias("kind"), F.expr(f"floor(({score}) * 100)").alias("bin"), "label", "n"
     )
-    bins = scored.groupBy("kind", "bin").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()
+    bins = scored.groupBy("kind", "bin").agg(F.expr("sum(label * n)").alias("good"), F.sum("n").alias("n")).collect()
     return SpanModel(score, {kind: trusted([b for b in bins if b.kind == kind]) for kind in ADDED_KINDS})
 
 
 def boosted(learning: DataFrame) -> str | None:
-    """Boosted trees over the candidates of one kind as SQL for the probability of being right; None without both labels."""
+    """Boosted trees over the candidates ``c`` of one kind, ``n`` times each, as SQL for the probability of being right.
+
+    None without both labels.
+    """
     if len(learning.select("label").distinct().take(2)) < 2:
         return None
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(learning)
+    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
+        learning.select("label", "n", "c.f.*")
+    )
     trees = GBTClassifier(
-        featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7, maxBins=64, checkpointInterval=-1
-    ).fit(vectors.select("features", "label"))
+        featuresCol="features", labelCol="label", weightCol="n", maxIter=TREES, maxDepth=DEPTH, seed=7, maxBins=64, checkpointInterval=-1
+    ).fit(vectors.select("features", "label", "n"))
     weighted = [
         f"{weight!r}D * ({tree_sql(tree._java_obj.rootNode())})"
         for weight, tree in zip(trees.treeWeights, trees.trees, strict=True)

@@ -67,3 +67,15 @@ def test_few_held_out_candidates_add_nothing(spark):
     texts = [(f"write a{i}@b{i}.org, or stood (at) home {i}",) for i in range(12)]
     few = pii.train(spark.createDataFrame(texts, "text string"))
     assert few.thresholds == dict.fromkeys(pii.ADDED_KINDS)
+
+
+def test_every_candidate_counts(spark):
+    """Forms that are rare among 100,000 numbers are learned and calibrated from all of their candidates."""
+    numbers = spark.range(1000).selectExpr(
+        "concat_ws(' ', transform(sequence(0, 99), i -> concat('order ', 1000000000 + 7919 * (100 * id + i)))) AS text"
+    )
+    addresses = spark.createDataFrame(
+        [(f"write a{i}{'.b' * (i % 2)}@c{i}.org, or stood (at) home{i}",) for i in range(80)], "text string"
+    )
+    model = pii.train(numbers.unionByName(addresses))
+    assert model.thresholds["address"] is not None
