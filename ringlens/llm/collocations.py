@@ -43,12 +43,13 @@ ENTRIES = 400_000
 WORDS_AT_ONCE = 1 << 19
 BLOCK = 1 << 22
 SEED = 42
-#: Buckets for the occurrences of pairs and triples: a power of two from the number of words, within bounds. A task needs two
-#: bytes for each; beyond MOST_BUCKETS * 64 words more phrases are counted that turn out not to be frequent.
-WORDS_PER_BUCKET = 64
+#: Buckets for the occurrences of pairs and triples: a power of two from the number of words, within bounds. Eight to sixteen
+#: words fall in each, so that few pass by what else is in them. A task needs a byte for each (two for least counts over 255); beyond MOST_BUCKETS * WORDS_PER_BUCKET words more phrases are counted that turn out not to be frequent.
+WORDS_PER_BUCKET = 16
 LEAST_BUCKETS = 1 << 16
 MOST_BUCKETS = 1 << 27
-BUCKET_BLOCK = 1 << 12
+BUCKET_BLOCK = 1 << 14
+CODEC = "zstd"
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, 4, np.uint64) * np.uint64(2) + np.uint64(1)
 
 #: Characters between pieces become full stops, which no word holds; tabs become blanks.
@@ -167,6 +168,9 @@ def bit_table(phrases: DataFrame, bits: int = FILTER_BITS) -> BitTable:
 def bucket_table(counts: DataFrame, buckets: int, least_count: int) -> BitTable:
     """The buckets whose counts of all tasks add up to ``least_count``; one bit of each reaches the driver."""
 
+    kind = count_type(least_count)
+    size = BUCKET_BLOCK * np.dtype(kind).itemsize
+
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, total = None, None
 
@@ -176,21 +180,26 @@ def bucket_table(counts: DataFrame, buckets: int, least_count: int) -> BitTable:
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([bits], pa.binary())], names=["block", "bits"])
 
         for batch in batches:
-            for number, data in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            for number, data in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
                 if number != block:
                     yield from done()
                     block, total = number, np.zeros(BUCKET_BLOCK, np.int64)
-                total += np.frombuffer(data, np.uint16)
+                total += np.frombuffer(pa.decompress(data.as_buffer(), size, CODEC), kind)
         yield from done()
 
     rows = counts.repartition("block").sortWithinPartitions("block").mapInArrow(added, "block bigint, bits binary")
     table = bytearray(buckets // 8)
-    size = BUCKET_BLOCK // 8
+    width = BUCKET_BLOCK // 8
     for row in rows.collect():
-        table[row.block * size : (row.block + 1) * size] = row.bits
+        table[row.block * width : (row.block + 1) * width] = row.bits
     return BitTable(bytes(table))
 
 
+def count_type(least_count: int) -> type:
+    """Numbers that hold ``least_count``, beyond which no bucket counts."""
+    return np.uint8 if least_count <= np.iinfo(np.uint8).max else np.uint16
+
+
 def bucket_number(words: int) -> int:
     """Buckets for so many words, a power of two within documented bounds; few enough occurrences fall in each to tell."""
     return min(max(1 << (words // WORDS_PER_BUCKET).bit_length(), LEAST_BUCKETS), MOST_BUCKETS)
@@ -279,7 +288,7 @@ class Scan:
         names, langs, hashes = [""], [""], array("Q", [0])
         ids: dict[str, Ids] = {}
         trie = HatTrie(ENTRIES, BURST)
-        counts = np.zeros(self.buckets, np.uint16)
+        counts = np.zeros(self.buckets, count_type(self.least_count))
         shift = np.uint64(64 - self.buckets.bit_length() + 1)
         gap = [0] * (self.reach - 1)
 
@@ -349,7 +358,7 @@ class Scan:
         for block in range(self.buckets // BUCKET_BLOCK):
             part = counts[block * BUCKET_BLOCK : (block + 1) * BUCKET_BLOCK]
             if part.any():
-                yield run_of([(None, None, None, None, None, block, part.tobytes())])
+                yield run_of([(None, None, None, None, None, block, pa.compress(part.tobytes(), CODEC, asbytes=True))])
 
 
 class Ids(dict):

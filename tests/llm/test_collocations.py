@@ -116,3 +116,13 @@ def test_sql(spark):
     assert names == sorted(found.columns)
     theirs = ordered(result.fetchall(), [d[0] for d in result.description], names)
     assert ordered([tuple(r) for r in found.collect()], found.columns, names) == theirs and len(theirs) > 50
+
+
+@pytest.mark.parametrize("words", [10**7, 10**8, 10**9])
+def test_few_pairs_pass_by_their_bucket(words):
+    """Pairs that occur 60 times each must rarely fill a bucket to 100 by what else falls in it."""
+    buckets = co.bucket_number(words)
+    rng = co.np.random.default_rng(7)
+    others = rng.poisson(words / buckets, 100_000)
+    assert co.np.mean(60 + others >= 100) < 0.01
+    assert buckets <= co.MOST_BUCKETS and buckets % co.BUCKET_BLOCK == 0
