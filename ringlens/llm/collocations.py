@@ -3,8 +3,9 @@
 Phrases are counted in tries over word ids. The two upper levels are nodes,
 below them stand hash containers; a container that grows too large bursts into
 a node of smaller ones. A trie that holds too many entries gives away whole
-subtrees, the largest first, each as a sorted run of partial counts; the runs
-are merged by prefix, so that a prefix's phrases meet in one partition. Counting
+subtrees, the largest first, each as a sorted run of partial counts. What a task
+gives away travels in parts by the hash of the prefix, many phrases to a row, and
+is merged by part, so that a prefix's phrases meet in one partition. Counting
 goes from words over pairs to longer phrases. As a phrase is no more frequent
 than its parts, and none is more frequent than all that fall in its hash
 bucket, each pass counts only what the tables of the passes before let through.
@@ -50,6 +51,9 @@ LEAST_BUCKETS = 1 << 16
 MOST_BUCKETS = 1 << 27
 BUCKET_BLOCK = 1 << 14
 CODEC = "zstd"
+#: Parts that the prefixes of one language are dealt to. A task sends at most one row per language and part each time it
+#: empties its trie, so rows grow with the tasks and not with the frequent phrases times the tasks.
+PARTS = 1024
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, 4, np.uint64) * np.uint64(2) + np.uint64(1)
 
 #: Characters between pieces become full stops, which no word holds; tabs become blanks.
@@ -65,6 +69,15 @@ RUN_TYPE = pa.schema(
         ("block", pa.int64()), ("counts", pa.binary()),
     ]
 )
+PACKED = "lang string, part bigint, phrases binary, f binary, block bigint, counts binary"
+PACKED_TYPE = pa.schema(
+    [
+        ("lang", pa.string()), ("part", pa.int64()), ("phrases", pa.binary()), ("f", pa.binary()), ("block", pa.int64()),
+        ("counts", pa.binary()),
+    ]
+)
+COUNT_TYPE = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())])
+LINE = b"\n"
 
 
 def tokens(text: bytes) -> Iterator[list[bytes]]:
@@ -87,8 +100,12 @@ def columns_of(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
 
 def run_of(rows: list[tuple]) -> pa.RecordBatch:
     rows.sort(key=lambda row: (row[0] or "", row[2] or ""))
-    arrays = [pa.array(list(column), field.type) for column, field in zip(zip(*rows, strict=True), RUN_TYPE, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, schema=RUN_TYPE)
+    return table_of(rows, RUN_TYPE)
+
+
+def table_of(rows: list[tuple], kind: pa.Schema) -> pa.RecordBatch:
+    arrays = [pa.array(list(column), field.type) for column, field in zip(zip(*rows, strict=True), kind, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=kind)
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,6 +403,64 @@ class Ids(dict):
         return number
 
 
+class Packed:
+    """A scan whose partial counts leave the task as rows of many phrases, one per language and part; no phrase holds a line end."""
+
+    def __init__(self, scan: Scan):
+        self.scan = scan
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[tuple, tuple[list, list]] = defaultdict(lambda: ([], []))
+        held = 0
+
+        def emptied() -> Iterator[pa.RecordBatch]:
+            rows = [
+                (lang, part, LINE.join(phrases), np.array(counts, "<i8").tobytes(), None, None)
+                for (lang, part), (phrases, counts) in parts.items()
+            ]
+            if rows:
+                yield table_of(rows, PACKED_TYPE)
+            parts.clear()
+
+        for run in self.scan(batches):
+            for row in run.to_pylist():
+                if row["block"] is not None:
+                    yield table_of([(None, None, None, None, row["block"], row["counts"])], PACKED_TYPE)
+                    continue
+                phrases, counts = parts[row["lang"], xxhash.xxh64_intdigest(row["prefix"], SEED) % PARTS]
+                phrases.append(row["phrase"].encode())
+                counts.append(row["f"])
+                held += 1
+            if held > ENTRIES // 2:
+                yield from emptied()
+                held = 0
+        yield from emptied()
+
+
+def merged_parts(runs: DataFrame, least_count: int) -> DataFrame:
+    """Adds the partial counts of all tasks, part by part: the phrases that occur ``least_count`` times."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sums = None, Counter()
+
+        def done() -> Iterator[pa.RecordBatch]:
+            found = [(at[0], p.decode(), p.count(b" ") + 1, n) for p, n in sums.items() if n >= least_count]
+            if found:
+                yield table_of(found, COUNT_TYPE)
+
+        for batch in batches:
+            for lang, part, phrases, f in zip(*(batch.column(name).to_pylist() for name in ("lang", "part", "phrases", "f")), strict=True):
+                if (lang, part) != at:
+                    yield from done()
+                    at, sums = (lang, part), Counter()
+                for phrase, n in zip(phrases.split(LINE), np.frombuffer(f, "<i8").tolist(), strict=True):
+                    sums[phrase] += n
+        yield from done()
+
+    rows = runs.where("block is null").select("lang", "part", "phrases", "f")
+    return rows.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(added, "lang string, phrase string, words int, f bigint")
+
+
 def merged(runs: DataFrame) -> DataFrame:
     """Adds the partial counts of all runs, one prefix of at most two words in one partition."""
     return (
@@ -422,14 +497,14 @@ def frequent_phrases(
     scanned = plain.mapInArrow(Scan(words, width=2, **table), RUN).select("block", "counts")
     near_pairs = bucket_table(scanned, buckets, least_count)
     if longest == 2:
-        doubles = plain.mapInArrow(Scan(words, near_pairs, shortest=2, longest=2, least_count=least_count), RUN)
-        return found.unionByName(stored(merged(doubles).where(frequent), "pairs"))
-    scanned = stored(plain.mapInArrow(Scan(words, near_pairs, shortest=2, longest=2, width=3, **table), RUN), "pair_runs")
-    doubles = stored(merged(scanned.where("block is null")).where(frequent), "pairs")
+        doubles = plain.mapInArrow(Packed(Scan(words, near_pairs, shortest=2, longest=2, least_count=least_count)), PACKED)
+        return found.unionByName(stored(merged_parts(doubles, least_count), "pairs"))
+    scanned = stored(plain.mapInArrow(Packed(Scan(words, near_pairs, shortest=2, longest=2, width=3, **table)), PACKED), "pair_runs")
+    doubles = stored(merged_parts(scanned, least_count), "pairs")
     triples = bucket_table(scanned.where("block is not null").select("block", "counts"), buckets, least_count)
     pairs = bit_table(doubles, filter_bits)
-    longer = plain.mapInArrow(Scan(words, pairs, triples, 3, longest, least_count=least_count), RUN)
-    return found.unionByName(doubles).unionByName(stored(merged(longer).where(frequent), "phrases"))
+    longer = plain.mapInArrow(Packed(Scan(words, pairs, triples, 3, longest, least_count=least_count)), PACKED)
+    return found.unionByName(doubles).unionByName(stored(merged_parts(longer, least_count), "phrases"))
 
 
 def collocations(

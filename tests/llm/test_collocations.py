@@ -126,3 +126,27 @@ def test_few_pairs_pass_by_their_bucket(words):
     others = rng.poisson(words / buckets, 100_000)
     assert co.np.mean(60 + others >= 100) < 0.01
     assert buckets <= co.MOST_BUCKETS and buckets % co.BUCKET_BLOCK == 0
+
+
+def test_a_task_sends_one_row_per_part(monkeypatch):
+    """However many phrases a task has counted, its rows are bounded by the parts; their counts are those of the scan."""
+    monkeypatch.setattr(co, "PARTS", 8)
+    docs = sample(random.Random(8), 200)
+    batch = co.pa.RecordBatch.from_pydict({"lang": [d[0] or "und" for d in docs], "text": [d[1] for d in docs]})
+
+    class All(co.BitTable):
+        def __init__(self):
+            pass
+
+        def has(self, h):
+            return 1
+
+    scan = co.Scan(All(), shortest=2, longest=2)
+    plain = Counter({(r["lang"], r["phrase"]): r["f"] for b in scan(iter([batch])) for r in b.to_pylist()})
+    rows = [r for b in co.Packed(co.Scan(All(), shortest=2, longest=2))(iter([batch])) for r in b.to_pylist()]
+    packed = Counter()
+    for r in rows:
+        for phrase, n in zip(r["phrases"].decode().split("\n"), co.np.frombuffer(r["f"], "<i8").tolist(), strict=True):
+            packed[r["lang"], phrase] += n
+    assert packed == plain and len(plain) > 300
+    assert len(rows) <= 8 * len({r["lang"] for r in rows})
