@@ -336,7 +336,9 @@ def with_spans(docs: DataFrame, text: str, model: SpanModel) -> DataFrame:
     trusted_kinds = {kind: least for kind, least in model.thresholds.items() if least is not None}
     if not trusted_kinds:
         return out.withColumn("added", F.array().cast(f"array<{SPAN}>")).drop("candidates", "digits_near")
-    wanted = " OR ".join(f"(c.kind = '{kind}' AND {model.score} >= {least!r}D)" for kind, least in trusted_kinds.items())
+    # The score is mentioned once, as the driver parses, plans and compiles its trees for each mention.
+    limits = " ".join(f"WHEN '{kind}' THEN {least!r}D" for kind, least in trusted_kinds.items())
+    wanted = f"{model.score} >= CASE c.kind {limits} END"
     added = (
         f"array_sort(transform(filter(candidates, c -> NOT exists(base, b -> b.start < c.stop AND c.start < b.stop) "
         f"AND ({wanted})), c -> struct(c.kind AS kind, c.start AS start, c.stop AS stop)))"

@@ -31,3 +31,18 @@ def test_other_forms_are_added(spark, model):
         assert [texts[row.doc_id][int(a) : int(b)] for _, a, b in spans] == ADDED[texts[row.doc_id]], texts[row.doc_id]
     redacted = {r.doc_id: r.text for r in pii.redact(docs, model).collect()}
     assert redacted[0] == "mail [address] now" and redacted[2] == "so [number] it is" and redacted[3] == texts[3]
+
+
+def test_trees_are_in_the_plan_once(spark):
+    """Two added kinds have limits of their own and share one mention of the trees, which the driver plans and compiles."""
+    score = "CASE WHEN c.kind = 'address' THEN 0.625D WHEN c.kind = 'number' THEN 0.375D ELSE 0D END"
+    docs = spark.createDataFrame([(1, "write x (at) y.org or (201) 345-6789")], "doc_id long, text string")
+
+    def added(address, number):
+        found = pii.with_spans(docs, "text", pii.SpanModel(score, {"address": address, "number": number}))
+        return [s.kind for s in found.first().added], found._jdf.queryExecution().analyzed().toString().count("0.375")
+
+    both, mentions = added(0.6, 0.3)
+    assert set(both) == {"address", "number"} and mentions == 1
+    assert set(added(0.6, 0.4)[0]) == {"address"} and set(added(0.7, 0.3)[0]) == {"number"}
+    assert set(added(None, 0.3)[0]) == {"number"} and added(0.7, 0.4)[0] == []
